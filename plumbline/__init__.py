@@ -1,0 +1,8 @@
+"""Engagement analytics on Spark DataFrames: decay scoring, engagement tables, features, metrics, refresh."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks are sent whole, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
