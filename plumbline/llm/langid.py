@@ -121,12 +121,13 @@ def fit(labelled: DataFrame, max_docs: int = 8000, max_words: int = 15_000, max_
 
 def predict(docs: DataFrame, model: Model, text: Column | str = "text", into: str = "_lang") -> DataFrame:
     """``docs`` with a struct column ``into`` (lang, score). Null texts and texts without a letter: ``und``, 0."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))  # bounded by fit's limits
 
     @F.pandas_udf("lang string, score double")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = shared.value
-        return pd.DataFrame([found.predict(t) for t in texts], columns=["lang", "score"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        found = Model(*shared.value)
+        for texts in batches:
+            yield pd.DataFrame([found.predict(t) for t in texts], columns=["lang", "score"])
 
     return docs.withColumn(into, run(text))
 
