@@ -34,19 +34,24 @@ def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
 
+class _Known(dict):
+    """Word -> hash, filled as words are asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
 class Hasher:
     """Word hashes, remembered up to a bound, and the hashes of word n-grams made of them."""
 
     def __init__(self, n: int):
-        self.n, self.known = n, {}
+        self.n, self.known = n, _Known()
 
     def words(self, words: list[str]) -> np.ndarray:
         if len(self.known) > 500_000:
-            self.known = {}
-        known, digest = self.known, xxhash.xxh64_intdigest
-        for w in set(words) - known.keys():
-            known[w] = digest(w)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
     def grams(self, words: list[str]) -> np.ndarray:
         """One hash of each n-gram; of all words together if there are fewer than n."""
@@ -168,7 +173,7 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def matches(
-    docs: DataFrame, items: DataFrame, n: int = 3, window: int = 3, threshold: float = 0.5, filter_bits: int = 22
+    docs: DataFrame, items: DataFrame, n: int = 4, window: int = 2, threshold: float = 0.5, filter_bits: int = 22
 ) -> DataFrame:
     """Leaks of ``items`` (item_id, text) in ``docs`` (doc_id, text): one row of each (doc_id, item_id)
     whose best alignment scores at least ``threshold``, with score (0 to 1), start_word, end_word and
