@@ -30,3 +30,10 @@ def money(value: Column | str) -> Column:
 def exact_sum(value: Column | str) -> Column:
     """The sum of two-decimal scores, added exactly, as a double."""
     return F.sum(money(value)).cast("double")
+
+
+def stable_mean(value: Column | str, digits: int = 6) -> Column:
+    """The mean of doubles taken at ``digits`` decimals: whole numbers are added, so the order doesn't matter."""
+    v = F.col(value) if isinstance(value, str) else value
+    scale = float(10**digits)
+    return F.sum(F.floor(v * scale + 0.5)).cast("double") / F.count(v).cast("double") / F.lit(scale)

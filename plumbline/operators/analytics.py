@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.flags import FLAGS, with_flags
-from plumbline.functions.numeric import exact_sum, ratio, round_n
+from plumbline.functions.numeric import exact_sum, ratio, round_n, stable_mean
 from plumbline.functions.time import at, within
 from plumbline.operators.leaderboard import user_weight
 from plumbline.operators.metrics import first_contributions, own_posts, smart_reach
@@ -43,7 +43,7 @@ def project_users(
     stats = rows.groupBy(F.col("user_x_id").alias("x_id")).agg(
         _sum(own, "favorite_count").alias("likes"), _sum(own, "retweet_count").alias("retweets"), _count(post).alias("post_count"), _count(quote).alias("quote_post_count"),
         _count(reply).alias("replies_count"), _sum(post, "view_count").alias("post_view_count"), _sum(quote, "view_count").alias("quote_view_count"), _sum(reply, "view_count").alias("replies_view_count"),
-        F.avg(F.when(own, F.col("content_score").cast("double"))).alias("_content"), F.avg(F.when(own, F.col("duration_days_p90"))).alias("_p90"),
+        F.avg(F.when(own, F.col("content_score").cast("double"))).alias("_content"), stable_mean(F.when(own, F.col("duration_days_p90"))).alias("_p90"),
     )
     named = users.select(F.col("x_id"), F.coalesce("x_username", F.lit("")).alias("x_username"), F.col("score").cast("double").alias("x_score"))
     stats = stats.join(named, "x_id", "left").withColumns({"x_score": F.coalesce("x_score", F.lit(0.0)), "x_username": F.coalesce("x_username", F.lit(""))})
@@ -220,7 +220,7 @@ def all_users_analytics(user_posts: DataFrame, users: DataFrame, user_features:
     stats = own.join(fe, "post_id", "left").groupBy(F.col("user_x_id").alias("x_id")).agg(
         _sum(F.col("is_post"), "view_count").alias("total_post_view_count"), _sum(F.col("is_quote"), "view_count").alias("total_quote_post_view_count"),
         _count(F.col("is_post")).alias("total_post_count"), _count(F.col("is_quote")).alias("total_quote_post_count"), _sum(F.lit(True), "favorite_count").alias("likes"),
-        _sum(F.lit(True), "retweet_count").alias("retweets"), F.min("post_created_at").alias("first_post_date"), F.max("post_created_at").alias("last_post_date"), round_n(F.avg("duration_days_p90"), 2).alias("average_p90"),
+        _sum(F.lit(True), "retweet_count").alias("retweets"), F.min("post_created_at").alias("first_post_date"), F.max("post_created_at").alias("last_post_date"), round_n(stable_mean("duration_days_p90"), 2).alias("average_p90"),
     )
     came = _incoming(user_posts, users, own.select("post_id", F.col("user_x_id").alias("author_id")))
     self_ = F.col("engaged_user_id") == F.col("author_id")
@@ -259,7 +259,7 @@ def user_analytics(user_posts: DataFrame, users: DataFrame, user_features: DataF
     stats = own.join(fe, "post_id", "left").groupBy(F.col("user_x_id").alias("x_id")).agg(
         _count(post).alias("total_post_count"), _count(quote).alias("total_quote_post_count"), _sum(post, "view_count").alias("total_post_view_count"), _sum(quote, "view_count").alias("total_quote_post_view_count"),
         _sum(F.lit(True), "favorite_count").alias("likes"), _sum(F.lit(True), "retweet_count").alias("retweets"), F.min("post_created_at").alias("first_post_date"), F.max("post_created_at").alias("last_post_date"),
-        round_n(F.avg("duration_days_p90"), 2).alias("average_p90"),
+        round_n(stable_mean("duration_days_p90"), 2).alias("average_p90"),
     )
     came = _incoming(user_posts, users, own.select("post_id", F.col("user_x_id").alias("author_id"))).withColumn("target", F.coalesce("replied_post_id", "target_post_id"))
     # a post that replies to one target and quotes another is one engagement

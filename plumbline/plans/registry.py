@@ -18,7 +18,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 PROJECT = "BUILDING"
 START, END = 788918400, 1009843200  # 1995 to 2001
 NET_START, NET_END = 1704067200, 1705708800  # 20 days of 2024
-USER, NET_USER, POST = "u7", "u42", "o4"
+USER, NET_USER, POST = "u1105", "u42", "o4"
 NET_USERS = [f"u{k}" for k in range(0, 40)]
 ANCHOR = datetime(1995, 2, 3, 3)
 
@@ -61,6 +61,10 @@ def esum(x: str) -> str:
     return f"cast(sum(cast({x} as decimal(18,2))) as double)"
 
 
+def mean6(x: str) -> str:
+    return f"cast(sum(cast(floor(({x}) * 1000000.0e0 + 0.5e0) as bigint)) as double) / cast(count({x}) as double) / 1000000.0e0"
+
+
 def decay_sql(posts: str, project: bool, days: int = 30, other: float | None = None) -> str:
     other = other if other is not None else 0.9 if project else 1.0
     far = "GLOBAL_DECAY" if other != 1.0 else "NEW_AUTHOR"
@@ -494,3 +498,230 @@ def leaderboard_private(t: Lineage) -> DataFrame:
 @query(lambda: f"""{on('engagement', 'scores')} {' union all '.join(f"select *, '{s}' as span from ({board_sql(PROJECT, leaderboard.Cap(), 946684800 - leaderboard.SPANS[s] * 86400, 946684800)})" for s in ('30d', '1y'))}""")
 def leaderboard_spans(t: Lineage) -> DataFrame:
     return leaderboard.leaderboards(t.engagement, t.posts, t.users, t.scores, PROJECT, 946684800, spans=("30d", "1y"))
+
+
+# ---- the whole network ---------------------------------------------------------------------------
+
+
+THREADS = f"""(select p.post_id as root_post_id, p.user_x_id as root_user_id, ru.x_username as root_username, e.user_x_id as engaged_user_id, cast(eu.score as double) as s, e.favorite_count as fav,
+    e.post_created_at as t, e.post_id as reply, p.view_count from user_posts e join user_posts p on p.post_id = e.root_post_id join users ru on ru.x_id = p.user_x_id join users eu on eu.x_id = e.user_x_id
+    where e.post_created_at {NET_IN} and p.post_created_at {NET_IN} and e.is_reply and not e.is_retweet and not e.is_quote and p.is_post and p.user_x_id <> e.user_x_id)"""
+
+
+@query(lambda: f"""{on('user_posts', 'gscores')} select x.*, {flags_sql()} from (
+    select m.post_id, handle, username, post_unique_reach, cast(view_count as bigint) as total_impressions, total_likes, total_replies, unique_engagers, smart_reach, {div('total_likes', 'total_replies', 2)} as like_reply_ratio,
+      {div('view_count', 'post_unique_reach', 2)} as impression_to_unique_reach_ratio, {div('post_unique_reach', 'unique_engagers', 2)} as unique_engager_scores_to_count_ratio from (
+        select root_post_id as post_id, root_user_id as handle, root_username as username, count(*) as unique_engagers, {esum('s')} as post_unique_reach, cast(max(fav) as int) as total_likes,
+               cast(sum(n) as bigint) as total_replies, max(view_count) as view_count
+        from (select root_post_id, root_user_id, root_username, engaged_user_id, max(s) as s, arg_min(fav, (t, reply)) as fav, count(*) as n, max(view_count) as view_count from {THREADS} group by 1, 2, 3, 4) group by 1, 2, 3) m
+    left join {first_sql('gscores', 'post_created_at ' + NET_IN)} sr on sr.post_id = m.post_id) x left join users a on a.x_id = handle""")
+def global_post_level_metrics(t: Lineage) -> DataFrame:
+    return metrics.global_post_metrics(t.user_posts, t.users, t.global_scores, NET_START, NET_END)
+
+
+@query(lambda: f"""{on('user_posts', 'gscores')} select r.root_user_id as handle, u.x_username as username, cast(u.score as double) as score, post_count, smart_reach,
+    {rn('smart_reach + post_count * coalesce(cast(u.score as double), 0)', 3)} as mindshare_score, account_unique_reach
+    from (select root_user_id, {esum('s')} as account_unique_reach from (select root_user_id, engaged_user_id, max(s) as s from {THREADS} group by 1, 2) group by 1) r
+    join (select root_user_id, count(*) as post_count, coalesce({esum('smart_reach')}, 0) as smart_reach from (select distinct root_user_id, root_post_id from {THREADS}) v
+          left join {first_sql('gscores', 'post_created_at ' + NET_IN)} s on s.post_id = v.root_post_id group by 1) c on c.root_user_id = r.root_user_id left join users u on u.x_id = r.root_user_id""")
+def global_account_level_metrics(t: Lineage) -> DataFrame:
+    return metrics.global_account_metrics(t.user_posts, t.users, t.global_scores, NET_START, NET_END)
+
+
+@query(lambda: f"""{on('users', 'user_posts')} select {ratios_sql('', 'view_count').removesuffix('from ')} from (
+    select root_post_id as post_id, root_user_id as handle, root_username as username, count(*) as unique_engagers, {esum('s')} as post_unique_reach, cast(max(fav) as int) as total_likes,
+      cast(sum(n) as bigint) as total_replies, max(view_count) as view_count from (
+        select p.post_id as root_post_id, p.user_x_id as root_user_id, ru.x_username as root_username, e.user_x_id, max(cast(eu.score as double)) as s, max(p.favorite_count) as fav, max(p.view_count) as view_count, count(*) as n
+        from user_posts p join user_posts e on e.replied_post_id = p.post_id left join users ru on ru.x_id = p.user_x_id left join users eu on eu.x_id = e.user_x_id
+        where (p.is_post or (p.is_quote and not p.is_reply)) and p.post_created_at {NET_IN} and e.post_created_at {NET_IN} and e.user_x_id <> p.user_x_id group by 1, 2, 3, 4) group by 1, 2, 3) m""")
+def global_post_engagement_ratios(t: Lineage) -> DataFrame:
+    return metrics.global_post_engagement_ratios(t.user_posts, t.users, NET_START, NET_END)
+
+
+# ---- analytics -----------------------------------------------------------------------------------
+
+FILTERED = f"(select * from posts where project_keyword = '{PROJECT}' and post_created_at {IN})"
+OWN = "(is_post or (is_quote and not is_reply))"
+
+
+def kinds_sql(alias: str = "") -> str:
+    return f"""count(case when {alias}is_post then 1 end) as post_count, count(case when {alias}is_quote and not {alias}is_reply then 1 end) as quote_post_count, count(case when {alias}is_reply then 1 end) as replies_count,
+      cast(sum(case when {alias}is_post then coalesce({alias}view_count, 0) else 0 end) as bigint) as post_view_count, cast(sum(case when {alias}is_quote and not {alias}is_reply then coalesce({alias}view_count, 0) else 0 end) as bigint) as quote_view_count,
+      cast(sum(case when {alias}is_reply then coalesce({alias}view_count, 0) else 0 end) as bigint) as replies_view_count"""
+
+
+def project_users_sql() -> str:
+    eng = f"(select root_user_id, root_post_id, engaged_user_id, max(engaged_user_score) as s, count(*) as n from engagement where {ENGAGED} and is_engaged_reply group by 1, 2, 3)"
+    w = "coalesce(nullif(x_score, 0), 0.01e0)"
+    return f"""{on('features', 'scores')} select *, row_number() over (order by mindshare_score desc, x_id) as rank from (
+      select st.x_id, st.x_username, st.x_score, likes + retweets + coalesce(received, 0) as engagements, likes, coalesce(received, 0) as replies, retweets,
+        coalesce({div('likes', 'coalesce(received, 0)', 2)}, 0) as like_to_reply_ratio, post_count, quote_post_count, replies_count, post_view_count, quote_view_count, replies_view_count,
+        coalesce(unique_engager, 0) as unique_engager, {rn('med', 2)} as median_unique_engagers_score, {rn('mean', 2)} as average_unique_engagers_score, unique_reach, reach,
+        coalesce(smart_reach, 0) as smart_reach, {rn('content', 2)} as average_content_score, {rn('p90', 2)} as average_p90,
+        {rn(f'coalesce(points, 0) + (post_count + quote_post_count) * {w} + replies_count * {w} / 100.0e0', 3)} as mindshare_score
+      from (select f.user_x_id as x_id, coalesce(max(u.x_username), '') as x_username, coalesce(max(cast(u.score as double)), 0) as x_score, {kinds_sql('f.')},
+              cast(sum(case when {OWN} then coalesce(favorite_count, 0) else 0 end) as bigint) as likes, cast(sum(case when {OWN} then coalesce(retweet_count, 0) else 0 end) as bigint) as retweets,
+              avg(case when {OWN} then cast(content_score as double) end) as content, {mean6(f'case when {OWN} then duration_days_p90 end')} as p90
+            from {FILTERED} f left join users u on u.x_id = f.user_x_id left join features fe on fe.project_keyword = '{PROJECT}' and fe.root_post_id = f.post_id group by 1) st
+      left join (select root_user_id, count(*) as unique_engager, {esum('s')} as unique_reach, {esum('r')} as reach, cast(sum(n) as bigint) as received, quantile_cont(s, 0.5) as med, {esum('s')} / count(s) as mean
+                 from (select root_user_id, engaged_user_id, max(s) as s, {esum('s')} as r, sum(n) as n from {eng} group by 1, 2) group by 1) r on r.root_user_id = st.x_id
+      left join (select root_user_id, {esum('smart_reach')} as smart_reach, cast(sum(cast({rn('smart_reach * (coalesce(cast(content_score as double), 100.0e0) / 100.0e0)', 4)} as decimal(20,4))) as double) as points
+                 from (select distinct root_user_id, root_post_id from {eng}) v join {first_sql('scores', f"project_keyword = '{PROJECT}' and post_created_at {IN}")} s on s.post_id = v.root_post_id
+                 join posts p on p.post_id = v.root_post_id and p.project_keyword = '{PROJECT}' group by 1) pt on pt.root_user_id = st.x_id)"""
+
+
+@query(project_users_sql)
+def project_users(t: Lineage) -> DataFrame:
+    return analytics.project_users(t.posts, t.users, t.engagement, t.features, t.scores, PROJECT, START, END)
+
+
+@query(lambda: f"""{on('users', 'posts')} select count(user_x_id) as total_unique_engaged_users, cast(sum(post_count) as bigint) as total_post_count, cast(sum(quote_post_count) as bigint) as total_quote_post_count,
+    cast(sum(replies_count) as bigint) as total_replies_count, cast(sum(post_view_count) as bigint) as total_post_view_count, cast(sum(quote_view_count) as bigint) as total_quote_post_view_count,
+    cast(sum(replies_view_count) as bigint) as total_replies_view_count, coalesce({esum('score')}, 0) as community_score, cast(sum(post_view_count + quote_view_count + replies_view_count) as bigint) as total_view_count
+    from (select user_x_id, {kinds_sql()} from {FILTERED} group by 1) left join users on x_id = user_x_id""")
+def project_totals(t: Lineage) -> DataFrame:
+    return analytics.project_totals(t.posts, t.users, PROJECT, START, END)
+
+
+@query()
+def project_analytics(t: Lineage) -> DataFrame:
+    return analytics.project_analytics(t.posts, t.users, t.engagement, t.features, t.scores, PROJECT, START, END, "SMART_REACH")
+
+
+@query(lambda: f"""{on('features', 'scores')} select x.*, {flags_sql()} from (
+    select p.post_id, user_x_id as handle, u.x_username as username, full_text as content, cast(content_score as double) as content_score, coalesce(view_count, 0) as total_impressions, coalesce(favorite_count, 0) as total_likes,
+      coalesce(n, 0) as total_replies, coalesce(c, 0) as unique_engagers, reach as post_unique_reach, smart_reach, {div('favorite_count', 'coalesce(n, 0)', 2)} as like_reply_ratio,
+      {div('view_count', 'reach', 2)} as impression_to_unique_reach_ratio, {div('reach', 'coalesce(c, 0)', 2)} as unique_engager_scores_to_count_ratio,
+      {rn('burst_concentration', 4)} as burst_concentration, {rn('duration_days_p90', 4)} as duration_days_p90, cross_post_overlap, {rn('coordinated_burst', 4)} as coordinated_burst
+    from {FILTERED} p left join users u on u.x_id = p.user_x_id
+    left join (select root_post_id, count(*) as c, {esum('s')} as reach, cast(sum(n) as bigint) as n from (select root_post_id, engaged_user_id, max(engaged_user_score) as s, count(*) as n from engagement
+               where project_keyword = '{PROJECT}' and is_engaged_reply and engaged_tweet_created_at {IN} and engaged_user_id <> root_user_id group by 1, 2) group by 1) e on e.root_post_id = p.post_id
+    left join {first_sql('scores', 'post_created_at ' + IN)} s on s.post_id = p.post_id left join features fe on fe.root_post_id = p.post_id and fe.project_keyword = '{PROJECT}'
+    where user_x_id = '{USER}' and {OWN}) x left join users a on a.x_id = handle""")
+def project_user_posts(t: Lineage) -> DataFrame:
+    found = analytics.project_user_posts(t.posts, t.users, t.engagement, t.features, t.scores, USER, PROJECT, START, END)
+    return found.withColumns({c: round_n(c, 4) for c in ("burst_concentration", "duration_days_p90", "coordinated_burst")})
+
+
+NET_HALF = f"post_created_at >= {ts(NET_START)} and post_created_at < {ts(NET_END)}"
+
+
+@query(lambda: f"""{on('user_features', 'gscores')} select x.*, {flags_sql().replace('total_replies', 'replies_count')} from (
+    select p.post_id, p.user_x_id as handle, u.x_username as username, full_text as content, favorite_count as likes_count, coalesce(ext, 0) as replies_count, quote_count as quotes_count, retweet_count as retweets_count,
+      cast(view_count as bigint) as impressions, {rn('burst_concentration', 4)} as burst_concentration, {rn('duration_days_p90', 4)} as duration_days_p90, cross_post_overlap, {rn('coordinated_burst', 4)} as coordinated_burst,
+      coalesce(r, 0) as reach, coalesce(ur, 0) as unique_reach, favorite_count + coalesce(ext, 0) + retweet_count as engagements, coalesce(own, 0) as self_replies_count,
+      {div('favorite_count', 'coalesce(ext, 0)', 2)} as like_reply_ratio, {div('view_count', 'coalesce(ur, 0)', 4)} as impression_to_unique_reach_ratio, case when is_quote then 'quote' else 'post' end as post_type,
+      coalesce(smart_reach, 0) as smart_reach, coalesce(c, 0) as unique_engagers, {div('coalesce(ur, 0)', 'coalesce(c, 0)', 2)} as unique_engager_scores_to_count_ratio
+    from user_posts p left join users u on u.x_id = p.user_x_id
+    left join (select replied_post_id, count(case when user_x_id <> '{NET_USER}' then 1 end) as ext, count(case when user_x_id = '{NET_USER}' then 1 end) as own, count(distinct case when user_x_id <> '{NET_USER}' then user_x_id end) as c,
+                 {esum(f"case when user_x_id <> '{NET_USER}' then s end")} as r, {esum(f"case when user_x_id <> '{NET_USER}' and k = 1 then s end")} as ur
+               from (select replied_post_id, user_x_id, coalesce(cast(score as double), 0) as s, row_number() over (partition by replied_post_id, user_x_id order by post_id) as k from user_posts left join users on x_id = user_x_id
+                     where {NET_HALF} and replied_post_id is not null) group by 1) e on e.replied_post_id = p.post_id
+    left join {first_sql('gscores', f"{NET_HALF} and original_author_x_id = '{NET_USER}'")} s on s.post_id = p.post_id left join user_features fe on fe.root_post_id = p.post_id
+    where p.user_x_id = '{NET_USER}' and {NET_HALF} and (p.post_id = p.root_post_id or p.root_post_id is null) and (is_post or is_quote) and not is_reply and not is_retweet) x left join users a on a.x_id = handle""")
+def user_posts_analytics(t: Lineage) -> DataFrame:
+    found = analytics.user_posts_analytics(t.user_posts, t.users, t.user_features, t.global_scores, NET_USER, NET_START, NET_END)
+    return found.withColumns({c: round_n(c, 4) for c in ("burst_concentration", "duration_days_p90", "coordinated_burst")})
+
+
+def all_users_sql(limit: str) -> str:
+    own = f"""(select * from (select *, row_number() over (partition by user_x_id order by post_created_at desc, post_id) as rn from user_posts where (is_post or is_quote) and not is_reply and not is_retweet) {limit})"""
+    came = f"""(select p.user_x_id as author, e.user_x_id as engager, p.post_id as target, coalesce(cast(u.score as double), 0) as s from user_posts e join {own} p on e.replied_post_id = p.post_id or e.quoted_post_id = p.post_id
+      left join users u on u.x_id = e.user_x_id)"""
+    return f"""{on('user_features', 'gscores')} select st.x_id, coalesce(u.x_username, '') as x_username, coalesce(cast(u.score as double), 0) as x_score, coalesce(c, 0) as total_unique_engaged_users, total_post_count, total_quote_post_count,
+      total_post_view_count, total_quote_post_view_count, total_post_view_count + total_quote_post_view_count as total_view_count, likes + retweets + coalesce(n, 0) as engagements, likes, coalesce(n, 0) as replies, retweets,
+      coalesce({div('likes', 'coalesce(n, 0)', 2)}, 0) as like_to_reply_ratio, coalesce(reach, 0) as reach, coalesce(ur, 0) as unique_reach, average_p90, first_post_date, last_post_date, coalesce(self_n, 0) as self_replies,
+      coalesce(smart_reach, 0) as smart_reach, coalesce(c, 0) as unique_engagers_count, {rn('coalesce(med, 0)', 2)} as median_unique_engagers_score, {rn('coalesce(mean, 0)', 2)} as average_unique_engagers_score
+    from (select user_x_id as x_id, count(case when is_post then 1 end) as total_post_count, count(case when is_quote then 1 end) as total_quote_post_count, cast(sum(case when is_post then view_count else 0 end) as bigint) as total_post_view_count,
+            cast(sum(case when is_quote then view_count else 0 end) as bigint) as total_quote_post_view_count, cast(sum(favorite_count) as bigint) as likes, cast(sum(retweet_count) as bigint) as retweets,
+            min(post_created_at) as first_post_date, max(post_created_at) as last_post_date, {rn(mean6('duration_days_p90'), 2)} as average_p90 from {own} o left join user_features fe on fe.root_post_id = o.post_id group by 1) st
+    left join users u using (x_id)
+    left join (select author, count(case when engager <> author then 1 end) as n, count(case when engager = author then 1 end) as self_n from {came} group by 1) a on a.author = st.x_id
+    left join (select author, {esum('s')} as reach from (select author, target, engager, max(s) as s from {came} where engager <> author group by 1, 2, 3) group by 1) b on b.author = st.x_id
+    left join (select author, count(*) as c, {esum('s')} as ur, quantile_cont(s, 0.5) as med, {esum('s')} / count(s) as mean from (select author, engager, max(s) as s from {came} where engager <> author group by 1, 2) group by 1) d on d.author = st.x_id
+    left join (select author, {esum('smart_reach')} as smart_reach from (select distinct author, target from {came} where engager <> author) v join {first_sql('gscores', 'true')} s on s.post_id = v.target group by 1) f on f.author = st.x_id"""
+
+
+@query(lambda: all_users_sql(""))
+def all_users_analytics(t: Lineage) -> DataFrame:
+    return analytics.all_users_analytics(t.user_posts, t.users, t.user_features, t.global_scores)
+
+
+@query(lambda: all_users_sql("where rn <= 2"))
+def all_users_analytics_latest(t: Lineage) -> DataFrame:
+    return analytics.all_users_analytics(t.user_posts, t.users, t.user_features, t.global_scores, limit_per_user=2)
+
+
+def user_analytics_sql(limit: int) -> str:
+    own = f"(select * from user_posts where user_x_id = '{NET_USER}' and {OWN} order by post_created_at desc, post_id limit {limit})"
+    came = f"""(select e.post_id, e.user_x_id as engager, coalesce(cast(u.score as double), 0) as s, coalesce(e.replied_post_id, e.quoted_post_id) as target from user_posts e left join users u on u.x_id = e.user_x_id
+      where e.replied_post_id in (select post_id from {own}) or e.quoted_post_id in (select post_id from {own}))"""
+    me = f"'{NET_USER}'"
+    return f"""{on('user_features')} select c as total_unique_engaged_users, total_post_count, total_quote_post_count, total_post_view_count, total_quote_post_view_count, total_post_view_count + total_quote_post_view_count as total_view_count,
+      st.x_id, coalesce(u.x_username, '') as x_username, coalesce(cast(u.score as double), 0) as x_score, likes + retweets + n as engagements, likes, n as replies, retweets, coalesce({div('likes', 'n', 2)}, 0) as like_to_reply_ratio,
+      reach, ur as unique_reach, first_post_date, last_post_date, self_n as self_replies, average_p90
+    from (select user_x_id as x_id, count(case when is_post then 1 end) as total_post_count, count(case when is_quote and not is_reply then 1 end) as total_quote_post_count, cast(sum(case when is_post then view_count else 0 end) as bigint) as total_post_view_count,
+            cast(sum(case when is_quote and not is_reply then view_count else 0 end) as bigint) as total_quote_post_view_count, cast(sum(favorite_count) as bigint) as likes, cast(sum(retweet_count) as bigint) as retweets,
+            min(post_created_at) as first_post_date, max(post_created_at) as last_post_date, {rn(mean6('duration_days_p90'), 2)} as average_p90 from {own} o left join user_features fe on fe.root_post_id = o.post_id group by 1) st
+    left join users u using (x_id)
+    cross join (select count(case when engager <> {me} then 1 end) as n, count(case when engager = {me} then 1 end) as self_n, count(distinct case when engager <> {me} then engager end) as c from {came}) a
+    cross join (select coalesce({esum('s')}, 0) as reach from (select target, engager, max(s) as s from {came} where engager <> {me} group by 1, 2)) b
+    cross join (select coalesce({esum('s')}, 0) as ur from (select engager, max(s) as s from {came} where engager <> {me} group by 1)) d"""
+
+
+@query(lambda: user_analytics_sql(20))
+def user_analytics(t: Lineage) -> DataFrame:
+    return analytics.user_analytics(t.user_posts, t.users, t.user_features, NET_USER, 20)
+
+
+def quality_sql() -> str:
+    ids = ", ".join(repr(u) for u in NET_USERS)
+    newest = "order by updated_at desc nulls first, created_at desc"
+    own = f"""(select * from (select *, row_number() over (partition by user_x_id order by post_created_at desc, post_id) as rn from (
+        select *, row_number() over (partition by post_id, user_x_id {newest}) as v from nucleus_posts where user_x_id in ({ids}) and {OWN} and is_reply_fetched) where v = 1) where rn <= 50)"""
+    eng = f"""(select e.replied_post_id as post_id, e.user_x_id as engager, e.is_reply, cast(u.score as double) as s, p.user_x_id as handle from (
+        select *, row_number() over (partition by post_id {newest}) as v from nucleus_posts where replied_post_id is not null) e join {own} p on p.post_id = e.replied_post_id and e.user_x_id <> p.user_x_id
+        left join users u on u.x_id = e.user_x_id where e.v = 1)"""
+    return f"""{on('users', 'nucleus_posts')} select x_id as handle, coalesce(x_username, '') as username, coalesce(cast(score as double), 0) as score, coalesce(ur, 0) as unique_reach, coalesce(ef, 0) as engagement_flag_count,
+      coalesce(bf, 0) as botting_flag_count, coalesce(total_posts, 0) as total_posts from users
+    left join (select handle, count(*) as total_posts, count(case when lf or vf then 1 end) as ef, count(case when lb or vb then 1 end) as bf from (
+        select handle, coalesce(n >= 10 and lr < 1.7, false) as lf, coalesce(n >= 10 and lr > 20, false) as lb, coalesce(ir < 1, false) as vf, coalesce(ir > case when a.score > 2000 then 15 else 5 end, false) as vb from (
+          select p.user_x_id as handle, n, {div('favorite_count', 'n', 2)} as lr, {div('view_count', 'reach', 2)} as ir from {own} p
+          left join (select post_id, cast(sum(n) as bigint) as n, coalesce({esum('s')}, 0) as reach from (select post_id, engager, max(s) as s, count(case when is_reply then 1 end) as n from {eng} group by 1, 2) group by 1) e on e.post_id = p.post_id)
+        left join users a on a.x_id = handle) group by 1) f on f.handle = x_id
+    left join (select handle, {esum('s')} as ur from (select handle, engager, max(s) as s from {eng} group by 1, 2) group by 1) r on r.handle = x_id where x_id in ({ids})"""
+
+
+@query(quality_sql)
+def user_engagement_quality(t: Lineage) -> DataFrame:
+    return analytics.engagement_quality(t.nucleus_posts, t.users, NET_USERS)
+
+
+AS_OF = "2001-07-20"
+LISTED = [f"u{k}" for k in range(0, 200, 7)]
+
+
+def posts_of_sql(table: str, name: str, keyword: str, status: str) -> str:
+    ids = ", ".join(repr(u) for u in LISTED)
+    return f"""{on(table)} select post_id, user_x_id, {keyword} as project_keyword, '{name}' as source_table, favorite_count, view_count, post_created_at, is_post, is_quote, is_reply, updated_at,
+      case when is_post then 'post' else 'quote' end as post_type, {status} as status from {table} where user_x_id in ({ids}) and not is_reply and not is_retweet"""
+
+
+@query(lambda: posts_of_sql("posts", "mindshare_post", "project_keyword", f"case when datediff('day', cast(created_at as date), date '{AS_OF}') >= 2 then 'tracked' else 'Under Review' end") + f" and project_keyword = '{PROJECT}'")
+def posts_from_users(t: Lineage) -> DataFrame:
+    return analytics.posts_of({"mindshare_post": t.posts}, LISTED, project=PROJECT, as_of=F.lit(AS_OF).cast("date"))
+
+
+@query(lambda: posts_of_sql("user_posts", "user_post", "cast(null as varchar)", "cast(null as varchar)"))
+def posts_from_users_network(t: Lineage) -> DataFrame:
+    return analytics.posts_of({"user_post": t.user_posts}, LISTED, table="user_post")
+
+
+@query(lambda: posts_of_sql("nucleus_posts", "nucleus_post", "project_keyword", "cast(null as varchar)"))
+def posts_from_users_nucleus(t: Lineage) -> DataFrame:
+    return analytics.posts_of({"nucleus_post": t.nucleus_posts}, LISTED, table="nucleus_post")
+
+
+@query(lambda: f"""{on('user_posts')} select user_x_id, post_id, post_created_at, rn from (select *, row_number() over (partition by user_x_id order by post_created_at desc, post_id) as rn from user_posts) where rn <= 10""")
+def latest_posts_per_user(t: Lineage) -> DataFrame:
+    return analytics.latest_per_user(t.user_posts, 10).select("user_x_id", "post_id", "post_created_at", "rn")
