@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, embeddings, langid, mixing, quality, secrets, sharding, simhash, span_dedup
+from plumbline.llm import chat, decontaminate, embeddings, langid, mixing, oracles, quality, secrets, sharding, simhash, span_dedup
 from plumbline.llm.common import table
 
 SHARDS = [1.0] * 24
@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
