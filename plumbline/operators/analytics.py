@@ -32,7 +32,7 @@ def _kinds() -> tuple[Column, Column, Column, Column]:
 def project_users(
     posts: DataFrame, users: DataFrame, engagement: DataFrame, features: DataFrame, scores: DataFrame, project: str, start: int, end: int, only: Sequence[str] | None = None
 ) -> DataFrame:
-    """One row a user who posted in the project and range, with rank by mindshare score."""
+    """One row a user who posted in the project and range, with rank by influence score."""
     post, quote, reply, own = _kinds()
     filtered = posts.where(F.col("project_keyword") == project).where(within("post_created_at", start, end))
     if only:
@@ -71,9 +71,9 @@ def project_users(
         F.coalesce(ratio(F.col("likes"), received, 2), F.lit(0.0)).alias("like_to_reply_ratio"), "post_count", "quote_post_count", "replies_count", "post_view_count",
         "quote_view_count", "replies_view_count", F.coalesce("unique_engager", F.lit(0)).alias("unique_engager"), round_n("_median", 2).alias("median_unique_engagers_score"),
         round_n("_mean", 2).alias("average_unique_engagers_score"), "unique_reach", "reach", F.coalesce("smart_reach", F.lit(0.0)).alias("smart_reach"),
-        round_n("_content", 2).alias("average_content_score"), round_n("_p90", 2).alias("average_p90"), round_n(score, 3).alias("mindshare_score"),
+        round_n("_content", 2).alias("average_content_score"), round_n("_p90", 2).alias("average_p90"), round_n(score, 3).alias("influence_score"),
     )
-    return full.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("mindshare_score"), "x_id")))
+    return full.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("influence_score"), "x_id")))
 
 
 def sort_value(key: str) -> Column:
@@ -81,7 +81,7 @@ def sort_value(key: str) -> Column:
     c = F.col
     return {
         "MOST_VIEWS": c("post_view_count") + c("quote_view_count"), "UNIQUE_ENGAGERS": c("unique_engager"), "UNIQUE_REACH": c("unique_reach"), "REACH": c("reach"),
-        "ENGAGEMENTS": c("engagements") + c("replies"), "MINDSHARE_SCORE": c("mindshare_score"), "SMART_REACH": c("smart_reach"),
+        "ENGAGEMENTS": c("engagements") + c("replies"), "INFLUENCE_SCORE": c("influence_score"), "SMART_REACH": c("smart_reach"),
     }.get(key, c("post_count") + c("quote_post_count"))
 
 
@@ -111,7 +111,7 @@ def project_analytics(
     item = F.struct(
         "x_id", "x_username", "x_score", "engagements", "likes", "replies", "retweets", "like_to_reply_ratio", F.struct("post_count", "quote_post_count", "replies_count").alias("contributions"),
         F.struct(c("post_view_count"), c("quote_view_count").alias("quote_post_view_count"), c("replies_view_count")).alias("views"), c("unique_engager").alias("unique_engagers_count"),
-        "median_unique_engagers_score", "average_unique_engagers_score", "average_content_score", "average_p90", "unique_reach", "reach", "smart_reach", "mindshare_score", "rank",
+        "median_unique_engagers_score", "average_unique_engagers_score", "average_content_score", "average_p90", "unique_reach", "reach", "smart_reach", "influence_score", "rank",
     )
     top = table.orderBy(F.desc_nulls_last("_key"), "rank").limit(rows)  # a bounded list
     place = F.row_number().over(Window.orderBy(F.desc_nulls_last("_key"), "rank"))
@@ -313,12 +313,12 @@ def engagement_quality(nucleus_posts: DataFrame, users: DataFrame, ids: Sequence
 
 
 def posts_of(tables: dict[str, DataFrame], ids: Sequence[str], projects: DataFrame | None = None, project: str | None = None, table: str | None = None, as_of: Column | None = None) -> DataFrame:
-    """Listed users' own posts from ``mindshare_post`` (the default), ``user_post`` or ``nucleus_post``, latest first.
+    """Listed users' own posts from ``project_post`` (the default), ``user_post`` or ``nucleus_post``, latest first.
 
     With a project its dates restrict the range (those over 0), and its keyword the rows of tables that have one.
     status says whether a project post is two days old on ``as_of`` (default today). Another table name: no rows.
     """
-    name = table or "mindshare_post"
+    name = table or "project_post"
     rows = tables.get(name)
     empty = rows is None
     if empty:
@@ -332,7 +332,7 @@ def posts_of(tables: dict[str, DataFrame], ids: Sequence[str], projects: DataFra
             rows = rows.where(F.col("project_keyword") == project)
     kind = F.when(F.col("is_post"), "post").when(F.col("is_quote") & ~F.col("is_reply"), "quote").when(F.col("is_reply"), "reply")
     age = F.datediff(F.current_date() if as_of is None else as_of, F.col("created_at").cast("date"))
-    status = F.when(age >= 2, "tracked").otherwise("Under Review") if name == "mindshare_post" else F.lit(None).cast("string")
+    status = F.when(age >= 2, "tracked").otherwise("Under Review") if name == "project_post" else F.lit(None).cast("string")
     keyword = F.lit(None).cast("string") if name == "user_post" else F.col("project_keyword")
     return rows.select(
         "post_id", "user_x_id", keyword.alias("project_keyword"), F.lit(name).alias("source_table"), "favorite_count", "view_count", "post_created_at", "is_post", "is_quote", "is_reply", "updated_at",

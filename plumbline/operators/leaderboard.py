@@ -75,12 +75,12 @@ def leaderboard(
     points = F.coalesce("_points", F.lit(0.0)) + F.coalesce("_posts", F.lit(0)) * weight + F.col("_replies") * weight / 100.0
     board = full.select(
         F.col("root_user_id").alias("x_user_id"), F.col("root_username").alias("x_username"), F.coalesce("display_name", F.lit("")).alias("x_display_name"),
-        F.col("avatar_url").alias("x_avatar_url"), round_n(points, 3).alias("mindshare_score"),
+        F.col("avatar_url").alias("x_avatar_url"), round_n(points, 3).alias("influence_score"),
     )
-    total = board.agg(F.sum(F.col("mindshare_score").cast("decimal(20,3)")).cast("double").alias("_all"))
+    total = board.agg(F.sum(F.col("influence_score").cast("decimal(20,3)")).cast("double").alias("_all"))
     board = board.crossJoin(F.broadcast(total))  # one row
-    share = F.when(F.col("_all") == 0, 0.0).otherwise(round_n(F.col("mindshare_score") * 100.0 / F.col("_all"), 2))
-    board = board.withColumn("mindshare_percent", share).drop("_all").orderBy(F.desc_nulls_last("mindshare_score"), "x_user_id")
+    share = F.when(F.col("_all") == 0, 0.0).otherwise(round_n(F.col("influence_score") * 100.0 / F.col("_all"), 2))
+    board = board.withColumn("influence_percent", share).drop("_all").orderBy(F.desc_nulls_last("influence_score"), "x_user_id")
     return board if rows is None else board.limit(rows)
 
 

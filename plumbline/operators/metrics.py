@@ -137,10 +137,10 @@ def account_metrics(engagement: DataFrame, posts: DataFrame, user_posts: DataFra
     n, sr = F.coalesce("post_count", F.lit(0)), F.coalesce("smart_reach", F.lit(0.0))
     full = full.select(
         F.col("root_user_id").alias("handle"), F.col("root_username").alias("username"), "score", n.alias("post_count"), sr.alias("smart_reach"),
-        round_n(sr + n * F.coalesce("score", F.lit(0.0)), 3).alias("mindshare_score"), "keyword_unique_reach",
+        round_n(sr + n * F.coalesce("score", F.lit(0.0)), 3).alias("influence_score"), "keyword_unique_reach",
         F.coalesce("account_unique_reach", F.lit(0.0)).alias("account_unique_reach"),
     )
-    return full.withColumn("account_keyword_unique_reach_ratio", ratio(F.col("account_unique_reach"), F.col("keyword_unique_reach"), 2)).orderBy(F.desc_nulls_last("mindshare_score"), "handle")
+    return full.withColumn("account_keyword_unique_reach_ratio", ratio(F.col("account_unique_reach"), F.col("keyword_unique_reach"), 2)).orderBy(F.desc_nulls_last("influence_score"), "handle")
 
 
 def account_keyword_reach_ratio(engagement: DataFrame, user_posts: DataFrame, users: DataFrame, project: str, start: int, end: int) -> DataFrame:
@@ -264,7 +264,7 @@ def global_account_metrics(user_posts: DataFrame, users: DataFrame, scores: Data
     named = users.select(F.col("x_id").alias("root_user_id"), F.col("x_username").alias("username"), F.col("score").cast("double").alias("score"))
     full = reach.join(counts, "root_user_id").join(named, "root_user_id", "left")
     score = round_n(F.col("smart_reach") + F.col("post_count") * F.coalesce("score", F.lit(0.0)), 3)
-    return full.select(F.col("root_user_id").alias("handle"), "username", "score", "post_count", "smart_reach", score.alias("mindshare_score"), "account_unique_reach").orderBy(F.desc_nulls_last("mindshare_score"), "handle")
+    return full.select(F.col("root_user_id").alias("handle"), "username", "score", "post_count", "smart_reach", score.alias("influence_score"), "account_unique_reach").orderBy(F.desc_nulls_last("influence_score"), "handle")
 
 
 def global_post_engagement_ratios(user_posts: DataFrame, users: DataFrame, start: int, end: int) -> DataFrame:

@@ -357,7 +357,7 @@ WIDE = ENGAGED.replace(IN, WIDE_IN)
 
 
 @query(lambda: f"""{on('engagement', 'scores', 'user_posts')} select k.root_user_id as handle, root_username as username, cast(u.score as double) as score, coalesce(post_count, 0) as post_count,
-    coalesce(smart_reach, 0) as smart_reach, {rn('coalesce(smart_reach, 0) + coalesce(post_count, 0) * coalesce(cast(u.score as double), 0)', 3)} as mindshare_score, keyword_unique_reach,
+    coalesce(smart_reach, 0) as smart_reach, {rn('coalesce(smart_reach, 0) + coalesce(post_count, 0) * coalesce(cast(u.score as double), 0)', 3)} as influence_score, keyword_unique_reach,
     coalesce(account_unique_reach, 0) as account_unique_reach, {div('coalesce(account_unique_reach, 0)', 'keyword_unique_reach', 2)} as account_keyword_unique_reach_ratio
     from {keyword_sql(WIDE + ' and is_engaged_reply')} k left join {account_reach_sql(WIDE_IN)} a using (root_user_id) left join users u on u.x_id = k.root_user_id
     left join (select root_user_id, count(*) as post_count, coalesce({esum('smart_reach')}, 0) as smart_reach from (
@@ -447,11 +447,11 @@ def bucket_sql(period: str, anchor: datetime | None) -> str:
 def board_sql(project: str, cap: leaderboard.Cap, start: int = START, end: int = END, extra: str = "true") -> str:
     rng = f"between {ts(start)} and {ts(end)}"
     rank = f"row_number() over (partition by root_user_id, {bucket_sql(cap.period, cap.anchor)} order by value desc, root_post_id)"
-    return f"""select x_user_id, x_username, x_display_name, x_avatar_url, mindshare_score,
-      case when total = 0 then 0 else {rn('mindshare_score * 100.0e0 / total', 2)} end as mindshare_percent from (
-      select *, cast(sum(cast(mindshare_score as decimal(20,3))) over () as double) as total from (
+    return f"""select x_user_id, x_username, x_display_name, x_avatar_url, influence_score,
+      case when total = 0 then 0 else {rn('influence_score * 100.0e0 / total', 2)} end as influence_percent from (
+      select *, cast(sum(cast(influence_score as decimal(20,3))) over () as double) as total from (
         select r.root_user_id as x_user_id, root_username as x_username, coalesce(u.display_name, '') as x_display_name, u.avatar_url as x_avatar_url,
-          {rn('coalesce(points, 0) + coalesce(n, 0) * wt + replies * wt / 100.0e0', 3)} as mindshare_score
+          {rn('coalesce(points, 0) + coalesce(n, 0) * wt + replies * wt / 100.0e0', 3)} as influence_score
         from (select root_user_id, root_username, count(distinct case when is_root_reply then root_post_id end) as replies from engagement
               where project_keyword = '{project}' and root_tweet_created_at {rng} group by 1, 2) r
         left join (select root_user_id, cast(sum(cast({rn('value', 4)} as decimal(20,4))) as double) as points, count(*) as n from (
@@ -464,7 +464,7 @@ def board_sql(project: str, cap: leaderboard.Cap, start: int = START, end: int =
         left join (select x_id, coalesce(nullif(cast(score as double), 0), 0.01e0) as w0 from users) w on w.x_id = r.root_user_id
         cross join lateral (select coalesce(w.w0, 0.01e0) as wt)
         where root_username <> '{project}' and {extra}))
-      order by mindshare_score desc, x_user_id limit 1100"""
+      order by influence_score desc, x_user_id limit 1100"""
 
 
 BOARDS = {
@@ -520,7 +520,7 @@ def global_post_level_metrics(t: Lineage) -> DataFrame:
 
 
 @query(lambda: f"""{on('user_posts', 'gscores')} select r.root_user_id as handle, u.x_username as username, cast(u.score as double) as score, post_count, smart_reach,
-    {rn('smart_reach + post_count * coalesce(cast(u.score as double), 0)', 3)} as mindshare_score, account_unique_reach
+    {rn('smart_reach + post_count * coalesce(cast(u.score as double), 0)', 3)} as influence_score, account_unique_reach
     from (select root_user_id, {esum('s')} as account_unique_reach from (select root_user_id, engaged_user_id, max(s) as s from {THREADS} group by 1, 2) group by 1) r
     join (select root_user_id, count(*) as post_count, coalesce({esum('smart_reach')}, 0) as smart_reach from (select distinct root_user_id, root_post_id from {THREADS}) v
           left join {first_sql('gscores', 'post_created_at ' + NET_IN)} s on s.post_id = v.root_post_id group by 1) c on c.root_user_id = r.root_user_id left join users u on u.x_id = r.root_user_id""")
@@ -553,12 +553,12 @@ def kinds_sql(alias: str = "") -> str:
 def project_users_sql() -> str:
     eng = f"(select root_user_id, root_post_id, engaged_user_id, max(engaged_user_score) as s, count(*) as n from engagement where {ENGAGED} and is_engaged_reply group by 1, 2, 3)"
     w = "coalesce(nullif(x_score, 0), 0.01e0)"
-    return f"""{on('features', 'scores')} select *, row_number() over (order by mindshare_score desc, x_id) as rank from (
+    return f"""{on('features', 'scores')} select *, row_number() over (order by influence_score desc, x_id) as rank from (
       select st.x_id, st.x_username, st.x_score, likes + retweets + coalesce(received, 0) as engagements, likes, coalesce(received, 0) as replies, retweets,
         coalesce({div('likes', 'coalesce(received, 0)', 2)}, 0) as like_to_reply_ratio, post_count, quote_post_count, replies_count, post_view_count, quote_view_count, replies_view_count,
         coalesce(unique_engager, 0) as unique_engager, {rn('med', 2)} as median_unique_engagers_score, {rn('mean', 2)} as average_unique_engagers_score, unique_reach, reach,
         coalesce(smart_reach, 0) as smart_reach, {rn('content', 2)} as average_content_score, {rn('p90', 2)} as average_p90,
-        {rn(f'coalesce(points, 0) + (post_count + quote_post_count) * {w} + replies_count * {w} / 100.0e0', 3)} as mindshare_score
+        {rn(f'coalesce(points, 0) + (post_count + quote_post_count) * {w} + replies_count * {w} / 100.0e0', 3)} as influence_score
       from (select f.user_x_id as x_id, coalesce(max(u.x_username), '') as x_username, coalesce(max(cast(u.score as double)), 0) as x_score, {kinds_sql('f.')},
               cast(sum(case when {OWN} then coalesce(favorite_count, 0) else 0 end) as bigint) as likes, cast(sum(case when {OWN} then coalesce(retweet_count, 0) else 0 end) as bigint) as retweets,
               avg(case when {OWN} then cast(content_score as double) end) as content, {mean6(f'case when {OWN} then duration_days_p90 end')} as p90
@@ -707,9 +707,9 @@ def posts_of_sql(table: str, name: str, keyword: str, status: str) -> str:
       case when is_post then 'post' else 'quote' end as post_type, {status} as status from {table} where user_x_id in ({ids}) and not is_reply and not is_retweet"""
 
 
-@query(lambda: posts_of_sql("posts", "mindshare_post", "project_keyword", f"case when datediff('day', cast(created_at as date), date '{AS_OF}') >= 2 then 'tracked' else 'Under Review' end") + f" and project_keyword = '{PROJECT}'")
+@query(lambda: posts_of_sql("posts", "project_post", "project_keyword", f"case when datediff('day', cast(created_at as date), date '{AS_OF}') >= 2 then 'tracked' else 'Under Review' end") + f" and project_keyword = '{PROJECT}'")
 def posts_from_users(t: Lineage) -> DataFrame:
-    return analytics.posts_of({"mindshare_post": t.posts}, LISTED, project=PROJECT, as_of=F.lit(AS_OF).cast("date"))
+    return analytics.posts_of({"project_post": t.posts}, LISTED, project=PROJECT, as_of=F.lit(AS_OF).cast("date"))
 
 
 @query(lambda: posts_of_sql("user_posts", "user_post", "cast(null as varchar)", "cast(null as varchar)"))

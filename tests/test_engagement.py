@@ -82,13 +82,13 @@ def board(spark, **how):
 
 def test_the_best_posts_survive_the_cap(spark):
     found = board(spark, cap=leaderboard.Cap(2, "week", None))
-    assert found["a"]["mindshare_score"] == (400 + 300) * 0.8 + 2 * 10
+    assert found["a"]["influence_score"] == (400 + 300) * 0.8 + 2 * 10
     assert "boss" not in found and "noname" not in found
 
 
 def test_no_cap_and_lists(spark):
     found = board(spark, cap=leaderboard.Cap(0, "none", None), only=["a", "u0"], exclude=["u0"])
-    assert list(found) == ["a"] and found["a"]["mindshare_score"] == 1000 * 0.8 + 40 and found["a"]["mindshare_percent"] == 100.0
+    assert list(found) == ["a"] and found["a"]["influence_score"] == 1000 * 0.8 + 40 and found["a"]["influence_percent"] == 100.0
 
 
 def test_cap_rows_with_defaults(spark):
@@ -120,5 +120,5 @@ def test_analytics_json_lists_the_users_in_order(spark):
 
 def test_posts_of_an_unknown_table_are_none(spark):
     posts, _ = tables(spark, [post("x", "a", 0)], [user("a", 1)])
-    assert analytics.posts_of({"mindshare_post": posts}, ["a"], table="else").isEmpty()
-    assert one(analytics.posts_of({"mindshare_post": posts}, ["a"]))["status"] == "tracked"
+    assert analytics.posts_of({"project_post": posts}, ["a"], table="else").isEmpty()
+    assert one(analytics.posts_of({"project_post": posts}, ["a"]))["status"] == "tracked"
