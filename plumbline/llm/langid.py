@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -37,40 +36,54 @@ def grams_of(word: str, n: int) -> list[str]:
     return [word[k : k + n] for k in range(len(word) - n + 1)]
 
 
-@dataclass
+class _Rows(dict):
+    """Word -> row of ``logs``, where its log likelihoods by language stand; filled as words are asked for."""
+
+    def __init__(self, langs: int, tables: dict[int, dict[str, tuple[float, ...]]], most: int = 300_000):
+        self.tables, self.most = tables, most
+        self.logs = np.zeros((most, langs))
+
+    def __missing__(self, word: str) -> int:
+        self[word] = row = len(self)
+        self.logs[row] = self.of(word)
+        return row
+
+    def of(self, word: str) -> tuple[float, ...] | list[float]:
+        """A learned word's own values, else the mean over its longest n-grams that were learned, else flat."""
+        if (own := self.tables[0].get(word)) is not None:
+            return own
+        for n in LENGTHS:
+            table = self.tables[n]
+            if known := [table[g] for g in grams_of(word, n) if g in table]:
+                return [sum(c) / len(known) for c in zip(*known, strict=True)]
+        return [0.0] * self.logs.shape[1]
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        if len(self) + len(words) > self.most:
+            self.clear()
+            if len(words) > self.most:  # a text of more words than the table holds rows
+                return np.array([self.of(w) for w in words]).reshape(len(words), -1)
+        return self.logs[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+
+
 class Model:
     """langs: sorted. tables[0]: word -> log probabilities by language; tables[n]: the same of n-grams."""
 
-    langs: list[str]
-    tables: dict[int, dict[str, np.ndarray]]
-    seen: dict[str, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-
-    def of_word(self, word: str) -> tuple[np.ndarray, np.ndarray]:
-        """Log likelihoods and the posterior by language; flat if nothing of the word is known."""
-        if (hit := self.seen.get(word)) is not None:
-            return hit
-        log = self.tables[0].get(word)
-        for n in LENGTHS if log is None else ():
-            if known := [t for g in grams_of(word, n) if (t := self.tables[n].get(g)) is not None]:
-                log = np.mean(known, axis=0)
-                break
-        if log is None:
-            log = np.zeros(len(self.langs))
-        p = np.exp(log - log.max())
-        if len(self.seen) > 200_000:
-            self.seen.clear()
-        self.seen[word] = hit = (log, p / p.sum())
-        return hit
+    def __init__(self, langs: list[str], tables: dict[int, dict[str, tuple[float, ...]]]):
+        self.langs, self.tables = langs, tables
+        self.known: _Rows | None = None
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language (first by name of equals), and the mean posterior it has over the words."""
-        words = words_of(text)
+        words = WORD.findall(text.lower()) if text else []
         if not words or not self.langs:
             return UNDETERMINED, 0.0
-        n = np.fromiter(words.values(), float, len(words))
-        logs, posts = zip(*map(self.of_word, words), strict=True)
-        best = int(np.argmax(n @ np.array(logs)))
-        return self.langs[best], float(min(1.0, n @ np.array(posts)[:, best] / n.sum()))
+        if self.known is None:
+            self.known = _Rows(len(self.langs), self.tables)
+        logs = self.known.rows(words)
+        best = int(np.argmax(logs.sum(0)))
+        odds = np.exp(logs - logs.max(axis=1, keepdims=True))
+        return self.langs[best], float(min(1.0, (odds[:, best] / odds.sum(1)).mean()))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -115,7 +128,7 @@ def fit(labelled: DataFrame, max_docs: int = 8000, max_words: int = 15_000, max_
         if kind == 0:  # a word met once tells little; its n-grams speak for it
             grams = {g: n for g, n in grams.items() if n.sum() >= 2}
         sums = sum(grams.values(), np.zeros(len(langs)))
-        tables[kind] = {g: np.log((n + 0.5) / (sums + 0.5 * (len(grams) + 1))) for g, n in grams.items()}
+        tables[kind] = {g: tuple(np.log((n + 0.5) / (sums + 0.5 * (len(grams) + 1))).tolist()) for g, n in grams.items()}
     return Model(langs, tables)
 
 
