@@ -29,31 +29,43 @@ def features(engaged: DataFrame, burst: str = "sliding", distinct_participants:
         raise ValueError(f"unknown burst: {burst}")
     keys = ["project_keyword"] if "project_keyword" in engaged.columns else []
     post, author = [*keys, "root_post_id"], [*keys, "root_user_id"]
-    base = engaged.select(*post, "root_user_id", "root_username", "root_tweet_created_at", "engaged_user_id", micros("engaged_tweet_created_at").alias("_t"))
+    root = [*post, "root_user_id", "root_username", "root_tweet_created_at"]
+    base = engaged.select(*root, "engaged_user_id", micros("engaged_tweet_created_at").alias("_t"))
     per_post = Window.partitionBy(*post)
+    in_time = per_post.orderBy("_t")
 
-    # burst: every window on the post, so one shuffle; the peak is the fullest window, the earliest of equals
+    # one shuffle on the post serves all of its windows. burst: the peak is the fullest window, the earliest of equals
     if burst == "hour":
         start = F.floor(F.col("_t") / F.lit(float(HOUR_US))) * HOUR_US
         base = base.withColumn("_start", start).withColumn("_n", F.count("_t").over(Window.partitionBy(*post, "_start")))
     else:
         width = HOUR_US if burst == "sliding" else HOUR_US - 1_000_000
-        base = base.withColumn("_start", F.col("_t")).withColumn("_n", F.count(F.lit(1)).over(per_post.orderBy("_t").rangeBetween(Window.currentRow, width)))
-    base = base.withColumn("_peak", F.max(F.struct(F.col("_n").alias("n"), (-F.col("_start")).alias("s"))).over(per_post))
+        base = base.withColumn("_start", F.col("_t")).withColumn("_n", F.count(F.lit(1)).over(in_time.rangeBetween(Window.currentRow, width)))
+    base = base.withColumn("_row", F.row_number().over(in_time))
+    base = base.withColumns(
+        {
+            "_peak": F.max(F.struct(F.col("_n").alias("n"), (-F.col("_start")).alias("s"))).over(per_post),
+            "total_engagements": F.count(F.lit(1)).over(per_post), "_timed": F.count("_t").over(per_post), "_first": F.min("_t").over(per_post),
+        }
+    )
+    # the 90th percentile between the two rows around it; rows without a time come first, and a root has none or only such
+    place = F.lit(0.9) * (F.col("_timed") - 1)
+    low, high = F.floor(place), F.ceil(place)
+    base = base.withColumns({k: F.max(F.when(F.col("_row") - 1 == at, F.col("_t"))).over(per_post) for k, at in (("_lo", low), ("_hi", high))})
+    p90 = F.floor(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (place - low) + 0.5)
     peak_start = -F.col("_peak.s")
     in_burst = (F.col("_t") >= peak_start) & (F.col("_t") < peak_start + HOUR_US)
-    base = base.withColumn("_in", F.coalesce(in_burst, F.lit(False)))
-
-    per_root = base.groupBy(*post, "root_user_id", "root_username", "root_tweet_created_at").agg(
-        F.count(F.lit(1)).alias("total_engagements"), F.min("_t").alias("_first"), F.percentile(F.col("_t") / F.lit(1e6), 0.9).alias("_p90"), F.max("_peak.n").alias("_burst")
-    )
-    # who came how often, by post and engager
-    pairs = base.groupBy(*post, "root_user_id", "engaged_user_id").agg(F.sum(F.col("_in").cast("long")).alias("_times"))
+    duration = (p90 - F.col("_first")) / 1e6 / 86400.0
+    concentration = F.coalesce("_peak.n", F.lit(0)).cast("double") / F.col("total_engagements")
+    base = base.select(*root, "engaged_user_id", "total_engagements", concentration.alias("burst_concentration"), duration.alias("duration_days_p90"), F.coalesce(in_burst, F.lit(False)).alias("_in"))
 
+    # who came how often, by post and engager, with what is known of the post
+    known = [*root, "total_engagements", "burst_concentration", "duration_days_p90"]
+    pairs = base.groupBy(*known, "engaged_user_id").agg(F.sum(F.col("_in").cast("long")).alias("_times"))
     rank = F.row_number().over(Window.partitionBy(*author).orderBy("root_tweet_created_at", "root_post_id"))
-    ranks = per_root.select(*post, rank.alias("_rank"))
+    ranks = engaged.select(*post, "root_user_id", "root_tweet_created_at").distinct().select(*post, rank.alias("_rank"))
     seen = pairs.join(ranks, post)
-    # the lag and the recurrence share the (author, engager) partitioning
+    # by author and engager, not by author: the audience of a large account is spread over tasks
     by_engager = Window.partitionBy(*author, "engaged_user_id")
     seen = seen.withColumn("_last", F.lag("_rank").over(by_engager.orderBy("_rank")))
     took_part = F.when((F.col("_times") > 0) & F.col("engaged_user_id").isNotNull(), 1 if distinct_participants else F.col("_times"))
@@ -62,15 +74,11 @@ def features(engaged: DataFrame, burst: str = "sliding", distinct_participants:
     def share(hit: Column) -> Column:
         return round_n(F.sum(F.when(hit, 1).otherwise(0)).cast("double") / F.count(F.lit(1)) * 100.0, 2)
 
-    by_post = seen.groupBy(*post).agg(
+    out = seen.groupBy(*known).agg(
         share(F.col("_last") >= F.col("_rank") - LOOK_BACK).alias("cross_post_overlap"),
         (share(F.col("_last") == F.col("_rank") - 1) if prev_overlap else F.lit(0.0)).alias("prev_post_overlap"),
         (F.sum(F.col("_weight") * F.col("_again")) / F.sum("_weight")).alias("_recurrence"),
     )
-    out = per_root.join(by_post, post)
-    concentration = F.coalesce("_burst", F.lit(0)).cast("double") / F.col("total_engagements")
-    duration = (F.floor(F.col("_p90") * 1e6 + 0.5) - F.col("_first")) / 1e6 / 86400.0
-    out = out.withColumn("burst_concentration", concentration).withColumn("duration_days_p90", duration)
     one = F.lit(1.0)
     coordinated = F.col("burst_concentration") * F.least(F.coalesce("_recurrence", F.lit(0.0)) / 3.0, one)
     out = out.withColumn("coordinated_burst", coordinated)
