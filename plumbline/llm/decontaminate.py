@@ -4,9 +4,9 @@
    n-grams. The filter has a fixed size (``filter_bits``), whatever the size of the benchmark; what
    passes by chance falls out in the join. Seeds that lie close together in a text are one passage,
    cut out with as many words around it as the longest item has.
-2. The seeds are counted over the corpus. Of every ``window`` neighbouring n-grams of an item the
-   rarest is used, so a stretch of window + n - 1 unchanged words of any item always has a seed,
-   even in a passage that many documents share.
+2. The seeds are counted over the corpus. Of every ``window`` neighbouring n-grams of an item those
+   are used that are at most ``common`` times as frequent as the rarest of them, so a common phrase
+   seeds nothing, and an item whose copies are everywhere keeps its seeds.
 3. Passages meet items over rare seeds and are aligned word by word (match +2, other word -1, gap -1).
    The score is the best local alignment over that of the whole item with itself.
 
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut
@@ -173,7 +173,7 @@ def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def matches(
-    docs: DataFrame, items: DataFrame, n: int = 4, window: int = 2, threshold: float = 0.5, filter_bits: int = 22
+    docs: DataFrame, items: DataFrame, n: int = 4, window: int = 4, common: float = 4.0, threshold: float = 0.5, filter_bits: int = 22
 ) -> DataFrame:
     """Leaks of ``items`` (item_id, text) in ``docs`` (doc_id, text): one row of each (doc_id, item_id)
     whose best alignment scores at least ``threshold``, with score (0 to 1), start_word, end_word and
@@ -198,7 +198,8 @@ def matches(
     grams = items.select("item", "text").mapInPandas(_item_seeds(n), "item long, at int, seed long")
     counted = grams.join(seen, "seed")  # a seed that no text has can join nothing
     blocks = counted.select("item", "seed", "seen", F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - window + 1), "at")).alias("block"))
-    rare = blocks.groupBy("item", "block").agg(F.min(F.struct("seen", "seed")).alias("s")).select("item", "s.seed").distinct()
+    least = F.min("seen").over(Window.partitionBy("item", "block"))
+    rare = blocks.withColumn("_least", least).where(F.col("seen") <= common * F.col("_least")).select("item", "seed").distinct()
 
     met = hits.join(rare, "seed").select("doc_id", "passage", "first_word", "item").distinct()
     pairs = met.join(found.select("doc_id", "passage", "first_word", "words"), ["doc_id", "passage", "first_word"])

@@ -76,3 +76,11 @@ def test_nulls_repeats_empty_tables_and_extra_columns(spark):
     empty = spark.createDataFrame([], ITEM)
     assert d.matches(docs, empty).isEmpty() and d.remove(docs, empty).count() == 6
     assert d.matches(spark.createDataFrame([], DOC), items).isEmpty()
+
+
+def test_a_lone_edited_copy_among_exact_ones_keeps_its_seeds(spark):
+    item = make(30, 1)
+    edited = [w if k % 5 != 4 else "y" for k, w in enumerate(item.split())]  # runs of four words are left
+    docs = [(k, make(20, 50 + k) + " " + item) for k in range(40)] + [(99, make(40, 7) + " " + " ".join(edited))]
+    found = {r["doc_id"] for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame([(1, item)], ITEM)).collect()}
+    assert found == {*range(40), 99}
