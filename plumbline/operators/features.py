@@ -18,12 +18,13 @@ COLUMNS = [
 ]
 
 
-def features(engaged: DataFrame, burst: str = "sliding", distinct_participants: bool = False, prev_overlap: bool = False) -> DataFrame:
+def features(engaged: DataFrame, burst: str = "sliding", distinct_participants: bool = False, prev_overlap: bool = False, unknown_return: bool = True) -> DataFrame:
     """One row a root post of ``engaged`` (an engagement table; of all its projects if it has project_keyword).
 
     burst: ``sliding`` (the 3600 s from each engagement on), ``59:59`` (3599 s) or ``hour`` (clock hours; roots
     without a time have none). distinct_participants: an engager counts once a burst. prev_overlap: also the
-    share that came from the post right before.
+    share that came from the post right before. unknown_return: posts without an engager count as each other's
+    audience; with False they don't, which is what a join of engagers would give.
     """
     if burst not in ("sliding", "59:59", "hour"):
         raise ValueError(f"unknown burst: {burst}")
@@ -67,7 +68,8 @@ def features(engaged: DataFrame, burst: str = "sliding", distinct_participants:
     seen = pairs.join(ranks, post)
     # by author and engager, not by author: the audience of a large account is spread over tasks
     by_engager = Window.partitionBy(*author, "engaged_user_id")
-    seen = seen.withColumn("_last", F.lag("_rank").over(by_engager.orderBy("_rank")))
+    last = F.lag("_rank").over(by_engager.orderBy("_rank"))
+    seen = seen.withColumn("_last", last if unknown_return else F.when(F.col("engaged_user_id").isNotNull(), last))
     took_part = F.when((F.col("_times") > 0) & F.col("engaged_user_id").isNotNull(), 1 if distinct_participants else F.col("_times"))
     seen = seen.withColumn("_weight", took_part.cast("double")).withColumn("_again", F.count("_weight").over(by_engager) - 1)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
@@ -62,7 +63,7 @@ class ScoreRunner:
             if not dirty:
                 return state["rows"], 0
             new = refresh_scores(posts, users, self.table.read(), since, self.scope, users_since, **self.rule)
-            return self.table.publish(new, ingest_time(posts), ingest_time(users), run_id, dirty), dirty
+            return self.table.publish(new, ingest_time(posts), ingest_time(users), run_id, dirty, after=state["version"]), dirty
 
         return self._run("incremental", work)
 
@@ -76,18 +77,31 @@ class ScoreRunner:
             stored = self.table.read()
             other = self.rule["new_author"] if self.rule["new_author"] is not None else 0.9
             new = ledger.append_new(reply_source(posts, users, self.scope), stored, self.scope, self.rule["reset"], other)
-            return self.table.publish(stored.unionByName(new), ingest_time(posts), ingest_time(users), run_id, None), None
+            return self.table.publish(stored.unionByName(new), ingest_time(posts), ingest_time(users), run_id, None, after=state["version"]), None
 
         return self._run("append", work)
 
 
-def run_all(jobs: dict[str, Callable[[], object]]) -> dict[str, str]:
-    """Run named jobs one after the other; one that fails doesn't stop the rest. Returns ``done`` or the error by name."""
+def run_all(jobs: dict[str, Callable[[], object]], spark: SparkSession | None = None, timeout: float | None = None) -> dict[str, str]:
+    """Run named jobs one after the other; one that fails doesn't stop the rest. Returns ``done`` or the error by name.
+
+    With a session and a ``timeout`` in seconds, the Spark jobs of one that takes longer are cancelled, so it fails.
+    """
     out = {}
     for name, job in jobs.items():
+        timer = None
+        if spark is not None and timeout is not None:
+            group = f"{name}-{uuid.uuid4().hex[:6]}"
+            spark.sparkContext.setJobGroup(group, name, interruptOnCancel=True)
+            timer = threading.Timer(timeout, spark.sparkContext.cancelJobGroup, [group])
+            timer.start()
         try:
             job()
             out[name] = "done"
         except Exception as e:  # reported, and raised by the caller if it wants to
             out[name] = f"failed: {e}"
+        finally:
+            if timer is not None:
+                timer.cancel()
+                spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     return out

@@ -122,3 +122,9 @@ def test_posts_of_an_unknown_table_are_none(spark):
     posts, _ = tables(spark, [post("x", "a", 0)], [user("a", 1)])
     assert analytics.posts_of({"project_post": posts}, ["a"], table="else").isEmpty()
     assert one(analytics.posts_of({"project_post": posts}, ["a"]))["status"] == "tracked"
+
+
+def test_posts_without_engagement_are_each_others_audience_or_not(spark):
+    posts, users = tables(spark, [post("x", "a", 0), post("y", "a", 1)], [user("a", 5)])
+    found = {r["root_post_id"]: r["cross_post_overlap"] for r in features(engagement(posts, users), unknown_return=False).collect()}
+    assert found == {"x": 0.0, "y": 0.0}

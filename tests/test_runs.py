@@ -109,3 +109,44 @@ def test_bursts_are_sent_when_the_hour_is_over(spark, tmp_path):
     stream = stream_of(spark, df, str(tmp_path), ["engaged_tweet_created_at < timestamp_ntz '2024-06-02 00:00:00'", "engaged_tweet_created_at >= timestamp_ntz '2024-06-02 00:00:00'"])
     got = {(r["root_post_id"], r["hour_start"].hour): r["engagements"] for r in finish(burst_stream(stream), str(tmp_path), "bursts").collect()}
     assert got == {("x", DAY0.hour): 2, ("x", 12): 1}
+
+
+@pytest.mark.parametrize("share", [0.5, 0.95])
+def test_carving_by_ingest_and_refreshing_equals_a_full_build(spark, share):
+    from plumbline.plans.refresh import carve_point, refresh_scores
+
+    posts, users = network(spark)
+    when = carve_point(posts, share)
+    early = posts.where(posts.created_at <= when)
+    assert share * posts.count() <= early.count() < posts.count()
+    assert difference(refresh_scores(posts, users, decay_scores(early, users), when), decay_scores(posts, users)).isEmpty()
+
+
+def test_a_run_on_an_old_version_publishes_nothing(spark, tmp_path):
+    posts, users = network(spark)
+    runner = ScoreRunner(spark, str(tmp_path))
+    runner.full(posts, users)
+    now = runner.table.state()
+    with pytest.raises(SinkError):
+        runner.table.publish(decay_scores(posts, users), None, None, "late", 0, after="older")
+    assert runner.table.state() == now
+
+
+def test_a_job_over_its_time_is_cancelled(spark):
+    slow = lambda: spark.range(0, 10**12, 1, 4).selectExpr("sum(id % 7)").collect()
+    out = run_all({"slow": slow, "quick": lambda: spark.range(3).count()}, spark, timeout=3)
+    assert out["slow"].startswith("failed") and out["quick"] == "done"
+
+
+def test_sql_views_and_table_functions(spark):
+    from plumbline.plans.catalog import register
+    from plumbline.plans.lineage import Lineage
+
+    posts, users = network(spark)
+    t = Lineage({"users": users, "posts": posts, "user_posts": posts, "nucleus_posts": posts}.__getitem__)
+    register(spark, t)
+    start, end = 1717113600, 1735689600
+    got = spark.sql(f"select root_post_id from engagement_clustering({start}, {end}, 'p')")
+    assert got.count() == t.features.where("root_tweet_created_at >= timestamp_ntz '2024-05-31 00:00:00'").count()
+    assert spark.sql("select * from user_post_engagement_clustering('a1')").count() == 1
+    assert spark.sql("select count(*) as n from contribution_scores").first()["n"] == 90
