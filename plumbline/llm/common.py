@@ -28,3 +28,11 @@ def unit_hash(*parts: Column | str, seed: str) -> Column:
     """A number in (0, 1) with 48 random bits, fixed by ``parts`` and ``seed``; plain SQL can compute it too."""
     text = F.concat_ws(":", F.lit(seed), *[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("")) for p in parts])
     return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long") + F.lit(0.5)) / F.lit(float(1 << 48))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import fresh
+
 WORD = re.compile(r"[^\W\d_]+")
 LENGTHS = (5, 4, 3, 2, 1)
 UNDETERMINED = "und"
@@ -150,13 +152,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def identify(docs: DataFrame, **bounds: int) -> DataFrame:
-    """Learn from the rows of ``docs`` that aren't held out and predict all. Adds a struct ``_lang``
-    (lang, score); doc_id, lang and any other column never enter a prediction. Repeated rows get equal
+def identify(docs: DataFrame, into: str = "_lang", **bounds: int) -> DataFrame:
+    """Learn from the rows of ``docs`` that aren't held out and predict all. Adds a struct ``into``
+    (lang, score), in place of a column of that name; doc_id, lang and any other column never enter a prediction. Repeated rows get equal
     answers; extra columns pass through; an empty table gives an empty one."""
-    return predict(docs, fit(docs.where(~held_out()), **bounds))
+    return predict(docs, fit(docs.where(~held_out()), **bounds), into=into)
 
 
 def keep_identified(docs: DataFrame, min_score: float = 0.4, **bounds: int) -> DataFrame:
     """``docs`` without the rows whose text has no language or one that scores under ``min_score``."""
-    return identify(docs, **bounds).where(F.col("_lang.lang") != UNDETERMINED).where(F.col("_lang.score") >= min_score).select(docs.columns)
+    into = fresh(docs, "_lang")
+    found = identify(docs, into, **bounds)
+    return found.where((F.col(f"{into}.lang") != UNDETERMINED) & (F.col(f"{into}.score") >= min_score)).select(docs.columns)

@@ -13,7 +13,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import unit_hash
+from plumbline.llm.common import fresh, unit_hash
 
 PIECE = 32.0  # a larger mean is drawn as the sum of equal parts, each small enough for exp(-mean)
 SMALL = 500  # sources up to which the table of rates is broadcast: under 2 KB each
@@ -54,17 +54,20 @@ def replicate(
 ) -> DataFrame:
     """Each row of ``docs`` as often as its draw says, in random order over all partitions.
 
-    Adds ``_copy`` (1 to the draw), ``_copies`` (the draw) and ``_place`` (the random key of the order).
+    Adds ``_copy`` (1 to the draw), ``_copies`` (the draw) and ``_place`` (the random key of the order), in
+    place of columns of these names.
     Rows with one doc_id are drawn alike; a null doc_id counts as an empty one. The text may be null.
     Other columns pass through. Empty table: empty result.
     """
     table = rates(docs, weights, total).withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("rate") / PIECE).cast("int")))
-    table = table.select(F.col("source").alias("_source"), F.struct("parts", _cdf(F.col("rate") / F.col("parts")).alias("cdf")).alias("_law"))
-    if table.select("_source").limit(SMALL + 1).count() <= SMALL:
+    source, name = fresh(docs, "_source"), fresh(docs, "_law")
+    table = table.select(F.col("source").alias(source), F.struct("parts", _cdf(F.col("rate") / F.col("parts")).alias("cdf")).alias(name))
+    if table.select(source).limit(SMALL + 1).count() <= SMALL:
         table = F.broadcast(table)
-    drawn = docs.join(table, docs["source"].eqNullSafe(table["_source"])).drop("_source")
+    docs = docs.drop("_copies", "_copy", "_place")
+    drawn = docs.join(table, docs["source"].eqNullSafe(table[source])).drop(source)
     key = F.col("doc_id").cast("string")
-    law = F.col("_law")
+    law = F.col(name)
 
     def draw(u: Column) -> Column:
         return F.size(F.filter(law["cdf"], lambda c: c < u))
@@ -72,7 +75,7 @@ def replicate(
     many = F.aggregate(
         F.sequence(F.lit(1), law["parts"]), F.lit(0), lambda n, k: n + draw(unit_hash(key, k.cast("string"), seed=seed))
     )
-    drawn = drawn.withColumn("_copies", many).drop("_law").where("_copies > 0")
+    drawn = drawn.withColumn("_copies", many).drop(name).where("_copies > 0")
     copies = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     placed = copies.withColumn("_place", unit_hash(key, F.col("_copy").cast("string"), seed=f"{seed}-place"))
     return placed.repartition("_place").sortWithinPartitions("_place")

@@ -19,7 +19,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import cut
+from plumbline.llm.common import cut, fresh
 
 Rule = tuple[tuple[str, str, float], ...]  # (statistic, "<=" or ">", threshold), ...
 
@@ -53,10 +53,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def with_statistics(docs: DataFrame, text: str = "text") -> tuple[DataFrame, list[str]]:
-    """``docs`` with a struct ``_stats``; a null text counts as an empty one."""
+def with_statistics(docs: DataFrame, text: str = "text", into: str = "_stats") -> tuple[DataFrame, list[str]]:
+    """``docs`` with a struct ``into``; a null text counts as an empty one."""
     found = statistics(F.coalesce(F.col(text), F.lit("")))
-    return docs.withColumn("_stats", F.struct(*[c.alias(k) for k, c in found.items()])), list(found)
+    return docs.withColumn(into, F.struct(*[c.alias(k) for k, c in found.items()])), list(found)
 
 
 def paths(forest: str, names: list[str]) -> list[Rule]:
@@ -111,8 +111,8 @@ def fit(
     """Learn from the documents of ``labels`` (doc_id, ``label`` 0 or 1) that aren't held out.
 
     Above ``max_rows`` labelled ids, those of the smallest hashes count, about that many. Rows with a null id or
-    label teach nothing; of several labels of one id the largest counts. If only one class (or none) is there, the
-    answer is that class's share, 0.5 without rows.
+    label teach nothing; of several labels of one id the largest counts. If only one class (or none) is there, or no
+    statistic tells the classes apart, the answer is the share of label 1, 0.5 without rows.
     """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     known = known.groupBy("doc_id").agg(F.max(label).cast("double").alias("_y"))
@@ -123,12 +123,15 @@ def fit(
     met, names = with_statistics(met)
     rows = cut(met.select("doc_id", "_y", "_stats").dropDuplicates(["doc_id"]).repartition(4, "doc_id").sortWithinPartitions("doc_id"))
     n = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
+    p = (n.get(1.0, 0) + 0.5) / (sum(n.values()) + 1.0)
+    share_only = Ensemble(math.log(p / (1 - p)), {})
     if len(n) < 2:
-        p = (n.get(1.0, 0) + 0.5) / (sum(n.values()) + 1.0)
-        return Ensemble(math.log(p / (1 - p)), {})
+        return share_only
     vectors = VectorAssembler(inputCols=names, outputCol="x").transform(rows.select("doc_id", "_y", "_stats", "_stats.*"))
     forest = RandomForestClassifier(featuresCol="x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird")
     rules = paths(forest.fit(vectors).toDebugString, names)[:max_rules]
+    if not rules:  # no statistic tells the classes apart
+        return share_only
     fired = F.array(*[holds(r, F.col("_stats")).cast("double") for r in rules])
     table = rows.select("_y", array_to_vector(fired).alias("x"))
     lasso = LogisticRegression(featuresCol="x", labelCol="_y", regParam=penalty, elasticNetParam=1.0, standardization=False, maxIter=60)
@@ -138,7 +141,8 @@ def fit(
 
 
 def score(docs: DataFrame, model: Ensemble, into: str = "_score") -> DataFrame:
-    """``docs`` with a probability column. Null texts are scored as empty ones. Repeated rows get equal
+    """``docs`` with a probability column, in place of one of its name. Null texts are scored as empty ones. Repeated rows get equal
     scores; extra columns pass through; an empty table gives an empty one."""
-    found, _ = with_statistics(docs)
-    return found.withColumn(into, model.score(F.col("_stats"))).drop("_stats")
+    stats = fresh(docs, "_stats")
+    found, _ = with_statistics(docs, into=stats)
+    return found.withColumn(into, model.score(F.col(stats))).drop(stats)

@@ -100,3 +100,20 @@ def test_every_query_is_registered():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_columns_of_any_name_pass_through(spark, folder):
+    from plumbline.llm import langid, mixing, quality, span_dedup
+
+    names = ["_lang", "_stats", "_law", "_source", "_doc", "_spans", "_cut", "component", "node", "bits", "seed"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 60")
+    for n in names:
+        docs = docs.selectExpr("*", f"concat('{n}', doc_id) as {n}")
+    model = quality.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as quality"))
+    results = [
+        langid.keep_identified(docs), simhash.near_dedup(docs), decontaminate.remove(docs, spark.read.parquet(f"{folder}/benchmark.parquet")),
+        mixing.replicate(docs), sharding.assign(docs, [1.0] * 3), span_dedup.dedup(docs), quality.score(docs, model),
+    ]
+    for found in results:
+        rows = found.select("doc_id", *names).collect()
+        assert rows and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in names)
