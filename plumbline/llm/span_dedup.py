@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.llm.common import cut, fresh
+
 END = re.compile(r"(?<=[.!?…。])\s+|\n+")
 
 
@@ -97,7 +99,8 @@ def repeats(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
     found = texts.mapInPandas(_hashed(run, min_words), "doc_id long, at int, n int, h long, g int")
     first = found.groupBy("h", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
-    often = first.where(F.col("first") != F.col("last")).select("h", "g", "first")
+    # written before it is joined: two plain shuffles are what adaptive execution can split at a frequent span
+    often = cut(first.where(F.col("first") != F.col("last")).select("h", "g", "first"))
     later = found.join(often, ["h", "g"]).where(F.struct("doc_id", "at") != F.col("first"))
     return later.select("doc_id", "at", "n")
 
@@ -110,8 +113,9 @@ def dedup(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
     they don't repeat each other. Null texts stay null, with 0 sentences; texts shorter than a span, and the
     empty one, stay as they are. Sentences are compared in lower case with single spaces. Empty table: empty result.
     """
-    docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed", "_spans")
-    by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("at", "n")).alias("_spans"))
-    met = docs.join(by_doc, docs["doc_id"] == by_doc["_doc"], "left").drop("_doc")
-    cut = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>")
-    return met.withColumn("_cut", cut("text", "_spans")).select(*docs.columns, "_cut.*")
+    docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed")
+    doc, spans_, out = (fresh(docs, c) for c in ("_doc", "_spans", "_cut"))
+    by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n")).alias(spans_))
+    met = docs.join(by_doc, docs["doc_id"] == by_doc[doc], "left").drop(doc)
+    without = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>")
+    return met.withColumn(out, without("text", spans_)).select(*docs.columns, f"{out}.*")
