@@ -78,7 +78,7 @@ def _cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
             gone[at + n] -= 1
         gone = np.cumsum(gone)[:-1] > 0
         if not gone.any():
-            rows.append((text, len(bounds), 0, []))
+            rows.append((text, len(bounds), 0, [], []))
             continue
         kept, ranges, at = [], [], 0
         for k, (a, _) in enumerate(bounds):
@@ -90,32 +90,34 @@ def _cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
             else:
                 ranges.append((a, end))
             at = end
-        rows.append(("".join(kept), len(bounds), int(gone.sum()), [{"start": a, "end": b} for a, b in ranges]))
-    return pd.DataFrame(rows, columns=["kept_text", "n_sentences", "n_removed", "removed"])
+        first = sorted({int(r["first_doc_id"]) for r in found})
+        rows.append(("".join(kept), len(bounds), int(gone.sum()), [{"start": a, "end": b} for a, b in ranges], first))
+    return pd.DataFrame(rows, columns=["kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids"])
 
 
 def repeats(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
-    """(doc_id, at, n): the spans of ``n`` sentences from sentence ``at`` on that aren't the first of their kind."""
+    """(doc_id, at, n, first_doc_id): the spans of ``n`` sentences from sentence ``at`` on that aren't the first of
+    their kind, with the document that holds the first."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
     found = texts.mapInPandas(_hashed(run, min_words), "doc_id long, at int, n int, h long, g int")
     first = found.groupBy("h", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
     # written before it is joined: two plain shuffles are what adaptive execution can split at a frequent span
     often = cut(first.where(F.col("first") != F.col("last")).select("h", "g", "first"))
     later = found.join(often, ["h", "g"]).where(F.struct("doc_id", "at") != F.col("first"))
-    return later.select("doc_id", "at", "n")
+    return later.select("doc_id", "at", "n", F.col("first.doc_id").alias("first_doc_id"))
 
 
 def dedup(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
-    """``docs`` with kept_text, n_sentences, n_removed and removed (character ranges of the text; columns of
-    these names are replaced).
+    """``docs`` with kept_text, n_sentences, n_removed, removed (character ranges of the text) and first_doc_ids
+    (where the removed spans stay); columns of these names are replaced.
 
     Rows without doc_id keep their text and take no part. Rows that share a doc_id count as one document, so
     they don't repeat each other. Null texts stay null, with 0 sentences; texts shorter than a span, and the
     empty one, stay as they are. Sentences are compared in lower case with single spaces. Empty table: empty result.
     """
-    docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed")
+    docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids")
     doc, spans_, out = (fresh(docs, c) for c in ("_doc", "_spans", "_cut"))
-    by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n")).alias(spans_))
+    by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n", "first_doc_id")).alias(spans_))
     met = docs.join(by_doc, docs["doc_id"] == by_doc[doc], "left").drop(doc)
-    without = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>")
+    without = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>, first_doc_ids array<long>")
     return met.withColumn(out, without("text", spans_)).select(*docs.columns, f"{out}.*")
