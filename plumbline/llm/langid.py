@@ -159,7 +159,7 @@ def identify(docs: DataFrame, into: str = "_lang", **bounds: int) -> DataFrame:
     return predict(docs, fit(docs.where(~held_out()), **bounds), into=into)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.4, **bounds: int) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.3, **bounds: int) -> DataFrame:
     """``docs`` without the rows whose text has no language or one that scores under ``min_score``."""
     into = fresh(docs, "_lang")
     found = identify(docs, into, **bounds)
