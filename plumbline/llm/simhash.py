@@ -97,15 +97,16 @@ def _wide(width: int, words: int, rows: int, bands: int):
 
 # ---- comparison inside a block -------------------------------------------------------------
 
-GROUP = 8  # planes that are added between two looks at what is still alive
 LANES = 1 << 16  # pairs whose planes are held at a time
+FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def within(planes: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int) -> np.ndarray:
-    """Which pairs (i[k], j[k]) differ in at most ``radius`` bits. planes: bits x items, 0 or 1.
+def within(columns: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int) -> np.ndarray:
+    """Which pairs (i[k], j[k]) differ in at most ``radius`` bits. columns: bytes of the fingerprints x items.
 
-    Each pair is a lane of 64-bit words. Its distance is kept bit-sliced in ``counter``, which
-    starts at 2^k - 1 - radius, so a carry out of the top slice means "past the radius" and sticks.
+    Each pair is a lane of 64-bit words. A byte column gives eight bit planes of differences at a time. A pair's
+    distance is kept bit-sliced in ``counter``, which starts at 2^k - 1 - radius, so a carry out of the top slice
+    means "past the radius" and sticks. Words in which every lane is past it are dropped.
     """
     slices = max(1, radius.bit_length())
     start = (1 << slices) - 1 - radius
@@ -116,21 +117,19 @@ def within(planes: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int) -> np.
         size = -(-n // 64) * 64
         a, b = (np.concatenate([x, np.full(size - n, x[0])]).reshape(-1, 64) for x in (a, b))
         words = np.arange(len(a))
-        counter = [np.full(len(a), 0xFFFFFFFFFFFFFFFF if start >> s & 1 else 0, np.uint64) for s in range(slices)]
+        counter = [np.full(len(a), FULL if start >> s & 1 else 0, np.uint64) for s in range(slices)]
         over = np.zeros(len(a), np.uint64)
-        for g in range(0, len(planes), GROUP):
-            part = planes[g : g + GROUP]
-            diff = np.ascontiguousarray(np.packbits(part[:, a.ravel()] ^ part[:, b.ravel()], axis=1)).view(np.uint64)
-            for k in range(0, len(part), 2):
-                x = diff[k]
-                y = diff[k + 1] if k + 1 < len(part) else np.zeros_like(x)
+        for column in columns:
+            bits = np.unpackbits(column[a.ravel()] ^ column[b.ravel()]).reshape(-1, 8)
+            planes = np.packbits(np.ascontiguousarray(bits.T), axis=1).view(np.uint64)
+            for x, y in zip(planes[::2], planes[1::2], strict=True):
                 low = counter[0]  # a full adder takes two planes at once
                 carry = (low & x) | (low & y) | (x & y)
                 counter[0] = low ^ x ^ y
                 for s in range(1, slices):
                     counter[s], carry = counter[s] ^ carry, counter[s] & carry
                 over |= carry
-            alive = over != np.uint64(0xFFFFFFFFFFFFFFFF)
+            alive = over != FULL
             if not alive.all():
                 words, a, b, over = words[alive], a[alive], b[alive], over[alive]
                 counter = [c[alive] for c in counter]
@@ -149,7 +148,7 @@ def _root(label: np.ndarray) -> np.ndarray:
     return label
 
 
-def _forest(keys: np.ndarray, planes: np.ndarray, radius: int) -> np.ndarray:
+def _forest(keys: np.ndarray, columns: np.ndarray, radius: int) -> np.ndarray:
     """A root for each row: rows joined by a chain of links inside equal keys get the same root.
 
     keys: sorted. All pairs (r, r + d) of a shift d are compared at once; pairs that already have
@@ -161,7 +160,7 @@ def _forest(keys: np.ndarray, planes: np.ndarray, radius: int) -> np.ndarray:
     d = 1
     while len(left):
         todo = left[label[left] != label[left + d]]
-        near = todo[within(planes, todo, todo + d, radius)] if len(todo) else todo
+        near = todo[within(columns, todo, todo + d, radius)] if len(todo) else todo
         if len(near):
             label = _joined(label, near, near + d)
         d += 1
@@ -189,10 +188,9 @@ def _links(width: int, radius: int):
     """For mapInPandas on rows (key, node, bits) sorted by key within each partition."""
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
-        bits = np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), width * 8)
-        planes = np.ascontiguousarray(np.unpackbits(bits, axis=1).T)
+        columns = np.ascontiguousarray(np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), width * 8).T)
         node = rows["node"].to_numpy()
-        root = node[_forest(rows["key"].to_numpy(), planes, radius)]
+        root = node[_forest(rows["key"].to_numpy(), columns, radius)]
         return pd.DataFrame({"a": node, "b": root})[node != root]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,12 +216,20 @@ def _packed(bits: list[Column]) -> Column:
     return F.unhex(F.concat(*[F.lpad(F.hex(b), 16, "0") for b in bits]))
 
 
-def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int) -> DataFrame:
+def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int, block_rows: int = 50_000) -> DataFrame:
     """keyed: (key long, node long); prints: (node, bits binary of 8 * width bytes). Returns links (a, b) that join
-    the same nodes as all links of at most ``radius`` bits between nodes of equal keys do. Fingerprints are only
-    sent to blocks of two and more."""
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    met = keyed.join(shared, "key").join(prints, "node").repartition("key").sortWithinPartitions("key", "node")
+    the same nodes as all links of at most ``radius`` bits between nodes of equal keys do.
+
+    Fingerprints are only sent to blocks of two and more. A block of more than ``block_rows`` is dealt into parts by
+    a hash of the node, and every two parts meet in a block of their own, so memory is bounded and no pair is missed.
+    """
+    shared = keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
+    met = keyed.join(shared.where("n > 1").drop("n"), "key")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    met = met.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    pair = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
+    met = met.select(F.when(F.col("parts") == 1, F.col("key")).otherwise(pair).alias("key"), "node")
+    met = met.join(prints, "node").repartition("key").sortWithinPartitions("key", "node")
     return met.select("key", "node", "bits").mapInPandas(_links(width, radius), "a long, b long")
 
 

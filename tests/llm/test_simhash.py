@@ -37,7 +37,7 @@ def test_bit_sliced_distances_match_plain_ones():
         for k in range(100, 200):
             planes[rng.choice(bits, rng.integers(0, 2 * radius + 2), replace=False), k] ^= 1
         i, j = np.concatenate([np.arange(100), rng.integers(0, 200, 3000)]), np.concatenate([np.arange(100) + 100, rng.integers(0, 200, 3000)])
-        assert (simhash.within(planes, i, j, radius) == ((planes[:, i] != planes[:, j]).sum(0) <= radius)).all()
+        assert (simhash.within(np.packbits(planes, axis=0), i, j, radius) == ((planes[:, i] != planes[:, j]).sum(0) <= radius)).all()
 
 
 def test_components_match_brute_force(spark):
@@ -73,7 +73,7 @@ def test_a_dense_group_gives_a_forest(spark):
     keys = np.zeros(3000, np.int64)
     planes = np.zeros((64, 3000), np.uint8)
     planes[0, ::2] = 1
-    assert set(simhash._forest(keys, planes, 3)) == {0}
+    assert set(simhash._forest(keys, np.packbits(planes, axis=0), 3)) == {0}
 
 
 def test_empty_table_nulls_repeats_and_extra_columns(spark):
@@ -107,3 +107,18 @@ def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(k, k + 1) for k in range(100, 140)] + [(7, k) for k in range(8, 60)] + [(3, 3)]
     got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {k: 100 for k in range(101, 141)} | {k: 7 for k in range(8, 60)}
+
+
+def test_parts_of_a_large_block_all_meet(spark):
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 256, 8, np.uint8)
+    rows = []
+    for k in range(60):
+        bits = np.unpackbits(base if k < 30 else 255 - base)
+        bits[rng.choice(64, rng.integers(0, 3), replace=False)] ^= 1
+        rows.append((7, k, bytearray(np.packbits(bits).tobytes())))
+    keyed = spark.createDataFrame([r[:2] for r in rows], "key long, node long")
+    prints = spark.createDataFrame([r[1:] for r in rows], "node long, bits binary")
+    plain = {r["node"]: r["component"] for r in graph.components(simhash.link(keyed, prints, 1, 3)).collect()}
+    dealt = {r["node"]: r["component"] for r in graph.components(simhash.link(keyed, prints, 1, 3, block_rows=7)).collect()}
+    assert plain == dealt and set(plain.values()) == {0, 30}
