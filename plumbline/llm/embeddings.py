@@ -209,7 +209,8 @@ def link(vectors: DataFrame, cosine: float = 0.98, axes: int = 6, block_rows: in
     at least ``cosine``. Vectors that are null, empty, all zero, or hold null or non-finite components link with
     nothing. n_links counts the other rows linked directly, component_id is the smallest vec_id reachable, kept
     says whether that is the row's own. Repeated rows are rows of their own and link each other. A row without
-    vec_id counts in n_links, and takes the component of its equals. Empty table: empty result. Other columns are not read.
+    vec_id counts in the n_links of its equals and takes their component; a vector that only such rows have links
+    with nothing. Empty table: empty result. Other columns are not read.
     """
     if not 0.0 < cosine <= 1.0:
         raise ValueError("cosine must be over 0 and at most 1")

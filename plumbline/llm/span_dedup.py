@@ -107,17 +107,17 @@ def repeats(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
     return later.select("doc_id", "at", "n", F.col("first.doc_id").alias("first_doc_id"))
 
 
-def dedup(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
+def dedup(docs: DataFrame, run: int = 2, min_words: int = 20, changed_only: bool = False) -> DataFrame:
     """``docs`` with kept_text, n_sentences, n_removed, removed (character ranges of the text) and first_doc_ids
     (where the removed spans stay); columns of these names are replaced.
 
     Rows without doc_id keep their text and take no part. Rows that share a doc_id count as one document, so
     they don't repeat each other. Null texts stay null, with 0 sentences; texts shorter than a span, and the
-    empty one, stay as they are. Sentences are compared in lower case with single spaces. Empty table: empty result.
+    empty one, stay as they are. changed_only: just the rows that lose something; the others aren't cut at all. Sentences are compared in lower case with single spaces. Empty table: empty result.
     """
     docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids")
     doc, spans_, out = (fresh(docs, c) for c in ("_doc", "_spans", "_cut"))
     by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n", "first_doc_id")).alias(spans_))
-    met = docs.join(by_doc, docs["doc_id"] == by_doc[doc], "left").drop(doc)
+    met = docs.join(by_doc, docs["doc_id"] == by_doc[doc], "inner" if changed_only else "left").drop(doc)
     without = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>, first_doc_ids array<long>")
     return met.withColumn(out, without("text", spans_)).select(*docs.columns, f"{out}.*")

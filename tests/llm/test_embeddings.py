@@ -46,6 +46,12 @@ def test_empty_table_and_extra_columns(spark):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in embeddings.link(df).collect()) == [(1, 2, 1), (2, 2, 1), (2, 2, 1)]
 
 
+def test_rows_without_an_id(spark):
+    df = spark.createDataFrame([(4, [1.0, 0.0], 3), (None, [1.0, 0.0], 3), (None, [0.0, 1.0], 3)], ROW)
+    got = sorted(((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embeddings.link(df).collect()), key=str)
+    assert got == sorted([(4, 1, 4, True), (None, 1, 4, True), (None, 0, None, True)], key=str)
+
+
 def test_recursion_skips_nothing_near():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(700, 8))

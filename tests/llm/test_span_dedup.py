@@ -37,6 +37,8 @@ def test_removals_match_brute_force(spark):
     want = brute(docs, 2, 20)
     got = {r["doc_id"]: r for r in s.dedup(spark.createDataFrame(docs, DOC)).collect()}
     assert {d: len(v) for d, v in want.items()} == {d: r["n_removed"] for d, r in got.items()}
+    changed = s.dedup(spark.createDataFrame(docs, DOC), changed_only=True).collect()
+    assert {r["doc_id"]: r["kept_text"] for r in changed} == {d: got[d]["kept_text"] for d in want if want[d]}
     for d, text in docs:
         bounds = s.sentences(text)
         left = [text[a:b] for k, (a, b) in enumerate(bounds) if k not in want[d]]
