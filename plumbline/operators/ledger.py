@@ -59,7 +59,7 @@ def append_new(replies: DataFrame, stored: DataFrame, scope: str = "project", re
     def solve(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["post_created_at", "reply_post_id"])
         done, todo = group[group["_kind"].notna()], group[group["_kind"].isna()]
-        m = done["_kind"].map({"FIRST_REPLY": 1.0, "LOCAL_DECAY": LOCAL}).fillna(new_author)
+        m = done["_kind"].map({"FIRST_REPLY": 1.0, "NEW_AUTHOR": 1.0, "LOCAL_DECAY": LOCAL}).fillna(new_author)
         history = list(zip(done["post_created_at"], done["original_author_x_id"], m, strict=True))
         number = 0 if pd.isna(group["_number"].iloc[0]) else int(group["_number"].iloc[0])
         rows = score_new(history, todo.to_dict("records"), number, reset, new_author, far)

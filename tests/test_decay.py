@@ -127,6 +127,14 @@ def test_ledger_after_a_base_change(spark):
     assert new == {"d": 60.75, "e": 30.38}
 
 
+def test_ledger_takes_new_authors_as_they_were_stored(spark):
+    rows = [post("a", "k", 0, replied="rA"), post("b", "k", 2, replied="rB"), post("c", "k", 4, replied="rC", ingest=9)]
+    posts, users = tables(spark, [*ROOTS, *rows], [user("k", 100)])
+    stored = decay_scores(posts.where(posts.created_at <= at(5)), users, "global")
+    new = ledger.append_new(reply_source(posts, users, "global"), stored, "global", new_author=0.9).collect()
+    assert [(r["decay_type"], r["effective_score"], r["contribution_score"]) for r in new] == [("GLOBAL_DECAY", 100.0, 90.0)]
+
+
 def test_scaling_the_base_scales_unrounded_types(spark):
     posts, users = tables(spark, random_posts(7), [user(f"u{k}", 64) for k in range(5)])
     _, double = tables(spark, random_posts(7), [user(f"u{k}", 128) for k in range(5)])
