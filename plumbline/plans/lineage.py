@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.operators import decay, engagement, features
 from plumbline.sources import sample
@@ -64,3 +65,23 @@ class Lineage:
     @cached_property
     def user_features(self) -> DataFrame:
         return features.features(self.user_engagement, burst="59:59", distinct_participants=True, prev_overlap=True)
+
+
+#: The order of builds: engagement, then what reads it; layers with a project are laid out by it.
+STORED = ("engagement", "user_engagement", "scores", "global_scores", "features", "user_features")
+
+
+def materialise(lineage: Lineage, root: str, layers: tuple[str, ...] = STORED, parts: int = 8) -> Lineage:
+    """Write the layers as Parquet under ``root``, each from the written ones below it, and return a lineage that reads
+    them. Project layers are partitioned by project, so a query of one project reads one folder, of ``parts`` files at most."""
+    out = Lineage(lineage._read)
+    for layer in (name for name in STORED if name in layers):
+        df = getattr(out, layer)
+        writer = df.write.mode("overwrite")
+        if "project_keyword" in df.columns:
+            post = "root_post_id" if "root_post_id" in df.columns else "reply_post_id"
+            dealt = df.repartition("project_keyword", F.pmod(F.xxhash64(post), F.lit(parts)))
+            writer = dealt.write.mode("overwrite").partitionBy("project_keyword")
+        writer.parquet(f"{root}/{layer}")
+        setattr(out, layer, df.sparkSession.read.schema(df.schema).parquet(f"{root}/{layer}"))
+    return out

@@ -150,3 +150,19 @@ def test_sql_views_and_table_functions(spark):
     assert got.count() == t.features.where("root_tweet_created_at >= timestamp_ntz '2024-05-31 00:00:00'").count()
     assert spark.sql("select * from user_post_engagement_clustering('a1')").count() == 1
     assert spark.sql("select count(*) as n from contribution_scores").first()["n"] == 90
+
+
+def test_stored_layers_give_the_same_answers_and_prune_projects(spark, tmp_path):
+    from plumbline.operators import leaderboard
+    from plumbline.plans.lineage import STORED, Lineage, materialise
+
+    posts, users = network(spark)
+    lazy = Lineage({"users": users, "posts": posts, "user_posts": posts, "nucleus_posts": posts}.__getitem__)
+    stored = materialise(lazy, str(tmp_path))
+    for layer in STORED:
+        assert difference(getattr(stored, layer), getattr(lazy, layer)).isEmpty(), layer
+    args = ("p", 1717113600, 1735689600)
+    boards = [leaderboard.leaderboard(t.engagement, t.posts, t.users, t.scores, *args) for t in (lazy, stored)]
+    assert [r for r in boards[0].collect()] == [r for r in boards[1].collect()]
+    plan = stored.features.where("project_keyword = 'p'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(project_keyword" in plan
