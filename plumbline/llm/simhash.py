@@ -220,17 +220,47 @@ def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int, block_row
     """keyed: (key long, node long); prints: (node, bits binary of 8 * width bytes). Returns links (a, b) that join
     the same nodes as all links of at most ``radius`` bits between nodes of equal keys do.
 
-    Fingerprints are only sent to blocks of two and more. A block of more than ``block_rows`` is dealt into parts by
-    a hash of the node, and every two parts meet in a block of their own, so memory is bounded and no pair is missed.
+    Fingerprints are only sent to blocks of two and more. A block of more than ``block_rows`` is dealt into parts of
+    about that size twice, by two hashes of the node. Every part of one dealing shares nodes with every part of the
+    other, so a group that fills the block is joined by that, with each of its rows sent twice. The rows that are not in
+    the block's largest group by then meet each other and that group, part by part; only pairs inside it are left out.
     """
-    shared = keyed.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(block_rows))).cast("int").alias("parts"), F.count(F.lit(1)).alias("n"))
-    met = keyed.join(shared.where("n > 1").drop("n"), "key")
-    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    met = met.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    pair = F.xxhash64("key", F.least("part", "other"), F.greatest("part", "other"))
-    met = met.select(F.when(F.col("parts") == 1, F.col("key")).otherwise(pair).alias("key"), "node")
-    met = met.join(prints, "node").repartition("key").sortWithinPartitions("key", "node")
-    return met.select("key", "node", "bits").mapInPandas(_links(width, radius), "a long, b long")
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = cut(shared.select("key", F.ceil(F.col("n") / F.lit(float(block_rows))).cast("int").alias("parts")))
+    met = keyed.join(shared, "key")
+
+    def solved(blocks: DataFrame) -> DataFrame:
+        rows = blocks.join(prints, "node").repartition("key").sortWithinPartitions("key", "node")
+        return rows.select("key", "node", "bits").mapInPandas(_links(width, radius), "a long, b long")
+
+    def part(dealing: int) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(dealing)), F.col("parts")).cast("int")
+
+    own = [F.xxhash64("key", F.lit(k), part(k)) for k in (0, 1)]
+    once = F.when(F.col("parts") == 1, F.array("key")).otherwise(F.array(*own))
+    found = solved(met.select(F.explode(once).alias("key"), "node"))
+    if shared.where("parts > 1").isEmpty():
+        return found
+
+    found = cut(found)
+    joined = components(found)
+    large = met.where("parts > 1").join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("group"))
+    large = cut(large)
+    groups = large.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    sums = groups.groupBy("key").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
+    sums = sums.where("n > n_main").select("key", "main", *[F.ceil(n / F.lit(float(block_rows))).cast("int").alias(c) for c, n in (("p", F.col("n_main")), ("q", F.col("n") - F.col("n_main")))])
+    # written before it is joined: two plain shuffles are what adaptive execution can split at a large block
+    left = large.join(cut(sums), "key")
+    of_main, of_rest = (F.pmod(F.xxhash64("node", F.lit(2)), F.col(c)).cast("int") for c in ("p", "q"))
+
+    def meeting(kind: int, x: Column, y: Column) -> Column:
+        return F.xxhash64("key", F.lit(kind), x, y)
+
+    with_main = F.transform(F.sequence(F.lit(0), F.col("p") - 1), lambda k: meeting(2, of_rest, k))
+    with_rest = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda k: meeting(3, F.least(of_rest, k), F.greatest(of_rest, k)))
+    from_main = F.transform(F.sequence(F.lit(0), F.col("q") - 1), lambda k: meeting(2, k, of_main))
+    places = F.when(F.col("group") == F.col("main"), from_main).otherwise(F.concat(with_main, with_rest))
+    return found.union(solved(left.select(F.explode(places).alias("key"), "node")))
 
 
 def pigeonhole_keys(bits: Column, radius: int) -> Column:
@@ -265,7 +295,8 @@ def components_by_fingerprint(docs: DataFrame, words: int = 3, radius: int = 3)
 
 
 def near_dedup(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, width: int = 8, rows: int = 3, bands: int = 12, slack: float = 0.03
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, width: int = 8, rows: int = 3, bands: int = 12, slack: float = 0.03,
+    block_rows: int = 1024,
 ) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the smallest doc_id; all columns stay.
 
@@ -285,7 +316,7 @@ def near_dedup(
     classes = marked.groupBy("bits").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
     keyed = classes.select(F.explode("keys").alias("key"), "node")
     prints = classes.select("node", _packed([F.col("bits")[k] for k in range(width)]).alias("bits"))
-    moved = components(link(keyed, prints, width, radius)).select(F.col("node").alias("doc_id"))
+    moved = components(link(keyed, prints, width, radius, block_rows)).select(F.col("node").alias("doc_id"))
     kept = classes.select(F.col("node").alias("doc_id")).join(moved, "doc_id", "left_anti")
     one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.select(docs.columns).unionByName(docs.where("doc_id is null"))

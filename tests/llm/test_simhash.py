@@ -122,3 +122,16 @@ def test_parts_of_a_large_block_all_meet(spark):
     plain = {r["node"]: r["component"] for r in graph.components(simhash.link(keyed, prints, 1, 3)).collect()}
     dealt = {r["node"]: r["component"] for r in graph.components(simhash.link(keyed, prints, 1, 3, block_rows=7)).collect()}
     assert plain == dealt and set(plain.values()) == {0, 30}
+
+
+def test_a_large_block_loses_no_link_of_a_chain_or_a_straggler(spark):
+    chain = [(1 << 3 * k) - 1 for k in range(20)]  # three bits from one to the next, six and more else
+    group = [(1 << 63) ^ (1 << 40) ^ (1 << k) for k in range(40)]  # two bits from each other
+    straggler = [(1 << 63) ^ (1 << 40) ^ (1 << 5) ^ (0b111 << 50)]  # three bits from one of the group
+    values = chain + group + straggler
+    rows = [(9, k, bytearray(v.to_bytes(8, "big"))) for k, v in enumerate(values)]
+    keyed = spark.createDataFrame([r[:2] for r in rows], "key long, node long")
+    prints = spark.createDataFrame([r[1:] for r in rows], "node long, bits binary")
+    want = {d: c for d, c in brute_components(list(range(len(values))), values).items() if d != c}
+    dealt = graph.components(simhash.link(keyed, prints, 1, 3, block_rows=6)).collect()
+    assert {r["node"]: r["component"] for r in dealt} == want
