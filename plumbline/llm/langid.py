@@ -78,7 +78,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language (first by name of equals), and the mean posterior it has over the words."""
         words = WORD.findall(text.lower()) if text else []
-        if not words or not self.langs:
+        if not self.langs or not any(c.isalpha() for w in words for c in w):  # signs such as ² stand in words, but aren't letters
             return UNDETERMINED, 0.0
         if self.known is None:
             self.known = _Rows(len(self.langs), self.tables)
