@@ -78,19 +78,19 @@ def fingerprint(text: Column | str, words: int = 3) -> Column:
 
 
 def _wide(width: int, words: int, rows: int, bands: int):
-    @F.pandas_udf("bits array<long>, keys array<long>")
+    @F.pandas_udf("same binary, bits array<long>, keys array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        bits, keys = [], []
+        same, bits, keys = [], [], []
         for t in texts:
-            h = shingle_hashes(t, words)
-            bits.append([_signed(majority(_mixed(h, k) if k else h)) for k in range(width)])
-            if len(h):
-                u = np.unique(h)
+            u = np.unique(shingle_hashes(t, words))  # a repeated line weighs no more in the bits than in the set
+            same.append(xxhash.xxh3_128_digest(u.tobytes()))
+            bits.append([_signed(majority(_mixed(u, k) if k else u)) for k in range(width)])
+            if len(u):
                 least = np.array([_mixed(u, 101 + k).min() for k in range(rows * bands)]).reshape(bands, rows)
                 keys.append([_signed(xxhash.xxh64_intdigest(bytes([b]) + x.tobytes())) for b, x in enumerate(least)])
             else:
                 keys.append([0])
-        return pd.DataFrame({"bits": bits, "keys": keys})
+        return pd.DataFrame({"same": same, "bits": bits, "keys": keys})
 
     return run
 
@@ -300,7 +300,7 @@ def near_dedup(
 ) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the smallest doc_id; all columns stay.
 
-    Fingerprints have ``width`` * 64 bits of ``words``-word shingles. Two documents are linked if
+    Fingerprints have ``width`` * 64 bits of the set of ``words``-word shingles, each counted once. Two documents are linked if
     they meet in a band and their fingerprints differ in no more bits than shingle sets of
     ``similarity`` are expected to (angle of the cosine 2s / (1 + s)), plus a share ``slack`` of them, about two
     standard deviations: pairs at the threshold are found at 97 %, pairs 0.05 above it always, and pairs 0.1 below
@@ -311,9 +311,10 @@ def near_dedup(
     marked = cut(
         docs.where("doc_id is not null")
         .select("doc_id", _wide(width, words, rows, bands)("text").alias("m"))
-        .select("doc_id", "m.bits", "m.keys")
+        .select("doc_id", "m.*")
     )
-    classes = marked.groupBy("bits").agg(F.min("doc_id").alias("node"), F.min("keys").alias("keys"))
+    # documents of one shingle set are one class; their bits and keys are equal too
+    classes = marked.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("bits").alias("bits"), F.min("keys").alias("keys"))
     keyed = classes.select(F.explode("keys").alias("key"), "node")
     prints = classes.select("node", _packed([F.col("bits")[k] for k in range(width)]).alias("bits"))
     moved = components(link(keyed, prints, width, radius, block_rows)).select(F.col("node").alias("doc_id"))

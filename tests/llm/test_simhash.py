@@ -135,3 +135,12 @@ def test_a_large_block_loses_no_link_of_a_chain_or_a_straggler(spark):
     want = {d: c for d, c in brute_components(list(range(len(values))), values).items() if d != c}
     dealt = graph.components(simhash.link(keyed, prints, 1, 3, block_rows=6)).collect()
     assert {r["node"]: r["component"] for r in dealt} == want
+
+
+def test_repeated_lines_weigh_no_more_than_in_the_set(spark):
+    rng = np.random.default_rng(12)
+    base = " ".join(f"t{x}" for x in rng.integers(0, 5000, 400))
+    line = "\n" + " ".join(f"r{x}" for x in rng.integers(0, 5000, 20))
+    other = [" ".join(f"{c}{x}" for x in rng.integers(0, 5000, 40)) + line * 60 for c in "uv"]  # set similarity under 0.3
+    rows = [(1, base), (2, base + line * 60), (3, other[0]), (4, other[1])]
+    assert sorted(r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, DOC)).collect()) == [1, 3, 4]
