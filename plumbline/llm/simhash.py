@@ -12,7 +12,8 @@ Two ways to choose the blocks:
   ``radius + 3`` fields; two fingerprints within the radius agree on at least 3 of them, so
   every choice of 3 fields is a key. Exact: no link is lost.
 * ``minwise``: wide fingerprints at a shingle similarity. Keys are bands of min-wise hashes of
-  the shingles. Recall at the threshold is 1 - (1 - s^rows)^bands.
+  the shingles. Recall of the keys at the threshold is 1 - (1 - s^rows)^bands. The bits only choose
+  candidates: the shingle sets go to the blocks too, and each pair is checked on them.
 """
 
 from __future__ import annotations
@@ -77,20 +78,34 @@ def fingerprint(text: Column | str, words: int = 3) -> Column:
     return _one_word(text, F.lit(words))
 
 
-def _wide(width: int, words: int, rows: int, bands: int):
-    @F.pandas_udf("same binary, bits array<long>, keys array<long>")
+def _minwise(words: int, rows: int, bands: int):
+    """A digest of the shingle set, its size and its keys."""
+
+    @F.pandas_udf("same binary, size long, keys array<long>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        same, bits, keys = [], [], []
+        same, size, keys = [], [], []
         for t in texts:
-            u = np.unique(shingle_hashes(t, words))  # a repeated line weighs no more in the bits than in the set
+            u = np.unique(shingle_hashes(t, words))
             same.append(xxhash.xxh3_128_digest(u.tobytes()))
-            bits.append([_signed(majority(_mixed(u, k) if k else u)) for k in range(width)])
+            size.append(len(u))
             if len(u):
                 least = np.array([_mixed(u, 101 + k).min() for k in range(rows * bands)]).reshape(bands, rows)
                 keys.append([_signed(xxhash.xxh64_intdigest(bytes([b]) + x.tobytes())) for b, x in enumerate(least)])
             else:
                 keys.append([0])
-        return pd.DataFrame({"same": same, "bits": bits, "keys": keys})
+        return pd.DataFrame({"same": same, "size": size, "keys": keys})
+
+    return run
+
+
+def _wide(width: int, words: int):
+    """The sorted shingle set and its fingerprint; a repeated line weighs no more in the bits than in the set."""
+
+    @F.pandas_udf("bits binary, shingles binary")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        sets = [np.unique(shingle_hashes(t, words)) for t in texts]
+        bits = [b"".join(majority(_mixed(u, k) if k else u).to_bytes(8, "big") for k in range(width)) for u in sets]
+        return pd.DataFrame({"bits": bits, "shingles": [u.tobytes() for u in sets]})
 
     return run
 
@@ -148,8 +163,20 @@ def _root(label: np.ndarray) -> np.ndarray:
     return label
 
 
-def _forest(keys: np.ndarray, columns: np.ndarray, radius: int) -> np.ndarray:
+def alike(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs (i[k], j[k]) of the sorted ``sets`` have a Jaccard similarity of at least ``similarity``."""
+    found = np.zeros(len(i), bool)
+    for k, (a, b) in enumerate(zip(i, j, strict=True)):
+        x, y = sets[a], sets[b]
+        if min(len(x), len(y)) >= similarity * max(len(x), len(y)):
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            found[k] = both >= similarity * (len(x) + len(y) - both)
+    return found
+
+
+def _forest(keys: np.ndarray, columns: np.ndarray, radius: int, sets: list[np.ndarray] | None = None, similarity: float = 0.0) -> np.ndarray:
     """A root for each row: rows joined by a chain of links inside equal keys get the same root.
+    With ``sets``, a pair within the radius is a link only if its sets are ``alike`` too.
 
     keys: sorted. All pairs (r, r + d) of a shift d are compared at once; pairs that already have
     one root aren't compared again, so a dense group costs little more than its size.
@@ -161,6 +188,8 @@ def _forest(keys: np.ndarray, columns: np.ndarray, radius: int) -> np.ndarray:
     while len(left):
         todo = left[label[left] != label[left + d]]
         near = todo[within(columns, todo, todo + d, radius)] if len(todo) else todo
+        if sets is not None:
+            near = near[alike(sets, near, near + d, similarity)]
         if len(near):
             label = _joined(label, near, near + d)
         d += 1
@@ -184,13 +213,14 @@ def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = _root(label)
 
 
-def _links(width: int, radius: int):
-    """For mapInPandas on rows (key, node, bits) sorted by key within each partition."""
+def _links(width: int, radius: int, similarity: float | None = None):
+    """For mapInPandas on rows (key, node, bits) sorted by key within each partition; with shingles if ``similarity`` is given."""
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         columns = np.ascontiguousarray(np.frombuffer(b"".join(rows["bits"]), np.uint8).reshape(len(rows), width * 8).T)
         node = rows["node"].to_numpy()
-        root = node[_forest(rows["key"].to_numpy(), columns, radius)]
+        sets = None if similarity is None else [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+        root = node[_forest(rows["key"].to_numpy(), columns, radius, sets, similarity or 0.0)]
         return pd.DataFrame({"a": node, "b": root})[node != root]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -216,22 +246,27 @@ def _packed(bits: list[Column]) -> Column:
     return F.unhex(F.concat(*[F.lpad(F.hex(b), 16, "0") for b in bits]))
 
 
-def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int, block_rows: int = 50_000) -> DataFrame:
+def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int, block_rows: int = 50_000, similarity: float | None = None) -> DataFrame:
     """keyed: (key long, node long); prints: (node, bits binary of 8 * width bytes). Returns links (a, b) that join
-    the same nodes as all links of at most ``radius`` bits between nodes of equal keys do.
+    the same nodes as all links of at most ``radius`` bits between nodes of equal keys do. With ``similarity``, prints
+    also hold ``shingles``, and only pairs of that Jaccard similarity are links: it is checked before a pair joins
+    anything. A column ``weight`` of keyed says how many rows a node counts for.
 
     Fingerprints are only sent to blocks of two and more. A block of more than ``block_rows`` is dealt into parts of
     about that size twice, by two hashes of the node. Every part of one dealing shares nodes with every part of the
     other, so a group that fills the block is joined by that, with each of its rows sent twice. The rows that are not in
     the block's largest group by then meet each other and that group, part by part; only pairs inside it are left out.
     """
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if "weight" not in keyed.columns:
+        keyed = keyed.withColumn("weight", F.lit(1))
+    shared = keyed.groupBy("key").agg(F.sum("weight").alias("n"), F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
     shared = cut(shared.select("key", F.ceil(F.col("n") / F.lit(float(block_rows))).cast("int").alias("parts")))
     met = keyed.join(shared, "key")
 
     def solved(blocks: DataFrame) -> DataFrame:
         rows = blocks.join(prints, "node").repartition("key").sortWithinPartitions("key", "node")
-        return rows.select("key", "node", "bits").mapInPandas(_links(width, radius), "a long, b long")
+        columns = ["key", "node", "bits"] if similarity is None else ["key", "node", "bits", "shingles"]
+        return rows.select(*columns).mapInPandas(_links(width, radius, similarity), "a long, b long")
 
     def part(dealing: int) -> Column:
         return F.pmod(F.xxhash64("node", F.lit(dealing)), F.col("parts")).cast("int")
@@ -244,9 +279,9 @@ def link(keyed: DataFrame, prints: DataFrame, width: int, radius: int, block_row
 
     found = cut(found)
     joined = components(found)
-    large = met.where("parts > 1").join(joined, "node", "left").select("key", "node", F.coalesce("component", "node").alias("group"))
+    large = met.where("parts > 1").join(joined, "node", "left").select("key", "node", "weight", F.coalesce("component", "node").alias("group"))
     large = cut(large)
-    groups = large.groupBy("key", "group").agg(F.count(F.lit(1)).alias("n"))
+    groups = large.groupBy("key", "group").agg(F.sum("weight").alias("n"))
     sums = groups.groupBy("key").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
     sums = sums.where("n > n_main").select("key", "main", *[F.ceil(n / F.lit(float(block_rows))).cast("int").alias(c) for c, n in (("p", F.col("n_main")), ("q", F.col("n") - F.col("n_main")))])
     # written before it is joined: two plain shuffles are what adaptive execution can split at a large block
@@ -300,24 +335,26 @@ def near_dedup(
 ) -> DataFrame:
     """``docs`` with one document of each near-duplicate group, the smallest doc_id; all columns stay.
 
-    Fingerprints have ``width`` * 64 bits of the set of ``words``-word shingles, each counted once. Two documents are linked if
-    they meet in a band and their fingerprints differ in no more bits than shingle sets of
-    ``similarity`` are expected to (angle of the cosine 2s / (1 + s)), plus a share ``slack`` of them, about two
-    standard deviations: pairs at the threshold are found at 97 %, pairs 0.05 above it always, and pairs 0.1 below
-    it at 28 %. Groups are the components of these links. Null and blank texts are copies of each other. Rows without doc_id
+    Two documents are linked if their sets of ``words``-word shingles have a Jaccard similarity of at least
+    ``similarity``. Candidates are pairs that meet in a band and whose fingerprints (``width`` * 64 bits of the set, each
+    shingle counted once) differ in no more bits than sets of ``similarity`` are expected to (angle of the cosine
+    2s / (1 + s)), plus a share ``slack`` of them, about two standard deviations; each is then checked on the shingles.
+    So no pair below ``similarity`` is linked, of pairs at the threshold about 97 % are, 0.05 above it practically all.
+    The groups are the components of these links. Null and blank texts are copies of each other. Rows without doc_id
     all stay. Of repeated rows with one doc_id, one stays. Empty table: empty result.
     """
     radius = int(64 * width * (math.acos(2 * similarity / (1 + similarity)) / math.pi + slack))
-    marked = cut(
-        docs.where("doc_id is not null")
-        .select("doc_id", _wide(width, words, rows, bands)("text").alias("m"))
-        .select("doc_id", "m.*")
-    )
-    # documents of one shingle set are one class; their bits and keys are equal too
-    classes = marked.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("bits").alias("bits"), F.min("keys").alias("keys"))
-    keyed = classes.select(F.explode("keys").alias("key"), "node")
-    prints = classes.select("node", _packed([F.col("bits")[k] for k in range(width)]).alias("bits"))
-    moved = components(link(keyed, prints, width, radius, block_rows)).select(F.col("node").alias("doc_id"))
+    texts = docs.where("doc_id is not null").select("doc_id", "text")
+    marked = texts.select("doc_id", _minwise(words, rows, bands)("text").alias("m")).select("doc_id", "m.*")
+    # documents of one shingle set are one class; their keys are equal too
+    classes = cut(marked.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("keys").alias("keys")))
+    keyed = classes.select(F.explode("keys").alias("key"), "node", F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(4096.0)).cast("int")).alias("weight"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    keyed = cut(keyed.join(shared, "key", "left_semi"))
+    # only documents that share a key are read again and get bits and sets
+    met = texts.join(keyed.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    prints = cut(met.select(F.col("doc_id").alias("node"), _wide(width, words)("text").alias("w")).select("node", "w.*"))
+    moved = components(link(keyed, prints, width, radius, block_rows, similarity)).select(F.col("node").alias("doc_id"))
     kept = classes.select(F.col("node").alias("doc_id")).join(moved, "doc_id", "left_anti")
     one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return one.select(docs.columns).unionByName(docs.where("doc_id is null"))

@@ -144,3 +144,19 @@ def test_repeated_lines_weigh_no_more_than_in_the_set(spark):
     other = [" ".join(f"{c}{x}" for x in rng.integers(0, 5000, 40)) + line * 60 for c in "uv"]  # set similarity under 0.3
     rows = [(1, base), (2, base + line * 60), (3, other[0]), (4, other[1])]
     assert sorted(r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, DOC)).collect()) == [1, 3, 4]
+
+
+def test_only_pairs_of_the_stated_similarity_are_linked(spark):
+    rng = np.random.default_rng(21)
+    rows, want = [], set()
+    for k in range(60):
+        base = [f"t{x}" for x in rng.integers(0, 100_000, 300)]
+        near = list(base)
+        for at in range(5, 5 + 8 * (10 if k % 3 == 0 else 4), 8):  # J about 0.71 or 0.87
+            near[at] = "edit"
+        a, b = ({tuple(w[i : i + 5]) for i in range(296)} for w in (base, near))
+        similarity = len(a & b) / len(a | b)
+        assert not 0.78 < similarity < 0.82
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
+        want |= {2 * k} if similarity >= 0.8 else {2 * k, 2 * k + 1}
+    assert {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, DOC)).collect()} == want
