@@ -1,9 +1,10 @@
 """Substring dedup over sliding sentence spans.
 
 A span is a run of consecutive sentences: at least ``run`` of them, and as many as it takes to hold
-``min_words`` words. Every span of every text is hashed (96 bits), the hashes are joined over the
-whole corpus, and every sentence that a span covers which stood somewhere before is removed; the
-first place (smallest doc_id, then position) stays.
+``min_words`` words, or one sentence of ``long_words`` words. The shortest spans from each sentence on
+and up to each sentence are hashed (96 bits), so a repeated run that is long enough is covered whole,
+its short tail included. The hashes are joined over the whole corpus, and every sentence that a span
+covers which stood somewhere before is removed; the first place (smallest doc_id, then position) stays.
 
 What is shuffled of the corpus is 20 bytes a span, and the texts once, to be cut.
 """
@@ -21,11 +22,12 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut, fresh
 
-END = re.compile(r"(?<=[.!?…。])\s+|\n+")
+END = re.compile(r"(?<=[.!?…。!?])\s+|(?<=[。!?])(?=\S)|\n+")
+UNSPACED = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]")  # written without blanks: two signs count as a word
 
 
 def sentences(text: str | None) -> list[tuple[int, int]]:
-    """(start, end) of each sentence: up to a stop with white space after it, or a line end. Blank ones don't count."""
+    """(start, end) of each sentence: up to a stop with white space after it, a full-width stop, or a line end. Blank ones don't count."""
     out, at = [], 0
     for m in END.finditer(text or ""):
         out.append((at, m.start()))
@@ -34,29 +36,38 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out if text and text[a:b].strip()]
 
 
-def spans(text: str, run: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(first sentence, last sentence, hash) of each span: from every sentence on, the shortest run that is long enough."""
-    bounds = sentences(text)
-    parts = [" ".join(text[a:b].lower().split()) for a, b in bounds]
-    sizes = [p.count(" ") + 1 for p in parts]
-    out, end, words = [], 0, 0
+def spans(text: str, run: int, min_words: int, long_words: int = 30) -> list[tuple[int, int, bytes]]:
+    """(first sentence, last sentence, hash) of each span: the shortest run that is long enough from every sentence on,
+    the shortest one up to every sentence, and every sentence of ``long_words`` words."""
+    parts = [" ".join(text[a:b].lower().split()) for a, b in sentences(text)]
+    sizes = [p.count(" ") + 1 + (0 if p.isascii() else len(UNSPACED.findall(p)) // 2) for p in parts]
+    found = {(k, k + 1) for k, n in enumerate(sizes) if n >= long_words}
+    end = words = 0
     for k in range(len(parts)):
         while end < len(parts) and (end - k < run or words < min_words):
             words += sizes[end]
             end += 1
         if end - k < run or words < min_words:
             break
-        out.append((k, end - 1, xxhash.xxh3_128_digest("\n".join(parts[k:end]).encode("utf-8", "surrogatepass"))))
+        found.add((k, end))
         words -= sizes[k]
-    return out
-
-
-def _hashed(run: int, min_words: int):
+    start = words = 0
+    for end in range(1, len(parts) + 1):
+        words += sizes[end - 1]
+        while end - start > run and words - sizes[start] >= min_words:
+            words -= sizes[start]
+            start += 1
+        if end - start >= run and words >= min_words:
+            found.add((start, end))
+    return [(a, b - 1, xxhash.xxh3_128_digest("\n".join(parts[a:b]).encode("utf-8", "surrogatepass"))) for a, b in sorted(found)]
+
+
+def _hashed(run: int, min_words: int, long_words: int):
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             docs, first, length, marks = [], [], [], []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                for a, b, h in spans(text, run, min_words):
+                for a, b, h in spans(text, run, min_words, long_words):
                     docs.append(doc)
                     first.append(a)
                     length.append(b - a + 1)
@@ -95,11 +106,11 @@ def _cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids"])
 
 
-def repeats(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
+def repeats(docs: DataFrame, run: int = 2, min_words: int = 8, long_words: int = 30) -> DataFrame:
     """(doc_id, at, n, first_doc_id): the spans of ``n`` sentences from sentence ``at`` on that aren't the first of
     their kind, with the document that holds the first."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    found = texts.mapInPandas(_hashed(run, min_words), "doc_id long, at int, n int, h long, g int")
+    found = texts.mapInPandas(_hashed(run, min_words, long_words), "doc_id long, at int, n int, h long, g int")
     first = found.groupBy("h", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.max(F.struct("doc_id", "at")).alias("last"))
     # written before it is joined: two plain shuffles are what adaptive execution can split at a frequent span
     often = cut(first.where(F.col("first") != F.col("last")).select("h", "g", "first"))
@@ -107,7 +118,7 @@ def repeats(docs: DataFrame, run: int = 2, min_words: int = 20) -> DataFrame:
     return later.select("doc_id", "at", "n", F.col("first.doc_id").alias("first_doc_id"))
 
 
-def dedup(docs: DataFrame, run: int = 2, min_words: int = 20, changed_only: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, run: int = 2, min_words: int = 8, long_words: int = 30, changed_only: bool = False) -> DataFrame:
     """``docs`` with kept_text, n_sentences, n_removed, removed (character ranges of the text) and first_doc_ids
     (where the removed spans stay); columns of these names are replaced.
 
@@ -117,7 +128,7 @@ def dedup(docs: DataFrame, run: int = 2, min_words: int = 20, changed_only: bool
     """
     docs = docs.drop("kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids")
     doc, spans_, out = (fresh(docs, c) for c in ("_doc", "_spans", "_cut"))
-    by_doc = repeats(docs, run, min_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n", "first_doc_id")).alias(spans_))
+    by_doc = repeats(docs, run, min_words, long_words).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("at", "n", "first_doc_id")).alias(spans_))
     met = docs.join(by_doc, docs["doc_id"] == by_doc[doc], "inner" if changed_only else "left").drop(doc)
     without = F.pandas_udf(_cut, "kept_text string, n_sentences int, n_removed int, removed array<struct<start:int,end:int>>, first_doc_ids array<long>")
     return met.withColumn(out, without("text", spans_)).select(*docs.columns, f"{out}.*")
