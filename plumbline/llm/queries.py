@@ -18,8 +18,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that lose something, with what and where it stays; all others keep their texts."""
-    found = span_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), changed_only=True)
+    """Every document with what it loses, where that stays, and the length and checksum of the text it keeps."""
+    found = span_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.crc32(F.col("kept_text").cast("binary")).alias("kept_crc32")
     return found.select("doc_id", "n_sentences", "n_removed", "removed", "first_doc_ids", F.length("kept_text").alias("kept_chars"), digest)
 

@@ -1,5 +1,6 @@
 import random
 
+from plumbline.llm import queries
 from plumbline.llm import span_dedup as s
 
 DOC = "doc_id long, text string"
@@ -80,3 +81,11 @@ def test_runs_of_short_sentences_tails_and_long_ones_are_covered():
     assert covered(both([3, 2])) == [] and covered(both([25])) == []
     wide = "今日は天気が良いです。明日も天気が良いでしょう。"
     assert covered([wide + "違う文。", "別の始まり。" + wide]) == [1, 2]
+
+
+def test_the_query_returns_every_document(spark, tmp_path):
+    text = f"{sentence(5)} {sentence(6)}"
+    docs = [(1, text), (2, text), (3, sentence(7)), (4, ""), (5, None), (None, text)]
+    spark.createDataFrame(docs, DOC).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_removed"], r["kept_chars"]) for r in queries.op2_span_dedup(spark, str(tmp_path)).collect()}
+    assert got == {1: (0, len(text)), 2: (2, 0), 3: (0, len(docs[2][1])), 4: (0, 0), 5: (0, None), None: (0, len(text))}
