@@ -106,7 +106,7 @@ def _cut(texts: pd.Series, repeats: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kept_text", "n_sentences", "n_removed", "removed", "first_doc_ids"])
 
 
-def repeats(docs: DataFrame, run: int = 2, min_words: int = 8, long_words: int = 30) -> DataFrame:
+def repeats(docs: DataFrame, run: int = 2, min_words: int = 14, long_words: int = 30) -> DataFrame:
     """(doc_id, at, n, first_doc_id): the spans of ``n`` sentences from sentence ``at`` on that aren't the first of
     their kind, with the document that holds the first."""
     texts = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
@@ -118,7 +118,7 @@ def repeats(docs: DataFrame, run: int = 2, min_words: int = 8, long_words: int =
     return later.select("doc_id", "at", "n", F.col("first.doc_id").alias("first_doc_id"))
 
 
-def dedup(docs: DataFrame, run: int = 2, min_words: int = 8, long_words: int = 30, changed_only: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, run: int = 2, min_words: int = 14, long_words: int = 30, changed_only: bool = False) -> DataFrame:
     """``docs`` with kept_text, n_sentences, n_removed, removed (character ranges of the text) and first_doc_ids
     (where the removed spans stay); columns of these names are replaced.
 
