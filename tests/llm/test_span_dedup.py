@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from plumbline.llm import queries
 from plumbline.llm import span_dedup as s
 
@@ -11,39 +13,62 @@ def sentence(seed, n=12):
     return " ".join(f"w{rng.randrange(9000)}" for _ in range(n)) + "."
 
 
-def brute(docs, run, min_words):
-    """Sentence numbers to remove, by document."""
+STOP = ".!?"
+
+
+def split(text):
+    """Sentences, written out apart from the operator: (text, words) up to a stop before a blank, or a line end."""
+    out, at = [], 0
+    for k, c in enumerate(text):
+        stop = c in STOP and k + 1 < len(text) and text[k + 1].isspace()
+        if stop or c == "\n" or k == len(text) - 1:
+            part = " ".join(text[at : k + 1].lower().split())
+            if part:
+                out.append((part, len(part.split())))
+            at = k + 1
+    return out
+
+
+def brute(docs, run, min_words, long_words):
+    """Every run of ``run`` sentences and every long sentence, hashed in order; covered stretches that are long enough, by document."""
     first, out = {}, {d: set() for d, _ in docs}
     for d, text in sorted((x for x in docs if x[0] is not None and x[1] is not None), key=lambda x: x[0]):
-        parts = [" ".join(text[a:b].lower().split()) for a, b in s.sentences(text)]
+        parts = split(text)
+        covered = set()
         for k in range(len(parts)):
-            n = next((n for n in range(run, len(parts) - k + 1) if sum(len(p.split()) for p in parts[k : k + n]) >= min_words), None)
-            if n is None:
-                continue
-            key = tuple(parts[k : k + n])
-            if first.setdefault(key, (d, k)) != (d, k):
-                out[d] |= set(range(k, k + n))
+            for n in (run, 1):
+                if k + n > len(parts) or (n == 1 and run > 1 and parts[k][1] < long_words):
+                    continue
+                key = tuple(p for p, _ in parts[k : k + n])
+                if first.setdefault(key, (d, k)) != (d, k):
+                    covered |= set(range(k, k + n))
+        stretch = []
+        for k in range(len(parts) + 1):
+            if k in covered:
+                stretch.append(k)
+            elif stretch:
+                if sum(parts[j][1] for j in stretch) >= min_words:
+                    out[d] |= set(stretch)
+                stretch = []
     return out
 
 
-def test_removals_match_brute_force(spark):
+@pytest.mark.parametrize(("run", "min_words", "long_words"), [(2, 12, 25), (3, 0, 10), (2, 20, 30)])
+def test_removals_match_brute_force(spark, run, min_words, long_words):
     rng = random.Random(1)
-    shared = [[sentence(100 * k + j) for j in range(rng.randint(2, 6))] for k in range(6)]
+    shared = [[sentence(100 * k + j, rng.choice([1, 3, 12, 26])) for j in range(rng.randint(1, 6))] for k in range(8)]
     docs = []
-    for d in range(60):
+    for d in range(80):
         parts = [sentence(10_000 + 50 * d + j, rng.randint(1, 15)) for j in range(6)]
         if d % 2:
             parts[3:3] = rng.choice(shared)
         docs.append((d, ("\n" if d % 3 else " ").join(parts)))
-    want = brute(docs, 2, 20)
-    got = {r["doc_id"]: r for r in s.dedup(spark.createDataFrame(docs, DOC)).collect()}
-    assert {d: len(v) for d, v in want.items()} == {d: r["n_removed"] for d, r in got.items()}
-    changed = s.dedup(spark.createDataFrame(docs, DOC), changed_only=True).collect()
-    assert {r["doc_id"]: r["kept_text"] for r in changed} == {d: got[d]["kept_text"] for d in want if want[d]}
+    want = brute(docs, run, min_words, long_words)
+    got = {r["doc_id"]: r for r in s.dedup(spark.createDataFrame(docs, DOC), run, min_words, long_words).collect()}
+    assert {d: len(v) for d, v in want.items()} == {d: r["n_removed"] for d, r in got.items()} and any(want.values())
     for d, text in docs:
-        bounds = s.sentences(text)
-        left = [text[a:b] for k, (a, b) in enumerate(bounds) if k not in want[d]]
-        assert [got[d]["kept_text"][a:b] for a, b in s.sentences(got[d]["kept_text"])] == left
+        left = [p for k, (p, _) in enumerate(split(text)) if k not in want[d]]
+        assert [p for p, _ in split(got[d]["kept_text"])] == left
         gone = "".join(text[r["start"] : r["end"]] for r in got[d]["removed"])
         assert len(gone) + len(got[d]["kept_text"]) == len(text)
         assert bool(got[d]["first_doc_ids"]) == bool(want[d]) and all(f <= d for f in got[d]["first_doc_ids"])
@@ -67,20 +92,18 @@ def test_nulls_repeats_empty_and_long_texts(spark):
     assert s.dedup(spark.createDataFrame([], DOC)).isEmpty()
 
 
-def test_runs_of_short_sentences_tails_and_long_ones_are_covered():
-    def covered(texts):  # sentences of the second text in spans that the first has too
-        known = {h for _, _, h in s.spans(texts[0], 2, 14)}
-        return sorted({k for a, b, h in s.spans(texts[1], 2, 14) if h in known for k in range(a, b + 1)})
-
-    def both(lengths):
+def test_a_repeated_block_is_covered_whole(spark):
+    def removed(lengths, **how):
         whole = " ".join(sentence(70 + k, n) for k, n in enumerate(lengths))
-        return [f"{sentence(d, 22)} {whole} {sentence(d + 1, 18)}" for d in (1, 5)]
+        docs = [(d, f"{sentence(d, 22)} {whole} {sentence(d + 1, 18)}") for d in (1, 5)]
+        return [r["n_removed"] for r in s.dedup(spark.createDataFrame(docs, DOC), **how).orderBy("doc_id").collect()]
 
-    for lengths in ([1, 14, 1, 2], [12, 12, 1], [1, 12, 12, 1, 1], [31]):
-        assert covered(both(lengths)) == list(range(1, len(lengths) + 1)), lengths
-    assert covered(both([5, 3])) == [] and covered(both([25])) == []
+    for lengths in ([1, 14, 1, 2], [15, 15, 3], [12, 12, 1], [1, 12, 12, 1, 1], [4, 4, 4], [31]):
+        assert removed(lengths) == [0, len(lengths)], lengths
+    assert removed([5, 3]) == [0, 0] and removed([20]) == [0, 0] and removed([5, 3], min_words=0) == [0, 2]
     wide = "今日は天気が良いですと彼は言った。明日も天気が良いでしょうと彼女は答えた。"
-    assert covered([wide + "違う文。", "別の始まり。" + wide]) == [1, 2]
+    got = s.dedup(spark.createDataFrame([(1, wide + "違う文。"), (2, "別の始まり。" + wide)], DOC)).orderBy("doc_id").collect()
+    assert [(r["n_removed"], r["kept_text"]) for r in got] == [(0, wide + "違う文。"), (2, "別の始まり。")]
 
 
 def test_the_query_returns_every_document(spark, tmp_path):
