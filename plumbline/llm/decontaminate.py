@@ -1,21 +1,25 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-1. Every word n-gram of every training text is tested against a Bloom filter of the benchmark's
-   n-grams. The filter has a fixed size (``filter_bits``), whatever the size of the benchmark; what
-   passes by chance falls out in the join. Seeds that lie close together in a text are one passage,
-   cut out with as many words around it as the longest item has.
-2. The seeds are counted over the corpus. Of every ``window`` neighbouring n-grams of an item those
-   are used that are at most ``common`` times as frequent as the rarest of them, so a common phrase
-   seeds nothing, and an item whose copies are everywhere keeps its seeds.
-3. Passages meet items over rare seeds and are aligned word by word (match +2, other word -1, gap -1).
-   The score is the best local alignment over that of the whole item with itself.
+1. Every word n-gram of every training text is tested against a Bloom filter of the benchmark's n-grams,
+   which has at least 16 bits for each of them, up to ``MAX_BITS``; what passes by chance falls out in the
+   join. Seeds that lie close together in a text are one passage, cut out with as many words around it as
+   the longest item has. Passages of the same words are one, however many documents hold them.
+2. The seeds are counted over distinct passages. Of neighbouring seeds of a passage (``window`` places to
+   either side) those are used that are at most ``common`` times as frequent as the rarest of them. So each
+   passage keeps its own rarest seeds, whatever other passages hold, and a common phrase beside rarer ones
+   seeds nothing.
+3. Passages meet items over rare seeds. Pairs that share too few words to reach the threshold go, the others
+   are aligned word by word (match +2, other word -1, gap -1). The score is the best local alignment over
+   that of the whole item with itself.
 
 Texts are not shuffled, only the passages around hits.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,7 @@ from plumbline.llm.common import cut
 
 WORD = re.compile(r"\w+")
 MATCH, OTHER, GAP = 2, -1, -1
+MAX_BITS = 30  # a filter of 128 MB at most; a larger benchmark lets more pass by chance, and loses nothing
 
 
 def words_of(text: str | None) -> list[str]:
@@ -45,21 +50,18 @@ class _Known(dict):
 class Hasher:
     """Word hashes, remembered up to a bound, and the hashes of word n-grams made of them."""
 
-    def __init__(self, n: int):
-        self.n, self.known = n, _Known()
+    def __init__(self):
+        self.known = _Known()
 
     def words(self, words: list[str]) -> np.ndarray:
         if len(self.known) > 500_000:
             self.known.clear()
         return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
-    def grams(self, words: list[str]) -> np.ndarray:
-        """One hash of each n-gram; of all words together if there are fewer than n."""
-        n = min(self.n, len(words))
-        if not n:
-            return np.empty(0, np.uint64)
-        h = self.words(words)
-        out = np.zeros(len(h) - n + 1, np.uint64)
+    @staticmethod
+    def grams(h: np.ndarray, n: int) -> np.ndarray:
+        """One hash of each run of n words, given the words' hashes."""
+        out = np.zeros(max(0, len(h) - n + 1), np.uint64)
         for k in range(n):
             out = (out ^ h[k : k + len(out)]) * np.uint64(0x9E3779B97F4A7C15)
             out ^= out >> np.uint64(29)
@@ -73,59 +75,69 @@ def _bit_places(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.stack([hashes & mask, hashes >> np.uint64(64 - bits), second & mask])
 
 
-def _filter_of(items: DataFrame, n: int, bits: int) -> np.ndarray:
-    """A Bloom filter of the items' n-grams: each partition makes one, they are or-ed one by one."""
+def _filter_of(grams: DataFrame, bits: int) -> np.ndarray:
+    """A Bloom filter of the seeds: a few tasks make one each, which are or-ed one by one."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, set_ = Hasher(n), np.zeros(1 << bits, bool)
+        set_ = np.zeros((1 << bits) // 8, np.uint8)
         for batch in batches:
-            for text in batch["text"]:
-                set_[_bit_places(hasher.grams(words_of(text)), bits).ravel()] = True
-        yield pd.DataFrame({"part": [np.packbits(set_, bitorder="little").tobytes()]})
+            places = _bit_places(batch["seed"].to_numpy(np.int64).view(np.uint64), bits).ravel()
+            np.bitwise_or.at(set_, places >> np.uint64(3), np.uint8(1) << (places & np.uint64(7)).astype(np.uint8))
+        yield pd.DataFrame({"part": [set_.tobytes()]})
 
     out = np.zeros((1 << bits) // 8, np.uint8)
-    for row in items.select("text").mapInPandas(part, "part binary").toLocalIterator():
+    for row in grams.select("seed").coalesce(4).mapInPandas(part, "part binary").toLocalIterator():
         out |= np.frombuffer(row["part"], np.uint8)
     return out
 
 
 def _item_seeds(n: int):
+    """(item, seed, n_words) of every n-gram of the items; of an item of fewer words, one seed of all of them."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher = Hasher(n)
+        hasher = Hasher()
         for batch in batches:
             rows = []
             for item, text in zip(batch["item"], batch["text"], strict=True):
-                grams = hasher.grams(words_of(text)).view(np.int64)
-                rows += [(item, k, int(g)) for k, g in enumerate(grams)]
-            yield pd.DataFrame(rows, columns=["item", "at", "seed"])
+                words = words_of(text)
+                if words:
+                    rows += [(item, g, len(words)) for g in hasher.grams(hasher.words(words), min(n, len(words))).view(np.int64).tolist()]
+            yield pd.DataFrame(rows, columns=["item", "seed", "n_words"])
 
     return run
 
 
-def _passages(shared, n: int, bits: int, around: int):
-    """For mapInPandas on (doc_id, text): the passages with hits, (doc_id, passage, first_word, words, seeds)."""
+def _passages(shared, sizes: list[int], bits: int, around: int):
+    """For mapInPandas on (doc_id, text): the passages with hits, (doc_id, first_word, passage, words, hits).
+    sizes: the numbers of words that seeds have; hits: place in the text and seed, in order."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        flat, hasher = shared.value, Hasher(n)
+        flat, hasher = shared.value, Hasher()
         mask = np.uint64((1 << bits) - 1)
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 words = words_of(text)
-                grams = hasher.grams(words)
-                low = grams & mask
-                maybe = np.flatnonzero(flat[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
-                if len(maybe):
-                    places = _bit_places(grams[maybe], bits)
-                    hit = (flat[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
-                    maybe = maybe[hit]
-                if not len(maybe):
+                hashes = hasher.words(words)
+                found = []
+                for size in sizes:
+                    grams = hasher.grams(hashes, size)
+                    low = grams & mask
+                    maybe = np.flatnonzero(flat[low >> np.uint64(3)] >> (low & np.uint64(7)).astype(np.uint8) & 1)
+                    if len(maybe):
+                        places = _bit_places(grams[maybe], bits)
+                        maybe = maybe[(flat[places >> np.uint64(3)] >> (places & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)]
+                        found += zip(maybe.tolist(), grams[maybe].view(np.int64).tolist(), strict=True)
+                if not found:
                     continue
-                for k, near in enumerate(np.split(maybe, np.flatnonzero(np.diff(maybe) > around) + 1)):
-                    first = max(0, int(near[0]) - around)
-                    seeds = np.unique(grams[near].view(np.int64))
-                    rows.append((doc, k, first, " ".join(words[first : int(near[-1]) + n + around]), seeds.tolist()))
-            yield pd.DataFrame(rows, columns=["doc_id", "passage", "first_word", "words", "seeds"])
+                found.sort()
+                at = np.array([a for a, _ in found])
+                edges = [0, *(np.flatnonzero(np.diff(at) > around) + 1).tolist(), len(at)]
+                for a, b in zip(edges, edges[1:], strict=False):
+                    first = max(0, int(at[a]) - around)
+                    part = " ".join(words[first : int(at[b - 1]) + max(sizes) + around])
+                    rows.append((doc, first, xxhash.xxh3_128_hexdigest(part.encode("utf-8", "surrogatepass")), part, [{"at": p - first, "seed": s} for p, s in found[a:b]]))
+            yield pd.DataFrame(rows, columns=["doc_id", "first_word", "passage", "words", "hits"])
 
     return run
 
@@ -162,51 +174,66 @@ def align(passage: list[str], item: list[str]) -> tuple[int, int, int]:
     return best
 
 
-def _aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, passage, first, words, item, text in batch.itertuples(index=False):
-            item_words = words_of(text)
-            got, a, b = align(words.split(" "), item_words)
-            rows.append((doc, item, got / (MATCH * len(item_words)), first + a, first + b, passage))
-        yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "start_word", "end_word", "passage"])
+def may_reach(passage: Counter, item: list[str], threshold: float) -> bool:
+    """False if the two share too few words for an alignment of that score: each match takes one word of either."""
+    return sum((passage & Counter(item)).values()) >= threshold * len(item)
+
+
+def _aligned(threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for passage, part in batch.groupby("passage", sort=False):
+                words = part["words"].iloc[0].split(" ")
+                counts = Counter(words)
+                for item, text in zip(part["item"], part["text"], strict=True):
+                    item_words = words_of(text)
+                    if may_reach(counts, item_words, threshold):
+                        got, a, b = align(words, item_words)
+                        rows.append((passage, item, got / (MATCH * len(item_words)), a, b))
+            yield pd.DataFrame(rows, columns=["passage", "item_id", "score", "start", "end"])
+
+    return run
 
 
-def matches(
-    docs: DataFrame, items: DataFrame, n: int = 4, window: int = 4, common: float = 4.0, threshold: float = 0.5, filter_bits: int = 22
-) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, n: int = 4, window: int = 4, common: float = 4.0, threshold: float = 0.5) -> DataFrame:
     """Leaks of ``items`` (item_id, text) in ``docs`` (doc_id, text): one row of each (doc_id, item_id)
     whose best alignment scores at least ``threshold``, with score (0 to 1), start_word, end_word and
-    n_items, the number of items with the same words.
+    n_items, the number of items with the same words. Of alignments with equal scores the first counts.
 
-    Items of equal text count as one, the smallest item_id. Items and documents without a word, and null
-    texts, match nothing. An item of fewer than ``n`` words has one seed, all of it, and is found only in
-    texts of exactly these words. Rows without doc_id are left out; repeated rows give one result. Other columns
-    are not read. Empty tables give an empty result.
+    Words are runs of letters, digits and underscores in lower case, whatever stands between them. Items of
+    equal text count as one, the smallest item_id. Items and documents without a word, and null texts, match
+    nothing. An item of ``n`` words or more is found where ``n`` of its words in a row are unchanged; one of
+    fewer words, where all of them stand in a row. Rows without doc_id are left out; repeated rows give one
+    result. Other columns are not read. Empty tables give an empty result.
     """
     items = items.where("text is not null").groupBy("text").agg(F.min("item_id").alias("item"), F.count(F.lit(1)).alias("n_items"))
     items = cut(items.where("item is not null"))
-    longest = items.agg(F.max(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(items, n, filter_bits))  # 2^filter_bits bits
-    around = 2 * int(longest) + n
-    schema = "doc_id long, passage int, first_word long, words string, seeds array<long>"
+    grams = cut(items.select("item", "text").mapInPandas(_item_seeds(n), "item long, seed long, n_words int").distinct())
+    of = grams.agg(F.count(F.lit(1)).alias("grams"), F.max("n_words").alias("longest"), F.collect_set(F.least("n_words", F.lit(n))).alias("sizes")).first()
+    bits = min(MAX_BITS, max(16, math.ceil(math.log2(16 * max(1, of["grams"])))))
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(grams, bits))  # 2^bits bits
+    around = 2 * (of["longest"] or 0) + n
+    schema = "doc_id long, first_word long, passage string, words string, hits array<struct<at:int,seed:long>>"
     found = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null and text is not null")
-    found = cut(found.mapInPandas(_passages(shared, n, filter_bits, around), schema).dropDuplicates(["doc_id", "passage", "words"]))
-
-    hits = found.select("doc_id", "passage", "first_word", F.explode("seeds").alias("seed"))
-    seen = hits.groupBy("seed").agg(F.count(F.lit(1)).alias("seen"))
-    grams = items.select("item", "text").mapInPandas(_item_seeds(n), "item long, at int, seed long")
-    counted = grams.join(seen, "seed")  # a seed that no text has can join nothing
-    blocks = counted.select("item", "seed", "seen", F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - window + 1), "at")).alias("block"))
-    least = F.min("seen").over(Window.partitionBy("item", "block"))
-    rare = blocks.withColumn("_least", least).where(F.col("seen") <= common * F.col("_least")).select("item", "seed").distinct()
-
-    met = hits.join(rare, "seed").select("doc_id", "passage", "first_word", "item").distinct()
-    pairs = met.join(found.select("doc_id", "passage", "first_word", "words"), ["doc_id", "passage", "first_word"])
-    pairs = pairs.join(items.select("item", "text"), "item").select("doc_id", "passage", "first_word", "words", "item", "text")
-    scored = pairs.mapInPandas(_aligned, "doc_id long, item_id long, score double, start_word long, end_word long, passage int")
+    found = cut(found.mapInPandas(_passages(shared, sorted(of["sizes"]), bits, around), schema))
+    passages = found.select("passage", "words", "hits").dropDuplicates(["passage"])
+
+    hits = cut(passages.select("passage", F.inline("hits")).join(grams.select("seed").distinct(), "seed", "left_semi"))
+    seen = hits.select("passage", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("seen"))
+    near = Window.partitionBy("passage").orderBy("at").rangeBetween(1 - window, window - 1)  # as many rows as a passage has words
+    rare = hits.join(seen, "seed").withColumn("_least", F.min("seen").over(near)).where(F.col("seen") <= common * F.col("_least"))
+    # written before it is joined: two plain shuffles are what adaptive execution can split at a frequent seed
+    rare = cut(rare.select("passage", "seed").distinct())
+    met = rare.join(grams.select("item", "seed"), "seed").select("passage", "item").distinct()
+    pairs = met.join(items.select("item", "text"), "item").join(passages.select("passage", "words"), "passage")
+    scored = pairs.select("passage", "words", "item", "text").mapInPandas(_aligned(threshold), "passage string, item_id long, score double, start long, end long")
+    scored = scored.where(F.col("score") >= threshold)
+
+    places = found.select("doc_id", "passage", "first_word").distinct()
+    leaks = places.join(scored, "passage").select("doc_id", "item_id", "score", (F.col("first_word") + F.col("start")).alias("start_word"), (F.col("first_word") + F.col("end")).alias("end_word"))
     best = F.max_by(F.struct("score", "start_word", "end_word"), F.struct("score", -F.col("start_word"), -F.col("end_word"))).alias("b")
-    leaks = scored.where(F.col("score") >= threshold).groupBy("doc_id", "item_id").agg(best)
+    leaks = leaks.groupBy("doc_id", "item_id").agg(best)
     sizes = items.select(F.col("item").alias("item_id"), "n_items")
     return leaks.join(sizes, "item_id").select("doc_id", "item_id", "b.score", "b.start_word", "b.end_word", "n_items")
 

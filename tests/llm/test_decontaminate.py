@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 from plumbline.llm import decontaminate as d
 
@@ -59,6 +61,61 @@ def test_results_equal_brute_force_over_all_pairs(spark):
     assert got == want
 
 
+def edited(words, every, start=0):
+    return [w if k % every != start else "other" for k, w in enumerate(words)]
+
+
+def test_brute_force_over_signs_between_words_and_short_items(spark):
+    rng = random.Random(11)
+    joins = [" ", ".", "-", ", ", "(", " = ", "/"]
+    items = [(k, joins[k % 7].join(make(rng.choice([1, 2, 3, 5, 9, 40]), 300 + k).split())) for k in range(24)]
+    docs = []
+    for k in range(60):
+        parts = [make(rng.randint(0, 80), 700 + k)]
+        for _, text in rng.sample(items, k % 4):
+            words = edited(decontaminate_words(text), rng.choice([5, 6, 50]), 4)
+            parts += [rng.choice(joins).join(words), make(25, 1200 + k)]
+        docs.append((k, " ".join(parts)))
+    want = {}
+    for i, t in docs:
+        for j, u in items:
+            a, b = decontaminate_words(t), decontaminate_words(u)
+            runs = {tuple(b[k : k + min(4, len(b))]) for k in range(len(b) - min(4, len(b)) + 1)}
+            seeded = any(tuple(a[k : k + min(4, len(b))]) in runs for k in range(len(a)))
+            if seeded and (s := smith_waterman(a, b) / (2 * len(b))) >= 0.5:
+                want[i, j] = s
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)).collect()}
+    assert got == want and {len(decontaminate_words(u)) for j, u in items if any(j == b for _, b in want)} >= {1, 2, 3, 5, 9, 40}
+
+
+def decontaminate_words(text):
+    return re.findall(r"\w+", text.lower())
+
+
+def test_words_joined_by_dots_and_edited_are_found(spark):
+    words = make(40, 77).split()
+    middle = words[:8] + [w if k % 3 else "other" for k, w in enumerate(words[8:32])] + words[32:]
+    docs = [(1, make(30, 5) + " " + ".".join(middle) + " end"), (2, make(60, 6))]
+    found = d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame([(3, ".".join(words))], ITEM)).collect()
+    assert [(r["doc_id"], r["score"] >= 0.6) for r in found] == [(1, True)]
+
+
+def test_many_documents_with_one_edit_are_all_found(spark):
+    words = make(20, 13).split()
+    changed = [w if k not in (4, 9, 14, 17) else "other" for k, w in enumerate(words)]
+    docs = [(0, make(20, 2) + " " + " ".join(words))] + [(k, make(20, 50 + k) + " " + " ".join(changed) + " " + make(20, 150 + k)) for k in range(1, 60)]
+    got = {r["doc_id"] for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame([(1, " ".join(words))], ITEM)).collect()}
+    assert got == set(range(60))
+
+
+def test_the_word_bound_never_hides_an_alignment():
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = rng.choices("abcdef", k=rng.randint(1, 20)), rng.choices("abcdef", k=rng.randint(1, 10))
+        if smith_waterman(a, b) >= 0.5 * 2 * len(b):
+            assert d.may_reach(Counter(a), b, 0.5)
+
+
 def test_a_passage_shared_by_most_documents_is_found_in_all(spark):
     item = make(30, 1)
     docs = [(k, make(20, 50 + k) + " " + item) for k in range(120)]
