@@ -196,7 +196,7 @@ def _aligned(threshold: float):
     return run
 
 
-def matches(docs: DataFrame, items: DataFrame, n: int = 4, window: int = 4, common: float = 4.0, threshold: float = 0.5) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, n: int = 3, window: int = 4, common: float = 4.0, threshold: float = 0.5) -> DataFrame:
     """Leaks of ``items`` (item_id, text) in ``docs`` (doc_id, text): one row of each (doc_id, item_id)
     whose best alignment scores at least ``threshold``, with score (0 to 1), start_word, end_word and
     n_items, the number of items with the same words. Of alignments with equal scores the first counts.

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import cut
+from plumbline.llm.common import cut, fresh
 from plumbline.llm.graph import components
 
 SEED = 42
@@ -310,23 +310,24 @@ def pigeonhole_keys(bits: Column, radius: int) -> Column:
 
 
 def components_by_fingerprint(docs: DataFrame, words: int = 3, radius: int = 3) -> DataFrame:
-    """Adds ``fingerprint`` (long) and ``component_id`` to ``docs``, which needs doc_id and text.
+    """doc_id, ``fingerprint`` (long) and ``component_id`` of every row of ``docs``, which needs doc_id and text.
 
     Two documents are linked if their 64-bit fingerprints differ in at most ``radius`` bits;
     component_id is the smallest doc_id reachable over links, itself included. Null or blank
     texts have fingerprint 0 and are linked like any other. Repeated rows get one component.
-    A null doc_id takes the component of its fingerprint, null if no document with an id has it.
-    Empty table: empty result. Columns of these two names are replaced; others pass through.
+    Rows without doc_id link like others; where only such rows are reached, component_id is null.
+    Empty table: empty result. Other columns are not read.
     """
-    docs = docs.drop("fingerprint", "component_id")
     # fingerprints are made once: both uses read what was written
     marked = cut(docs.select("doc_id", fingerprint("text", words).alias("fingerprint")))
-    classes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
-    known = classes.where("node is not null")
-    keyed = known.select(F.explode(pigeonhole_keys(F.col("fingerprint"), radius)).alias("key"), "node")
-    found = components(link(keyed, known.select("node", _packed([F.col("fingerprint")]).alias("bits")), 1, radius))
-    classes = classes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id"))
-    return marked.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    # documents of one fingerprint are one node, named by it
+    classes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    nodes = classes.select(F.col("fingerprint").alias("node"))
+    keyed = nodes.select(F.explode(pigeonhole_keys(F.col("node"), radius)).alias("key"), "node")
+    found = components(link(keyed, nodes.select("node", _packed([F.col("node")]).alias("bits")), 1, radius))
+    rooted = classes.join(found.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select("fingerprint", "least", F.coalesce("component", "fingerprint").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(rooted.join(least, "root").select("fingerprint", "component_id"), "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def near_dedup(
@@ -341,20 +342,41 @@ def near_dedup(
     2s / (1 + s)), plus a share ``slack`` of them, about two standard deviations; each is then checked on the shingles.
     So no pair below ``similarity`` is linked, of pairs at the threshold about 97 % are, 0.05 above it practically all.
     The groups are the components of these links. Null and blank texts are copies of each other. Rows without doc_id
-    all stay. Of repeated rows with one doc_id, one stays. Empty table: empty result.
+    all stay. Rows that share a doc_id but not their text are documents of their own; of rows that share both, one
+    stays (the first by its other columns). Empty table: empty result.
     """
     radius = int(64 * width * (math.acos(2 * similarity / (1 + similarity)) / math.pi + slack))
+    mark = F.xxhash64("text").alias("mark")
     texts = docs.where("doc_id is not null").select("doc_id", "text")
-    marked = texts.select("doc_id", _minwise(words, rows, bands)("text").alias("m")).select("doc_id", "m.*")
-    # documents of one shingle set are one class; their keys are equal too
-    classes = cut(marked.groupBy("same").agg(F.min("doc_id").alias("node"), F.min("size").alias("size"), F.min("keys").alias("keys")))
-    keyed = classes.select(F.explode("keys").alias("key"), "node", F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(4096.0)).cast("int")).alias("weight"))
+    marked = texts.select("doc_id", mark, _minwise(words, rows, bands)("text").alias("m")).select("doc_id", "mark", "m.*")
+    # documents of one shingle set are one class, and their keys are equal too; it is named once, as it is written
+    classes = marked.groupBy("same").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.min("size").alias("size"), F.min("keys").alias("keys"))
+    classes = cut(classes.drop("same").withColumn("node", F.monotonically_increasing_id()))
+    weight = F.greatest(F.lit(1), F.ceil(F.col("size") / F.lit(4096.0)).cast("int")).alias("weight")
+    keyed = classes.select(F.explode("keys").alias("key"), "node", weight)
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     keyed = cut(keyed.join(shared, "key", "left_semi"))
     # only documents that share a key are read again and get bits and sets
-    met = texts.join(keyed.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    prints = cut(met.select(F.col("doc_id").alias("node"), _wide(width, words)("text").alias("w")).select("node", "w.*"))
-    moved = components(link(keyed, prints, width, radius, block_rows, similarity)).select(F.col("node").alias("doc_id"))
-    kept = classes.select(F.col("node").alias("doc_id")).join(moved, "doc_id", "left_anti")
-    one = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return one.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    named = classes.select("node", "first.*").join(keyed.select("node").distinct(), "node", "left_semi")
+    met = texts.withColumn("mark", mark).join(named, ["doc_id", "mark"]).dropDuplicates(["node"])
+    prints = cut(met.select("node", _wide(width, words)("text").alias("w")).select("node", "w.*"))
+    moved = components(link(keyed, prints, width, radius, block_rows, similarity))
+    rooted = classes.select("node", "first").join(moved, "node", "left")
+    kept = rooted.groupBy(F.coalesce("component", "node").alias("root")).agg(F.min("first").alias("f")).select("f.*")
+    return one_of_each(docs, kept).unionByName(docs.where("doc_id is null"))
+
+
+def one_of_each(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` (doc_id, mark: xxhash64 of the text) names, once each; of several rows with
+    one id and text, the first by the other columns. Only such rows are grouped, the others pass through the join."""
+    mark, whole = fresh(docs, "_mark"), fresh(docs, "_whole")
+    marked = docs.where("doc_id is not null").withColumn(mark, F.xxhash64("text"))
+    often = marked.groupBy("doc_id", mark).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    kept = kept.withColumnRenamed("mark", mark)
+    keys = ["doc_id", mark]
+    repeated = cut(kept.join(often, keys, "left_semi"))
+    single = marked.join(cut(kept.join(repeated, keys, "left_anti")), keys, "left_semi").select(docs.columns)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    first = marked.join(repeated, keys, "left_semi").groupBy(*keys).agg(F.min_by(F.struct(*docs.columns), order).alias(whole))
+    return single.unionByName(first.select(f"{whole}.*"))

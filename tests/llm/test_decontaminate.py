@@ -73,15 +73,15 @@ def test_brute_force_over_signs_between_words_and_short_items(spark):
     for k in range(60):
         parts = [make(rng.randint(0, 80), 700 + k)]
         for _, text in rng.sample(items, k % 4):
-            words = edited(decontaminate_words(text), rng.choice([5, 6, 50]), 4)
+            words = edited(decontaminate_words(text), rng.choice([4, 5, 50]), 3)
             parts += [rng.choice(joins).join(words), make(25, 1200 + k)]
         docs.append((k, " ".join(parts)))
     want = {}
     for i, t in docs:
         for j, u in items:
             a, b = decontaminate_words(t), decontaminate_words(u)
-            runs = {tuple(b[k : k + min(4, len(b))]) for k in range(len(b) - min(4, len(b)) + 1)}
-            seeded = any(tuple(a[k : k + min(4, len(b))]) in runs for k in range(len(a)))
+            runs = {tuple(b[k : k + min(3, len(b))]) for k in range(len(b) - min(3, len(b)) + 1)}
+            seeded = any(tuple(a[k : k + min(3, len(b))]) in runs for k in range(len(a)))
             if seeded and (s := smith_waterman(a, b) / (2 * len(b))) >= 0.5:
                 want[i, j] = s
     got = {(r["doc_id"], r["item_id"]): r["score"] for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)).collect()}

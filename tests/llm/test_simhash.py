@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from plumbline.llm import graph, simhash
 
@@ -160,3 +161,24 @@ def test_only_pairs_of_the_stated_similarity_are_linked(spark):
         rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(near))]
         want |= {2 * k} if similarity >= 0.8 else {2 * k, 2 * k + 1}
     assert {r["doc_id"] for r in simhash.near_dedup(spark.createDataFrame(rows, DOC)).collect()} == want
+
+
+def test_rows_that_share_an_id_lose_no_text_of_their_own(spark):
+    rng = np.random.default_rng(31)
+    a, b, c = (" ".join(f"{x}{n}" for n in rng.integers(0, 5000, 80)) for x in "abc")
+    schema = "doc_id long, text string, source string, more map<string,int>"
+    rows = [(1, a, "s", None), (1, b, "s", {"k": 1}), (2, b, "t", None), (3, c, "z", None), (3, c, "y", {"k": 2}), (3, c, "y", {"k": 2}), (4, None, None, None), (4, "", None, None), (None, a, None, None)]
+    got = sorted(((r["doc_id"], r["text"], r["source"]) for r in simhash.near_dedup(spark.createDataFrame(rows, schema)).collect()), key=str)
+    empty = [r for r in got if r[0] == 4]
+    assert len(empty) == 1 and sorted(r for r in got if r[0] != 4 and r[0] is not None) == sorted([(1, a, "s"), (1, b, "s"), (3, c, "y")]) and (None, a, None) in got
+    assert len(got) == 5
+    again = simhash.near_dedup(spark.createDataFrame(rows[::-1], schema).repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["text"], r["source"]) for r in again), key=str) == got
+
+
+def test_a_chain_through_rows_without_an_id_holds(spark, monkeypatch):
+    values = {f"t{k}": (1 << 3 * k) - 1 for k in range(6)}  # three bits from one to the next
+    monkeypatch.setattr(simhash, "fingerprint", lambda text, words: F.element_at(F.create_map(*[F.lit(x) for kv in values.items() for x in kv]), F.col(text)))
+    rows = [(9, "t0"), (None, "t1"), (None, "t2"), (4, "t3"), (None, "t5")]
+    got = [(r["doc_id"], r["component_id"]) for r in simhash.components_by_fingerprint(spark.createDataFrame(rows, DOC)).collect()]
+    assert sorted(got, key=str) == sorted([(9, 4), (None, 4), (None, 4), (4, 4), (None, None)], key=str)
