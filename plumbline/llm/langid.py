@@ -3,20 +3,21 @@
 A known word is scored by its log frequency in each language. A word that was not learned falls
 back to its longest character n-grams that were, one length shorter at a time.
 
-The model is fitted on a sample of at most about ``max_docs`` labelled documents (a stated bound)
-and holds at most ``max_words`` words and ``max_grams`` n-grams of each length a language, so its
-size doesn't follow the corpus. Counting and choosing run on Spark; only the bounded tables come
-to the driver and are broadcast. Prediction reads every whole text.
+The model is fitted on a sample of about ``max_docs`` labelled documents (a stated bound), a like share of every
+language. Words and n-grams that stand in it twice or more are learned, whatever their number; counting runs on
+Spark, and what is learned is broadcast as sorted arrays of hashes, one entry for each (n-gram, language) that was
+seen. Prediction reads every whole text.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,40 +39,76 @@ def grams_of(word: str, n: int) -> list[str]:
     return [word[k : k + n] for k in range(len(word) - n + 1)]
 
 
+class Tables:
+    """Log probabilities of n-grams by language, kept sparse: sorted hashes, and for each the languages that have it."""
+
+    def __init__(self, rows: Iterable[tuple[int, int, int, int]], langs: int):
+        """rows: (kind, hash of the n-gram, language, count); kind 0 is whole words, n the n-grams of that length."""
+        rows = np.array(sorted(rows), np.int64).reshape(-1, 4)
+        self.langs, self.kinds = langs, {}
+        for kind in (0, *LENGTHS):
+            part = rows[rows[:, 0] == kind]
+            hashes, first = np.unique(part[:, 1], return_index=True)
+            sums = np.bincount(part[:, 2], part[:, 3], langs)
+            whole = sums + 0.5 * (len(hashes) + 1)
+            logs = np.log((part[:, 3] + 0.5) / whole[part[:, 2]])
+            self.kinds[kind] = hashes, np.append(first, len(part)), part[:, 2].astype(np.int32), logs, np.log(0.5 / whole)
+
+    def find(self, kind: int, grams: list[str]) -> list[np.ndarray]:
+        """The log probabilities of those of ``grams`` that were learned."""
+        hashes, first, lang, logs, unseen = self.kinds[kind]
+        if not len(hashes):
+            return []
+        wanted = np.array([gram_hash(g) for g in grams], np.int64)
+        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+        out = []
+        for k in at[hashes[at] == wanted]:
+            row = unseen.copy()
+            row[lang[first[k] : first[k + 1]]] = logs[first[k] : first[k + 1]]
+            out.append(row)
+        return out
+
+    def of(self, word: str) -> np.ndarray:
+        """A learned word's own values, else the mean over its longest n-grams that were learned, else flat."""
+        for kind in (0, *LENGTHS):
+            if known := self.find(kind, grams_of(word, kind) if kind else [word]):
+                return np.mean(known, axis=0)
+        return np.zeros(self.langs)
+
+
+def gram_hash(gram: str) -> int:
+    h = xxhash.xxh64_intdigest(gram.encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >= 1 << 63 else h
+
+
 class _Rows(dict):
     """Word -> row of ``logs``, where its log likelihoods by language stand; filled as words are asked for."""
 
-    def __init__(self, langs: int, tables: dict[int, dict[str, tuple[float, ...]]], most: int = 300_000):
-        self.tables, self.most = tables, most
-        self.logs = np.zeros((most, langs))
+    def __init__(self, tables: Tables):
+        self.tables = tables
+        self.most = min(300_000, max(1000, 20_000_000 // max(1, tables.langs)))
+        self.logs = np.zeros((self.most, tables.langs))
 
     def __missing__(self, word: str) -> int:
         self[word] = row = len(self)
-        self.logs[row] = self.of(word)
+        self.logs[row] = self.tables.of(word)
         return row
 
-    def of(self, word: str) -> tuple[float, ...] | list[float]:
-        """A learned word's own values, else the mean over its longest n-grams that were learned, else flat."""
-        if (own := self.tables[0].get(word)) is not None:
-            return own
-        for n in LENGTHS:
-            table = self.tables[n]
-            if known := [table[g] for g in grams_of(word, n) if g in table]:
-                return [sum(c) / len(known) for c in zip(*known, strict=True)]
-        return [0.0] * self.logs.shape[1]
-
     def rows(self, words: list[str]) -> np.ndarray:
         if len(self) + len(words) > self.most:
             self.clear()
-            if len(words) > self.most:  # a text of more words than the table holds rows
-                return np.array([self.of(w) for w in words]).reshape(len(words), -1)
         return self.logs[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
 
+    def parts(self, words: list[str]) -> Iterator[np.ndarray]:
+        """Rows of all words, as many at a time as the table holds."""
+        for at in range(0, len(words), self.most):
+            yield self.rows(words[at : at + self.most])
+
 
 class Model:
-    """langs: sorted. tables[0]: word -> log probabilities by language; tables[n]: the same of n-grams."""
+    """langs: sorted; tables: what was learned of their words and n-grams."""
 
-    def __init__(self, langs: list[str], tables: dict[int, dict[str, tuple[float, ...]]]):
+    def __init__(self, langs: list[str], tables: Tables):
         self.langs, self.tables = langs, tables
         self.known: _Rows | None = None
 
@@ -81,11 +118,14 @@ class Model:
         if not self.langs or not any(c.isalpha() for w in words for c in w):  # signs such as ² stand in words, but aren't letters
             return UNDETERMINED, 0.0
         if self.known is None:
-            self.known = _Rows(len(self.langs), self.tables)
-        logs = self.known.rows(words)
-        best = int(np.argmax(logs.sum(0)))
-        odds = np.exp(logs - logs.max(axis=1, keepdims=True))
-        return self.langs[best], float(min(1.0, (odds[:, best] / odds.sum(1)).mean()))
+            self.known = _Rows(self.tables)
+        total, odds = np.zeros(len(self.langs)), np.zeros(len(self.langs))
+        for logs in self.known.parts(words):
+            total += logs.sum(0)
+            p = np.exp(logs - logs.max(axis=1, keepdims=True))
+            odds += (p / p.sum(axis=1, keepdims=True)).sum(0)
+        best = int(np.argmax(total))
+        return self.langs[best], float(min(1.0, odds[best] / len(words)))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,50 +133,43 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, Counter] = {}
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
             found.setdefault(lang, Counter()).update(words_of(text))
-        out = [(lang, 0, w, n) for lang, words in found.items() for w, n in words.items()]
+        out = [(lang, 0, gram_hash(w), n) for lang, words in found.items() for w, n in words.items()]
         for lang, words in found.items():
             for size in LENGTHS:
                 grams: Counter = Counter()
                 for w, n in words.items():
                     for g in grams_of(w, size):
                         grams[g] += n
-                out += [(lang, size, g, n) for g, n in grams.items()]
+                out += [(lang, size, gram_hash(g), n) for g, n in grams.items()]
         yield pd.DataFrame(out, columns=["lang", "kind", "gram", "n"])
 
 
-def fit(labelled: DataFrame, max_docs: int = 8000, max_words: int = 15_000, max_grams: int = 6000, max_langs: int = 200) -> Model:
+def fit(labelled: DataFrame, max_docs: int = 8000) -> Model:
     """Learn from ``labelled`` (doc_id, text, lang). Rows with null text or lang teach nothing.
 
-    If there are more than ``max_docs`` of them, those with the smallest hashes of doc_id are read, about
-    that many; the commonest ``max_langs`` languages are learned. No rows: a model that answers ``und``.
+    Every language may give about ``max_docs`` over their number, one at least; of a language that has more, the rows
+    with the smallest hashes of doc_id are read. A language of which no row is read is not learned. Words and n-grams
+    that stand twice or more in what is read are learned. No rows: a model that answers ``und``.
     """
     labelled = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
-    total = sum(r["count"] for r in sizes)
-    share = int(min(1.0, max_docs / max(1, total)) * (1 << 30))
-    part = labelled.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30)) < share)
-    part = part.where(F.col("lang").isin([r["lang"] for r in sizes])) if sizes else part.limit(0)
-    counts = part.select("lang", "text").mapInPandas(_count, "lang string, kind int, gram string, n long")
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    number = sizes.agg(F.count(F.lit(1)).alias("langs"))  # one row
+    share = F.least(F.lit(1.0), F.greatest(F.lit(1.0), F.lit(float(max_docs)) / F.col("langs")) / F.col("n"))
+    shares = sizes.crossJoin(F.broadcast(number)).select("lang", (share * float(1 << 30)).alias("below"))
+    part = labelled.join(shares, "lang").where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30)) < F.col("below"))
+    counts = part.select("lang", "text").mapInPandas(_count, "lang string, kind int, gram long, n long")
     counts = counts.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
-    top = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "gram")
-    kept = counts.withColumn("r", F.row_number().over(top)).where(F.when(F.col("kind") == 0, F.col("r") <= max_words).otherwise(F.col("r") <= max_grams))
-    langs = sorted(r["lang"] for r in sizes)
+    often = F.sum("n").over(Window.partitionBy("kind", "gram"))
+    kept = counts.withColumn("all", often).where(F.col("all") >= 2).select("kind", "gram", "lang", "n").toArrow()  # bounded by the sample
+    langs = sorted(set(kept["lang"].to_pylist()))
     place = {lang: k for k, lang in enumerate(langs)}
-    raw: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *LENGTHS)}
-    for r in kept.select("lang", "kind", "gram", "n").toLocalIterator():
-        raw[r["kind"]].setdefault(r["gram"], np.zeros(len(langs)))[place[r["lang"]]] = r["n"]
-    tables = {}
-    for kind, grams in raw.items():
-        if kind == 0:  # a word met once tells little; its n-grams speak for it
-            grams = {g: n for g, n in grams.items() if n.sum() >= 2}
-        sums = sum(grams.values(), np.zeros(len(langs)))
-        tables[kind] = {g: tuple(np.log((n + 0.5) / (sums + 0.5 * (len(grams) + 1))).tolist()) for g, n in grams.items()}
-    return Model(langs, tables)
+    rows = zip(kept["kind"].to_pylist(), kept["gram"].to_pylist(), (place[x] for x in kept["lang"].to_pylist()), kept["n"].to_pylist(), strict=True)
+    return Model(langs, Tables(rows, len(langs)))
 
 
 def predict(docs: DataFrame, model: Model, text: Column | str = "text", into: str = "_lang") -> DataFrame:
     """``docs`` with a struct column ``into`` (lang, score). Null texts and texts without a letter: ``und``, 0."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))  # bounded by fit's limits
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))  # bounded by the sample it was fitted on
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

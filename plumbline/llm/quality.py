@@ -106,7 +106,7 @@ class Ensemble:
 
 def fit(
     docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows: int = 20_000, trees: int = 20, depth: int = 4,
-    max_rules: int = 400, penalty: float = 0.002, seed: int = 11,
+    penalty: float = 0.002, seed: int = 11,
 ) -> Ensemble:
     """Learn from the documents of ``labels`` (doc_id, ``label`` 0 or 1) that aren't held out.
 
@@ -121,7 +121,8 @@ def fit(
     # the sample is bounded by max_rows, some 16 bytes each
     met = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     met, names = with_statistics(met)
-    rows = cut(met.select("doc_id", "_y", "_stats").dropDuplicates(["doc_id"]).repartition(4, "doc_id").sortWithinPartitions("doc_id"))
+    one = met.groupBy("doc_id").agg(F.max("_y").alias("_y"), F.min_by("_stats", F.xxhash64("text")).alias("_stats"))
+    rows = cut(one.repartition(4, "doc_id").sortWithinPartitions("doc_id"))
     n = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     p = (n.get(1.0, 0) + 0.5) / (sum(n.values()) + 1.0)
     share_only = Ensemble(math.log(p / (1 - p)), {})
@@ -129,7 +130,7 @@ def fit(
         return share_only
     vectors = VectorAssembler(inputCols=names, outputCol="x").transform(rows.select("doc_id", "_y", "_stats", "_stats.*"))
     forest = RandomForestClassifier(featuresCol="x", labelCol="_y", numTrees=trees, maxDepth=depth, seed=seed, featureSubsetStrategy="onethird")
-    rules = paths(forest.fit(vectors).toDebugString, names)[:max_rules]
+    rules = paths(forest.fit(vectors).toDebugString, names)  # all of them: the lasso chooses
     if not rules:  # no statistic tells the classes apart
         return share_only
     fired = F.array(*[holds(r, F.col("_stats")).cast("double") for r in rules])

@@ -1,5 +1,10 @@
 import hashlib
 import json
+import math
+import random
+import re
+
+import pytest
 
 from plumbline.llm import chat, secrets
 
@@ -73,27 +78,99 @@ def test_nulls_repeats_broken_json_and_empty_tables(spark):
     assert chat.format_messages(df.limit(0)).isEmpty()
 
 
-def test_secrets_are_told_from_look_alikes(spark):
+@pytest.fixture(scope="module")
+def known(spark):
+    words = "some plain words that stand in every text like pencil window garden answer printer river mountain station".split()
+    rows = [(k, " ".join(words[k % 3 :]) + ".") for k in range(30)]
+    return secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+@pytest.fixture(scope="module")
+def model(spark, known):
+    return secrets.fit(secrets.labelled_findings(spark, known, 4000), known)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_secrets_are_told_from_look_alikes(spark, known, model):
     key, token = "AKIA" + "Q7ZP2M9XK4TD8WLA", "0cab398dc11d1a2a11dc6572c8df8bd228c864f3"
     digest = hashlib.sha1(b"x").hexdigest()
+    late = "QzXwVbKjHgTfRdPm" * 20 + "7"
     rows = [
         (1, f"The rest is {key} and so on"), (2, f'set token = "{token}" there'), (3, f"see commit {digest} for it"), (4, "mail someone.long77@example.com or https://example.org/page/123456"),
         (5, None), (6, ""), (7, "only words that are very longindeed"), (None, f"password=9{token[:15]} x"), (8, "pad " * 50_000 + f"password={token[:18]} end"),
+        (9, "password: AbCdEfGhIjKlMnOpQr and more"), (10, "password=Xk9#mP2$vL7&qR4! and more"), (11, f"secret={late} end"), (12, "x😀" * 40_000 + "y7" * 40_000),
     ]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double")
-    model = secrets.fit(secrets.labelled_findings(spark, 3000))
-    found = [r for r in secrets.scan(docs, model).collect()]
+    found = secrets.scan(docs, model, known).collect()
     good = {(r["doc_id"], r["sha256"]) for r in found if r["is_secret"]}
-    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
-    assert {(1, sha(key)), (2, sha(token))} <= good and not {3, 4} & {d for d, _ in good}
-    assert {None, 8} <= {d for d, _ in good}
-    at = next(r for r in found if r["doc_id"] == 1)
-    assert rows[0][1][at["start"] : at["start"] + at["length"]] == key
-    assert secrets.scan(docs.limit(0), model).isEmpty()
-
-
-def test_the_forest_generalises_to_other_findings(spark):
-    model = secrets.fit(secrets.labelled_findings(spark, 3000))
-    other = secrets._assembled(secrets.labelled_findings(spark, 1000, "others"))
-    judged = model.transform(other).selectExpr("avg(cast(_c = label as double)) as a").first()["a"]
-    assert judged > 0.95
+    wanted = {(1, sha(key)), (2, sha(token)), (9, sha("AbCdEfGhIjKlMnOpQr")), (10, sha("Xk9#mP2$vL7&qR4!")), (11, sha(late))}
+    assert wanted <= good and not {3, 4, 7} & {d for d, _ in good}
+    assert {None, 8} <= {d for d, _ in good} and any(r["doc_id"] == 12 and r["length"] == 80_000 for r in found)
+    texts = dict(rows)
+    for r in found:
+        assert sha(texts[r["doc_id"]][r["start"] : r["start"] + r["length"]]) == r["sha256"] or r["doc_id"] == 12
+    assert secrets.scan(docs.limit(0), model, known).isEmpty()
+    twice = secrets.scan(docs.union(docs), model, known).collect()
+    assert sorted(map(str, twice)) == sorted(map(str, found * 2))
+
+
+def brute_candidates(text):
+    """Runs of non-separators with a digit or a change of case, and values after a keyword: scanned sign by sign."""
+    out, at = [], 0
+    separator = lambda c: c.isspace() or c in "\"'`()[]{}<>,;|=:" or ord(c) > 0xFFFF
+    while at < len(text):
+        m = re.search(rf"(?i)(?:{secrets.FOR})[A-Za-z0-9_-]{{0,20}}[\"']?[ \t]{{0,3}}[:=]{{1,2}}[ \t]{{0,3}}[\"']?$", text[max(0, at - 80) : at])
+        if m and text[at - 1] in ":=\"' \t" and not (text[at].isspace() or text[at] in "\"'`=:"):
+            end = at
+            while end < len(text) and not text[end].isspace() and text[end] not in "\"'`":
+                end += 1
+            while end > at and text[end - 1] in ".,;:)]}>":
+                end -= 1
+            if end - at >= 6:
+                out.append((at, text[at:end]))
+                at = end
+                continue
+        if not separator(text[at]) and (at == 0 or separator(text[at - 1])):
+            end = at
+            while end < len(text) and not separator(text[end]):
+                end += 1
+            run = text[at:end]
+            if re.search("[0-9]|[a-z][A-Z]", run):
+                run = run.rstrip(".!?")
+                if len(run) >= 8:
+                    pad = re.match("={0,2}", text[at + len(run) :])[0] if at + len(run) == end else ""
+                    out.append((at, run + pad))
+                    at += len(run + pad)
+                    continue
+        at += 1
+    return out
+
+
+def test_candidates_match_brute_force(spark):
+    rng = random.Random(5)
+    parts = ["password", "token", " ", " = ", ": ", "=", '"', "'", "abcDefgh", "x9y8z7w6v5", "plainwords", "Pa$$w0rd!", "https://site.org/a1b2c3d4", "a.b@c.d12", ", ", ".", "\n", "apiKeyName", "short1", "==", "été99été", "(", ")"]
+    rows = [(k, "".join(rng.choices(parts, k=rng.randint(1, 14)))) for k in range(400)]
+    got = {k: [] for k, _ in rows}
+    for r in secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["doc_id"]].append((r["start"], r["found"]))
+    assert {k: sorted(v) for k, v in got.items()} == {k: brute_candidates(t) for k, t in rows}
+
+
+def test_the_forest_generalises_to_formats_it_has_not_seen(spark, known):
+    findings = secrets.labelled_findings(spark, known, 4000)
+    model = secrets.fit(findings.where(~findings.format.isin(*secrets.HELD_OUT)), known)
+    judged = model.transform(secrets._assembled(findings.where(findings.format.isin(*secrets.HELD_OUT)), known))
+    by_label = {r["label"]: r["a"] for r in judged.groupBy("label").agg({"_c": "avg"}).withColumnRenamed("avg(_c)", "a").collect()}
+    assert by_label[1.0] > 0.9 and by_label[0.0] < 0.1
+
+
+def test_dictionary_and_letter_pairs_are_counted(spark):
+    rows = [(1, "cab cab CAB, cab cab. dot"), (2, None), (3, ""), (4, "cab dot dot dot dot é")]
+    known = secrets.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["word"] for r in known.words.collect()) == ["cab", "dot"]
+    a, b, c = (ord(x) - 96 for x in "abc")
+    assert known.pairs[c * 27 + a] == pytest.approx(math.log((6 + 0.5) / (6 + 13.5))) and known.pairs[a * 27 + c] == pytest.approx(math.log(0.5 / (6 + 13.5))) and known.pairs[0] == 0
+    assert secrets.learn(spark.createDataFrame([], "doc_id long, text string")).words.isEmpty()
