@@ -50,12 +50,12 @@ def _cdf(mean: Column) -> Column:
 
 
 def replicate(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, total: int | None = None, seed: str = "mix"
+    docs: DataFrame, weights: Mapping[str, float] | None = None, total: int | None = None, seed: str = "mix", extra: bool = True
 ) -> DataFrame:
     """Each row of ``docs`` as often as its draw says, in random order over all partitions.
 
     Adds ``_copy`` (1 to the draw), ``_copies`` (the draw) and ``_place`` (the random key of the order), in
-    place of columns of these names.
+    place of columns of these names; extra=False: adds nothing, and columns of any names pass through.
     Rows with one doc_id are drawn alike; a null doc_id counts as an empty one. The text may be null.
     Other columns pass through. Empty table: empty result.
     """
@@ -64,7 +64,12 @@ def replicate(
     table = table.select(F.col("source").alias(source), F.struct("parts", _cdf(F.col("rate") / F.col("parts")).alias("cdf")).alias(name))
     if table.select(source).limit(SMALL + 1).count() <= SMALL:
         table = F.broadcast(table)
-    docs = docs.drop("_copies", "_copy", "_place")
+    columns = docs.columns
+    if extra:
+        copies_, copy_, place_ = "_copies", "_copy", "_place"
+        docs = docs.drop(copies_, copy_, place_)
+    else:
+        copies_, copy_, place_ = (fresh(docs, c) for c in ("_copies", "_copy", "_place"))
     drawn = docs.join(table, docs["source"].eqNullSafe(table[source])).drop(source)
     key = F.col("doc_id").cast("string")
     law = F.col(name)
@@ -75,7 +80,8 @@ def replicate(
     many = F.aggregate(
         F.sequence(F.lit(1), law["parts"]), F.lit(0), lambda n, k: n + draw(unit_hash(key, k.cast("string"), seed=seed))
     )
-    drawn = drawn.withColumn("_copies", many).drop(name).where("_copies > 0")
-    copies = drawn.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    placed = copies.withColumn("_place", unit_hash(key, F.col("_copy").cast("string"), seed=f"{seed}-place"))
-    return placed.repartition("_place").sortWithinPartitions("_place")
+    drawn = drawn.withColumn(copies_, many).drop(name).where(F.col(copies_) > 0)
+    copies = drawn.withColumn(copy_, F.explode(F.sequence(F.lit(1), F.col(copies_))))
+    placed = copies.withColumn(place_, unit_hash(key, F.col(copy_).cast("string"), seed=f"{seed}-place"))
+    mixed = placed.repartition(place_).sortWithinPartitions(place_)
+    return mixed if extra else mixed.select(columns)

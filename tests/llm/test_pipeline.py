@@ -38,11 +38,11 @@ def folder(spark, tmp_path_factory):
     return at
 
 
-def test_each_stage_does_its_part_and_keeps_the_columns(spark, folder):
+def test_each_stage_does_its_part_and_keeps_the_columns(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     columns, ids = docs.columns, []
     for name, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.written(spark, stage(spark, docs, folder))
+        docs = corpus_pipeline.written(spark, stage(spark, docs, folder), str(tmp_path / name))
         assert docs.columns == columns or name == "sharding"
         ids.append(Counter(r["doc_id"] for r in docs.collect()))
     language, near, clean, mixed, sharded = ids
@@ -58,10 +58,10 @@ def test_each_stage_does_its_part_and_keeps_the_columns(spark, folder):
     assert all(expected[r["doc_id"]] == r["shard"] for r in docs.collect())
 
 
-def test_run_gives_what_the_stages_give(spark, folder):
+def test_run_gives_what_the_stages_give(spark, folder, tmp_path):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    for _, stage in corpus_pipeline.STAGES:
-        docs = corpus_pipeline.written(spark, stage(spark, docs, folder))
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(spark, stage(spark, docs, folder), str(tmp_path / name))
     assert sorted(map(str, corpus_pipeline.run(spark, folder).collect())) == sorted(map(str, docs.collect()))
 
 
@@ -84,6 +84,46 @@ def test_empty_documents_go_through(spark, folder, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).isEmpty()
 
 
+def test_odd_rows_and_clashing_columns_go_through(spark, folder, tmp_path):
+    names = ["shard", "_copy", "_copies", "_place", "_mark", "_whole", "mark", "passage", "n_items"]
+    schema = DOC + "".join(f", {n} string" for n in names)
+    text = passage(1, 60)
+    rows = [(1, text, "aa", "s", 5), (1, text, "aa", "s", 5), (1, passage(2, 60), "aa", "s", 5), (None, passage(3, 60), None, None, None), (None, passage(3, 60), None, None, None), (7, None, None, "s", None), (8, "", "aa", "s", 0), (9, passage(4, 9000), "aa", "t", 1)]
+    rows += [(100 + k, passage(50 + k, 40), "aa", "s", 1) for k in range(30)]
+    spark.createDataFrame([(*r, *[f"{n}{r[0]}" for n in names]) for r in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs.count()
+        docs = corpus_pipeline.written(spark, stage(spark, docs, str(tmp_path)), f"{tmp_path}/{name}")
+        kept = docs.select("doc_id", "text", *names[k == 4 :]).collect()
+        assert kept and all(r[n] == f"{n}{r['doc_id']}" for r in kept for n in names[k == 4 :])
+        if name == "language_id":
+            assert {r["doc_id"] for r in kept} == {r[0] for r in rows} - {7, 8}
+        if name == "simhash_dedup":  # of three rows of one id two texts stay; rows without an id all stay
+            assert Counter(r["doc_id"] for r in kept)[1] == 2 and Counter(r["doc_id"] for r in kept)[None] == 2 and docs.count() == before - 1
+        if name == "decontamination":
+            assert docs.count() == before
+
+
+def test_folders_of_earlier_stages_are_removed(spark, folder):
+    corpus_pipeline.run(spark, folder).count()
+    shared = corpus_pipeline.shared_folder(spark).removeprefix("file:")
+    first = {p.name for p in Path(shared).glob("stage-*")}
+    corpus_pipeline.run(spark, folder).count()
+    assert len({p.name for p in Path(shared).glob("stage-*")} - first) == 1
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace as fake
+
+    from plumbline.llm.common import shared_folder
+
+    context = fake(getCheckpointDir=lambda: None, master="spark://there:7077", setCheckpointDir=lambda p: pytest.fail(p))
+    with pytest.raises(RuntimeError):
+        shared_folder(fake(sparkContext=context, conf=fake(get=lambda k, d: None)))
+
+
 def test_the_rest_works_without_this_subpackage(tmp_path):
     for p in ("__spark_entry__.py", "plumbline"):
         (tmp_path / p).symlink_to(REPO / p) if p.endswith(".py") else None
