@@ -219,11 +219,11 @@ def matches(docs: DataFrame, items: DataFrame, n: int = 3, window: int = 4, comm
     found = cut(found.mapInPandas(_passages(shared, sorted(of["sizes"]), bits, around), schema))
     passages = found.select("passage", "words", "hits").dropDuplicates(["passage"])
 
-    hits = cut(passages.select("passage", F.inline("hits")).join(grams.select("seed").distinct(), "seed", "left_semi"))
-    seen = hits.select("passage", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("seen"))
+    # written before they are joined: two plain shuffles are what adaptive execution can split at a frequent seed
+    hits = cut(passages.select("passage", F.inline("hits")).join(cut(grams.select("seed").distinct()), "seed", "left_semi"))
+    seen = cut(hits.select("passage", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("seen")))
     near = Window.partitionBy("passage").orderBy("at").rangeBetween(1 - window, window - 1)  # as many rows as a passage has words
     rare = hits.join(seen, "seed").withColumn("_least", F.min("seen").over(near)).where(F.col("seen") <= common * F.col("_least"))
-    # written before it is joined: two plain shuffles are what adaptive execution can split at a frequent seed
     rare = cut(rare.select("passage", "seed").distinct())
     met = rare.join(grams.select("item", "seed"), "seed").select("passage", "item").distinct()
     pairs = met.join(items.select("item", "text"), "item").join(passages.select("passage", "words"), "passage")
