@@ -3,11 +3,12 @@
 Vectors are scaled to length 1, where cosine >= c means a distance of at most eps = sqrt(2 - 2c), and
 turned onto principal axes, which changes no distance. Sorted by their grid cells (side eps) on the
 leading axes they form one sequence. The sequence is stored in blocks with the box of their leading
-coordinates. Intervals of blocks are joined first, then blocks of the intervals that are near enough,
-then halves of blocks, recursively; whatever is provably more than eps apart is skipped (Boehm,
+coordinates. Intervals of blocks that meet or touch in a cell of the first axes are joined first, then blocks of
+the intervals that are near enough, then halves of blocks, recursively; whatever is provably more than eps apart is skipped (Boehm,
 Braunmueller, Krebs and Kriegel, "Epsilon Grid Order", 2001). What is left is compared in double precision.
 
-Equal vectors are one class with a weight. A pair of blocks gives a count and a root a vector, never its pairs.
+Equal vectors are one class with a weight and a number, which stands for the vector from there on. A pair of blocks
+gives a count and a root a vector, never its pairs.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from plumbline.llm.common import cut
 from plumbline.llm.graph import components
 
 LEAF = 128
+CELLS = 1 << 21  # numbers that a block holds at most: 16 MB
+GRID = 3  # leading axes whose cells are keys of the interval join
 
 
 def usable(vector: Column) -> Column:
@@ -39,27 +42,25 @@ def _scaled(vectors: pd.Series) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def principal_axes(vectors: DataFrame, size: int, axes: int) -> np.ndarray:
-    """size x axes: the leading principal axes of all vectors of that size. Each task adds up one size x size matrix."""
+def principal_axes(vectors: DataFrame, size: int, rows: int, axes: int, sample: int = 20_000) -> np.ndarray:
+    """size x axes: the leading principal axes of vectors of that size, of which there are ``rows``. They are fitted on about
+    ``sample`` of them (a stated bound), those of the smallest hashes: axes decide how much is skipped, not what is found."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((size + 1, size))
+        total = np.zeros((size, size))
         for batch in batches:
             if len(batch):
                 x = _scaled(batch["embedding"])
-                total[:size] += x.T @ x
-                total[size] += x.sum(0)
+                total += x.T @ x
         yield pd.DataFrame({"part": [total.tobytes()]})
 
-    rows = vectors.where(F.size("embedding") == size)
-    total = np.zeros((size + 1, size))
-    n = 0
-    for r in rows.select("embedding").mapInPandas(part, "part binary").toLocalIterator():
-        total += np.frombuffer(r["part"]).reshape(size + 1, size)
-        n += 1
-    if not n or not size:
+    if not size:
         return np.eye(size)[:, :axes]
-    return np.linalg.eigh(total[:size])[1][:, ::-1][:, :axes].copy()
+    share = int(min(1.0, sample / max(1, rows)) * (1 << 30))
+    chosen = vectors.where((F.size("embedding") == size) & (F.pmod(F.xxhash64("embedding"), F.lit(1 << 30)) < share))
+    parts = chosen.select("embedding").repartition(4).mapInPandas(part, "part binary").collect()  # four matrices
+    total = sum(np.frombuffer(r["part"]).reshape(size, size) for r in parts)
+    return np.linalg.eigh(total)[1][:, ::-1][:, :axes].copy()
 
 
 def _on_axes(x: np.ndarray, turn: np.ndarray, axes: int) -> np.ndarray:
@@ -86,7 +87,7 @@ def _cells(turn: np.ndarray, axes: int, eps: float):
     return run
 
 
-def _blocks(turn: np.ndarray, axes: int, rows: int, per_interval: int):
+def _blocks(turn: np.ndarray, axes: int, most: int, per_interval: int, kind: str):
     """For mapInPandas on the sorted sequence: one row a block, of one label and vector size."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -99,7 +100,7 @@ def _blocks(turn: np.ndarray, axes: int, rows: int, per_interval: int):
             leading = _on_axes(_scaled(part["embedding"]), turn, axes)
             row = {
                 "block": base + made, "interval": base + made // per_interval, "label": int(part["label"].iloc[0]), "size": int(part["size"].iloc[0]),
-                "node": part["node"].to_numpy(np.int64).tobytes(), "weight": part["weight"].to_numpy(np.int64).tobytes(), "vectors": x.tobytes(),
+                "node": part["node"].to_numpy(np.int64).tobytes(), "weight": part["weight"].to_numpy(np.int64).tobytes(), "vectors": x.astype(kind).tobytes(),
                 "lo": leading.min(0).tolist(), "hi": leading.max(0).tolist(),
             }
             made += 1
@@ -112,6 +113,7 @@ def _blocks(turn: np.ndarray, axes: int, rows: int, per_interval: int):
             turns = np.flatnonzero((held["label"].diff().to_numpy()[1:] != 0) | (held["size"].diff().to_numpy()[1:] != 0)) + 1
             at = 0
             for end in [*turns, len(held)]:
+                rows = max(1, min(most, CELLS // max(1, int(held["size"].iloc[at])))) if at < len(held) else most
                 while end - at >= rows or (end < len(held) and end > at):
                     out.append(block(held.iloc[at : min(at + rows, end)]))
                     at = min(at + rows, end)
@@ -162,33 +164,45 @@ def exact(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
     return dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))) >= cosine
 
 
-def _compare(turn: np.ndarray, axes: int, cosine: float):
-    def load(r, side: str) -> tuple[np.ndarray, ...]:
-        node = np.frombuffer(getattr(r, f"{side}_node"), np.int64)
-        raw = np.frombuffer(getattr(r, f"{side}_vectors")).reshape(len(node), -1)
+def _compare(turn: np.ndarray, axes: int, cosine: float, kind: str):
+    """For mapInPandas on rows (a, b, side, node, weight, vectors) in order: one row where a block meets itself, else two."""
+
+    def load(r) -> tuple[np.ndarray, ...]:
+        node = np.frombuffer(r.node, np.int64)
+        raw = np.frombuffer(r.vectors, kind).astype(np.float64).reshape(len(node), -1)
         x = raw / np.abs(raw).max(axis=1, keepdims=True)
         x /= np.linalg.norm(x, axis=1, keepdims=True)
-        return node, np.frombuffer(getattr(r, f"{side}_weight"), np.int64), raw, x, _on_axes(x, turn, axes)
+        return node, np.frombuffer(r.weight, np.int64), raw, x, _on_axes(x, turn, axes)
+
+    def met(first, second) -> pd.DataFrame | None:
+        same = second is None
+        node_a, weight_a, raw_a, x, at_x = load(first)
+        node_b, weight_b, raw_b, y, at_y = (node_a, weight_a, raw_a, x, at_x) if same else load(second)
+        shift = 0 if same else len(x)
+        n = shift + len(y)
+        links, label = np.zeros(n, np.int64), np.arange(n)
+        for i, j in near_pairs(x, y, at_x, at_y, cosine, same):
+            ok = exact(raw_a[i], raw_b[j], cosine)
+            i, j = i[ok], j[ok]
+            np.add.at(links, i, weight_b[j])
+            np.add.at(links, j + shift, weight_a[i])
+            label = _joined(label, i, j + shift)
+        node = node_a if same else np.concatenate([node_a, node_b])
+        got = links > 0
+        return pd.DataFrame({"node": node[got], "links": links[got], "root": node[label[got]]}) if got.any() else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = None
         for batch in batches:
             for r in batch.itertuples(index=False):
-                node_a, weight_a, raw_a, x, at_x = load(r, "a")
-                same = r.a_block == r.b_block
-                node_b, weight_b, raw_b, y, at_y = (node_a, weight_a, raw_a, x, at_x) if same else load(r, "b")
-                shift = 0 if same else len(x)
-                n = shift + len(y)
-                links, label = np.zeros(n, np.int64), np.arange(n)
-                for i, j in near_pairs(x, y, at_x, at_y, cosine, same):
-                    ok = exact(raw_a[i], raw_b[j], cosine)
-                    i, j = i[ok], j[ok]
-                    np.add.at(links, i, weight_b[j])
-                    np.add.at(links, j + shift, weight_a[i])
-                    label = _joined(label, i, j + shift)
-                node = node_a if same else np.concatenate([node_a, node_b])
-                got = links > 0
-                if got.any():
-                    yield pd.DataFrame({"node": node[got], "links": links[got], "root": node[label[got]]})
+                if r.a == r.b:
+                    found = met(r, None)
+                elif r.side == 0:
+                    first, found = r, None
+                else:
+                    found, first = met(first, r), None
+                if found is not None:
+                    yield found
 
     return run
 
@@ -202,60 +216,79 @@ def _joined(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def link(vectors: DataFrame, cosine: float = 0.98, axes: int = 6, block_rows: int = 1024, per_interval: int = 16) -> DataFrame:
-    """Adds n_links, component_id and kept to ``vectors``, which needs vec_id, embedding and label.
+def link(vectors: DataFrame, cosine: float = 0.98, axes: int = 6, block_rows: int = 4096, per_interval: int = 4) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every row of ``vectors``, which needs vec_id, embedding and label.
 
     Two rows are linked if their labels are equal and not null, their vectors have one size and their cosine is
     at least ``cosine``. Vectors that are null, empty, all zero, or hold null or non-finite components link with
     nothing. n_links counts the other rows linked directly, component_id is the smallest vec_id reachable, kept
-    says whether that is the row's own. Repeated rows are rows of their own and link each other. A row without
-    vec_id counts in the n_links of its equals and takes their component; a vector that only such rows have links
-    with nothing. Empty table: empty result. Other columns are not read.
+    says whether that is the row's own. Repeated rows are rows of their own and link each other, and so are rows
+    that share a vec_id only. A row without vec_id links like others; component_id is null where no row with an id
+    is reached. Blocks hold ``block_rows`` vectors, fewer of long ones. Empty table: empty result. Other columns
+    are not read.
     """
     if not 0.0 < cosine <= 1.0:
         raise ValueError("cosine must be over 0 and at most 1")
     eps = math.sqrt(max(2 - 2 * cosine, 1e-12))
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast("array<double>"))
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    type_, kind = ("array<float>", "f4") if single else ("array<double>", "f8")
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("long"), F.col("embedding").cast(type_))
     good = rows.where(F.col("label").isNotNull() & usable(F.col("embedding")))
-    classes = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("weight")).where("node is not null")
+    # 128 bits of hash stand for a vector and its label: the vectors themselves are no join key
+    marked = good.select("vec_id", "label", "embedding", F.xxhash64("label", "embedding").alias("h"), F.xxhash64(F.lit("second"), "label", "embedding").alias("g"))
+    classes = marked.groupBy("h", "g").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
+    classes = cut(classes.withColumn("node", F.monotonically_increasing_id()))
     sizes = good.groupBy(F.size("embedding").alias("s")).count().orderBy(F.desc("count"), "s").limit(1).collect()
-    turn = principal_axes(good, sizes[0]["s"] if sizes else 0, axes)
+    turn = principal_axes(good, sizes[0]["s"] if sizes else 0, sizes[0]["count"] if sizes else 0, axes)
 
     cells = [f"c{k}" for k in range(axes)]
-    schema = "label long, embedding array<double>, node long, weight long, size int" + "".join(f", {c} int" for c in cells)
-    placed = cut(classes.mapInPandas(_cells(turn, axes, eps), schema))
+    schema = f"label long, embedding {type_}, node long, weight long, size int" + "".join(f", {c} int" for c in cells)
+    placed = classes.select("label", "embedding", "node", "weight").mapInPandas(_cells(turn, axes, eps), schema)
     order = ["label", "size", *cells, "node"]
     sequence = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("label", "embedding", "node", "weight", "size")
     schema = "block long, interval long, label long, size int, node binary, weight binary, vectors binary, lo array<double>, hi array<double>"
-    blocks = cut(sequence.mapInPandas(_blocks(turn, axes, block_rows, per_interval), schema))
+    blocks = cut(sequence.mapInPandas(_blocks(turn, axes, block_rows, per_interval, kind), schema))
 
     boxes = blocks.select("block", "interval", "label", "size", "lo", "hi")
     ends = [f(F.col(c)[k]).alias(f"{c}{k}") for c, f in (("lo", F.min), ("hi", F.max)) for k in range(axes)]
     wide = boxes.groupBy("interval", "label", "size").agg(*ends)
-    wide = wide.select("interval", "label", "size", *[F.array(*[f"{c}{k}" for k in range(axes)]).alias(c) for c in ("lo", "hi")])
+    wide = cut(wide.select("interval", "label", "size", *[F.array(*[f"{c}{k}" for k in range(axes)]).alias(c) for c in ("lo", "hi")]))
     limit = (2 - 2 * cosine) * (1 + 1e-9) + 1e-12
 
     def near(a: str, b: str) -> Column:
         gaps = [F.greatest(F.lit(0.0), F.col(f"{a}.lo")[k] - F.col(f"{b}.hi")[k], F.col(f"{b}.lo")[k] - F.col(f"{a}.hi")[k]) for k in range(axes)]
         return sum((g * g for g in gaps), F.lit(0.0)) <= limit
 
-    same = (F.col("x.label") == F.col("y.label")) & (F.col("x.size") == F.col("y.size"))
-    pairs = wide.alias("x").join(wide.alias("y"), same & (F.col("x.interval") <= F.col("y.interval")) & near("x", "y"))
-    pairs = pairs.select(F.col("x.label").alias("label"), F.col("x.size").alias("size"), F.col("x.interval").alias("p"), F.col("y.interval").alias("q"))
+    def in_cells(more: int) -> DataFrame:
+        """An interval in each cell of the leading axes that its box meets, and ``more`` to either side."""
+        out = wide
+        for k in range(min(GRID, axes)):
+            low, high = (F.floor(F.col(c)[k] / F.lit(eps * (1 + 1e-9))) for c in ("lo", "hi"))
+            out = out.withColumn(f"g{k}", F.explode(F.sequence(low - more, high + more)))
+        return out
+
+    # whatever is within eps of a box lies in its cells or beside them
+    grid = ["label", "size", *[f"g{k}" for k in range(min(GRID, axes))]]
+    x, y = (in_cells(more).select(*[F.col(c).alias(f"{side}_{c}") if c not in grid else F.col(c) for c in (*grid, "interval", "lo", "hi")]) for side, more in (("x", 1), ("y", 0)))
+    met = x.join(y, grid).where("x_interval <= y_interval")
+    met = met.select("label", "size", F.col("x_interval").alias("p"), F.col("y_interval").alias("q"), F.struct(F.col("x_lo").alias("lo"), F.col("x_hi").alias("hi")).alias("x"), F.struct(F.col("y_lo").alias("lo"), F.col("y_hi").alias("hi")).alias("y"))
+    pairs = cut(met.where(near("x", "y")).select("label", "size", "p", "q").distinct())
     first = pairs.alias("i").join(boxes.alias("x"), (F.col("i.p") == F.col("x.interval")) & (F.col("i.label") == F.col("x.label")) & (F.col("i.size") == F.col("x.size")))
     first = first.select("i.*", F.struct("x.block", "x.lo", "x.hi").alias("x"))
     second = first.alias("i").join(boxes.alias("y"), (F.col("i.q") == F.col("y.interval")) & (F.col("i.label") == F.col("y.label")) & (F.col("i.size") == F.col("y.size")))
     second = second.select("i.x", F.struct("y.block", "y.lo", "y.hi").alias("y")).where((F.col("x.block") <= F.col("y.block")) & near("x", "y"))
-    chosen = second.select(F.col("x.block").alias("a_block"), F.col("y.block").alias("b_block"))
-
-    def side(s: str) -> DataFrame:
-        return blocks.select(*[F.col(c).alias(f"{s}_{c}") for c in ("block", "node", "weight", "vectors")])
-
-    met = chosen.join(side("a"), "a_block").join(side("b"), "b_block").repartition("a_block", "b_block")
-    found = cut(met.mapInPandas(_compare(turn, axes, cosine), "node long, links long, root long"))
+    chosen = second.select(F.col("x.block").alias("a"), F.col("y.block").alias("b"))
+    side = lambda k, of: F.struct(F.lit(k).alias("side"), F.col(of).alias("block"))
+    sides = chosen.select("a", "b", F.inline(F.when(F.col("a") == F.col("b"), F.array(side(0, "a"))).otherwise(F.array(side(0, "a"), side(1, "b")))))
+
+    # each block goes once to where its pairs are made, and from there to its pairs
+    sent = blocks.select("block", "node", "weight", "vectors").join(cut(sides), "block").drop("block")
+    together = sent.repartition("a", "b").sortWithinPartitions("a", "b", "side").select("a", "b", "side", "node", "weight", "vectors")
+    found = cut(together.mapInPandas(_compare(turn, axes, cosine, kind), "node long, links long, root long"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
-    known = classes.join(counts, "node", "left").join(components(found.select("node", "root")), "node", "left")
-    known = known.select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("component_id"))
+    known = classes.select("h", "g", "node", "least", "weight").join(counts, "node", "left").join(components(found.select("node", "root")), "node", "left")
+    known = known.select("h", "g", "least", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "node").alias("root"))
+    known = known.join(known.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("h", "g", "n_links", "component_id")
     lone = rows.where(~(F.col("label").isNotNull() & usable(F.col("embedding")))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-    out = good.join(known, ["label", "embedding"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    out = marked.select("vec_id", "h", "g").join(cut(known), ["h", "g"]).select("vec_id", "n_links", "component_id")
     return out.unionByName(lone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

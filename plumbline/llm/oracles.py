@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 #: CRC-32 of UTF-8 bytes, byte by byte over its table of 256 remainders.
 CRC = """
 crc_rows(n, c, k) as (
@@ -23,12 +25,61 @@ def best(shards: int) -> str:
       from (select distinct doc_id from documents) cross join range({shards}) r(s)) group by 1)"""
 
 
+def chat(arguments: dict[str, list[tuple[str, list[str]]]]) -> str:
+    """Lines of conversations with calls. What the calls are follows from hashes of conv_id and turn; levels by walking
+    all ways back, where one as long as the conversation has calls runs in a circle."""
+
+    def digit(at: int, *parts: str) -> str:
+        return f"cast('0x' || substr(md5({" || ':' || ".join(parts)}), {2 * at + 1}, 2) as int)"
+
+    def canonical(shape: str) -> str:
+        text = json.dumps(json.loads(shape.format(q='"{q}"')), sort_keys=True, separators=(",", ":"))
+        return "'" + text.replace('"{q}"', "' || q || '") + "'"
+
+    d = lambda at: digit(at, "conv_id", "turn", "j")
+    names = list(arguments)
+    shapes = " ".join(f"when name = '{n}' and shape = {k} then {canonical(s)}" for n in names for k, (s, _) in enumerate(arguments[n]))
+    faults = " ".join(f"when name = '{n}' and shape = {k} then {sorted(f)}::varchar[]" for n in names for k, (_, f) in enumerate(arguments[n]))
+    return f"""
+      with recursive asking as (
+        select *, case when {digit(0, "conv_id", "turn")} % 8 = 0 then 0 else {digit(0, "conv_id", "turn")} % 2 + 1 end as n from conversations where role = 'assistant'),
+      drawn as (select *, {digit(7, "conv_id", "turn")} % 3 = 0 as thinks, to_json(substr(text, 1, 9)) as q from (select *, unnest(range(n)) as j from asking where n > 0)),
+      calls as (
+        select conv_id, turn, text, thinks, q, j, {names}[{d(1)} % {len(names)} + 1] as name, {d(4)} % 4 as shape, {d(5)} as answer,
+               case when {d(2)} % 13 = 0 then 'shared' when {d(2)} % 13 = 1 then null else 'c' || turn || '-' || j end as id,
+               case when {d(3)} % 6 = 3 then ['c' || (turn + 2) || '-0'] when {d(3)} % 6 = 4 then list_sort(['c' || (turn - 2) || '-0', 'c' || (turn - 4) || '-0'])
+                    when {d(3)} % 6 in (1, 2) then ['c' || (turn - 2) || '-0'] when {d(3)} % 6 = 5 and j = 1 then ['c' || turn || '-0'] else []::varchar[] end as deps
+        from drawn),
+      numbered as (select *, case when id is null then 0 else row_number() over (partition by conv_id, id order by turn, j) end as nth, count(*) over (partition by conv_id) as many from calls),
+      edges as (select x.conv_id, x.id, x.dep from (select distinct conv_id, id, unnest(deps) as dep from numbered where nth = 1) x join numbered y on y.conv_id = x.conv_id and y.id = x.dep and y.nth = 1),
+      walk(conv_id, id, here, far) as (
+        select conv_id, id, id, 0 from numbered where nth = 1
+        union select w.conv_id, w.id, e.dep, w.far + 1 from walk w join edges e on e.conv_id = w.conv_id and e.id = w.here join (select distinct conv_id, many from numbered) m on m.conv_id = w.conv_id where w.far <= m.many),
+      depths as (select conv_id, id, max(far) as far from walk group by 1, 2),
+      results as (
+        select conv_id, turn + case when answer % 7 = 1 then -1 else 1 end as turn, case when answer % 11 = 0 then 'nope' else coalesce(id, 'none') end as id, 'result of ' || name as content
+        from calls where answer % 5 <> 0),
+      judged as (
+        select n.*, case when nth = 1 and far < many then far else -1 end as level,
+               case when nth = 0 then ['id: missing'] when nth > 1 then ['id: used before'] else list_sort(list_concat(case {faults} end, case when far >= many then ['depends_on: cycle'] else []::varchar[] end)) end as faults,
+               nth = 1 and exists (select 1 from results r where r.conv_id = n.conv_id and r.id = n.id) as answered, case {shapes} end as args
+        from numbered n left join depths d on d.conv_id = n.conv_id and d.id = n.id and n.nth = 1),
+      said as (
+        select conv_id, turn, any_value(text) as text, any_value(thinks) as thinks, count(*) as n_calls, count(case when answered then 1 end) as n_answered, count(case when len(faults) > 0 then 1 end) as n_invalid,
+               string_agg('{{"arguments":' || args || ',"depends_on":' || to_json(deps) || ',"faults":' || to_json(faults) || case when id is null then '' else ',"id":' || to_json(id) end
+                 || ',"level":' || level || ',"name":' || to_json(name) || ',"type":"function"}}', ',' order by level, j) as calls from judged group by 1, 2)
+      select c.conv_id, c.turn, c.role, cast(coalesce(n_calls, 0) as int) as n_calls, cast(coalesce(n_answered, 0) as int) as n_answered, cast(coalesce(n_invalid, 0) as int) as n_invalid,
+             cast(null as boolean) as linked, c.turn as order_turn, 0 as order_level,
+             '{{"content":' || to_json(c.text) || ',"conv_id":' || c.conv_id || case when s.thinks then ',"reasoning":{{"a":1,"b":2}}' else '' end || ',"role":' || to_json(c.role)
+               || case when s.calls is null then '' else ',"tool_calls":[' || s.calls || ']' end || ',"turn":' || c.turn || '}}' as line
+      from conversations c left join said s on s.conv_id = c.conv_id and s.turn = c.turn and c.role = 'assistant'
+      union all
+      select r.conv_id, r.turn, 'tool', 0, 0, 0, j.id is not null, greatest(r.turn, j.turn), cast(coalesce(j.level, 0) + 1 as int),
+             '{{"content":' || to_json(r.content) || ',"conv_id":' || r.conv_id || ',"name":' || to_json(coalesce(j.name, 'given')) || ',"role":"tool","tool_call_id":' || to_json(r.id) || ',"turn":' || r.turn || '}}'
+      from results r left join judged j on j.conv_id = r.conv_id and j.id = r.id and j.nth = 1"""
+
+
 SQL = {
-    # messages without tool calls, which is all that the conversations table has
-    "op3_chat_format": """
-      select conv_id, turn, role, 0 as n_calls, 0 as n_answered, 0 as n_invalid, cast(null as boolean) as linked, turn as order_turn, 0 as order_level,
-             '{"content":' || to_json(text) || ',"conv_id":' || conv_id || ',"role":' || to_json(role) || ',"turn":' || turn || '}' as line
-      from conversations""",
     "op5_epsilon_grid": """
       with recursive good as (
         select vec_id, label, cast(embedding as double[]) as e from embeddings

@@ -3,10 +3,13 @@ import json
 import math
 import random
 import re
+from collections import Counter
+from pathlib import Path
 
+import duckdb
 import pytest
 
-from plumbline.llm import chat, secrets
+from plumbline.llm import chat, queries, secrets
 
 MESSAGE = "conv_id long, turn long, role string, text string"
 
@@ -69,6 +72,51 @@ def test_a_long_chain_of_calls(spark):
     assert [(c["id"], c["level"]) for c in line["tool_calls"]] == [(f"k{n}", n) for n in range(6)]
 
 
+def test_other_keys_large_numbers_and_leading_blanks(spark):
+    texts = [
+        ("assistant", ' \n{"reasoning": {"z": 1, "a": [2, {"d": 1, "c": null}]}, "tool_calls": [{"type": "function", "id": "i", "name": "search", "arguments": {"query": "q", "limit": 100000000000000000000}}], "role": "other", "turn": 99}'),
+        ("tool", '{"tool_call_id": "i", "content": [{"type": "text", "text": "x"}], "name": "mine", "is_error": false}'), ("tool", '{"tool_call_id": "j", "content": "y", "name": "mine"}'),
+        ("assistant", '{"tool_calls": [{"id": "k", "name": "search", "arguments": "{\\"limit\\": 1.5, \\"query\\": \\"q\\"}"}], "content": "c"}'), ("assistant", '{"a": 1, "a": 2, "tool_calls": []}'),
+    ]
+    found = lines(spark, [(1, k, role, text) for k, (role, text) in enumerate(texts)])
+    call_, linked, lone, own, twice = (line for _, line in sorted(found, key=lambda f: f[0]["turn"]))
+    assert call_["reasoning"] == {"a": [2, {"c": None, "d": 1}], "z": 1} and call_["role"] == "assistant" and call_["turn"] == 0
+    assert call_["tool_calls"][0]["arguments"]["limit"] == 10**20 and call_["tool_calls"][0]["faults"] == [] and call_["tool_calls"][0]["type"] == "function"
+    assert (linked["name"], linked["content"], linked["is_error"]) == ("search", [{"text": "x", "type": "text"}], False) and lone["name"] == "mine"
+    assert own["tool_calls"][0]["arguments"] == {"limit": 1.5, "query": "q"} and own["tool_calls"][0]["faults"] == ["limit: not of type integer"]
+    assert twice["content"] == texts[4][1]
+    for r, line in found:
+        assert r["line"] == json.dumps(line, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_levels_of_chains_trees_and_circles_match_brute_force(spark):
+    rng = random.Random(8)
+    deps = {f"k{n}": [f"k{n - 1}"] if n else [] for n in range(120)}  # one long chain
+    for n in range(120, 240):
+        deps[f"k{n}"] = [f"k{rng.randrange(n)}" for _ in range(rng.choice([0, 1, 1, 2, 3]))]
+    deps |= {"x": ["y"], "y": ["z"], "z": ["x"], "behind": ["k3", "x"], "further": ["behind"], "lost": ["nowhere"]}
+    level = {}
+    while True:
+        new = {i: max((level[d] + 1 for d in ds if d in deps), default=0) for i, ds in deps.items() if i not in level and all(d in level for d in ds if d in deps)}
+        if not new:
+            break
+        level |= new
+    calls = spark.createDataFrame([(1, i, ds) for i, ds in deps.items()], "conv_id long, id string, depends_on array<string>")
+    assert {r["id"]: r["level"] for r in chat._levels(calls).collect()} == level and level["k119"] == 119 and "behind" not in level
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.001").exists(), reason="no test tables")
+def test_the_query_matches_its_sql(spark):
+    at = "/root/testdata/sf0.001"
+    df = queries.op3_chat_format(spark, at)
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{at}/conversations.parquet'")
+    want = con.execute(queries.oracle_sql()["op3_chat_format"])
+    columns = [c[0] for c in want.description]
+    assert Counter(map(tuple, df.select(*columns).collect())) == Counter(want.fetchall())
+    assert df.where("n_calls > 0").count() > 0 and df.where("linked").count() > 0 and df.where("not linked").count() > 0
+
+
 def test_nulls_repeats_broken_json_and_empty_tables(spark):
     rows = [(None, None, None, None), (5, 0, "user", "{not json"), (5, 0, "user", "{not json"), (5, 1, "user", ""), (5, 2, "tool", '{"x": 1}'), (None, 3, "assistant", assistant(call("a"))), (6, 0, "user", "long " * 50_000)]
     df = spark.createDataFrame([(*r, 1) for r in rows], MESSAGE + ", line int")

@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pytest
 
@@ -52,6 +54,17 @@ def test_rows_without_an_id(spark):
     assert got == sorted([(4, 1, 4, True), (None, 1, 4, True), (None, 0, None, True)], key=str)
 
 
+def test_an_id_on_two_vectors_stays_two_rows_and_doubles_keep_their_bits(spark):
+    rows = [(5, [1.0, 0.0, 0.0], 1), (5, [0.0, 1.0, 0.0], 1), (7, [0.0, 1.0, 1e-9], 1), (None, [0.0, 0.0, 1.0], 1), (None, [0.0, 1e-3, 1.0], 1)]
+    for kind in ("float", "double"):
+        df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
+        got = sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in embeddings.link(df).collect()), key=str)
+        assert got == sorted([(5, 0, 5), (5, 1, 5), (7, 1, 5), (None, 1, None), (None, 1, None)], key=str)
+    edge = [(1, [1.0, 0.0], 1), (2, [0.98, math.sqrt(1 - 0.98**2) + 1e-13], 1), (3, [0.98, math.sqrt(1 - 0.98**2) - 1e-13], 1)]
+    got = {r["vec_id"]: r["n_links"] for r in embeddings.link(spark.createDataFrame(edge, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: 1, 2: 1, 3: 2}
+
+
 def test_recursion_skips_nothing_near():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(700, 8))
