@@ -195,7 +195,7 @@ def format_messages(messages: DataFrame, schemas: Mapping[str, Schema] = SCHEMAS
     )
     own = F.when(F.col("_nth") == 0, F.lit("id: missing")).when(F.col("_nth") > 1, F.lit("id: used before")).when(F.col("level").isNull(), F.lit("depends_on: cycle"))
     faults = F.concat(F.coalesce("faults", F.array().cast("array<string>")), F.when(own.isNotNull(), F.array(own)).otherwise(F.array().cast("array<string>")))
-    full = full.withColumn("faults", faults).withColumn("level", F.coalesce("level", F.lit(-1))).withColumn("answered", F.coalesce("answered", F.lit(False)))
+    full = cut(full.withColumn("faults", faults).withColumn("level", F.coalesce("level", F.lit(-1))).withColumn("answered", F.coalesce("answered", F.lit(False))))
     args = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.when(F.col("arguments").isNotNull(), F.to_json(F.struct(F.col("arguments").alias("text")))))
     known = {
         "arguments": args, "depends_on": F.to_json(F.array_sort("depends_on")), "faults": F.to_json(F.array_sort("faults")), "id": quoted(F.col("id")),

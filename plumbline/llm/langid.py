@@ -54,26 +54,36 @@ class Tables:
             logs = np.log((part[:, 3] + 0.5) / whole[part[:, 2]])
             self.kinds[kind] = hashes, np.append(first, len(part)), part[:, 2].astype(np.int32), logs, np.log(0.5 / whole)
 
-    def find(self, kind: int, grams: list[str]) -> list[np.ndarray]:
-        """The log probabilities of those of ``grams`` that were learned."""
-        hashes, first, lang, logs, unseen = self.kinds[kind]
-        if not len(hashes):
-            return []
-        wanted = np.array([gram_hash(g) for g in grams], np.int64)
-        at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-        out = []
-        for k in at[hashes[at] == wanted]:
-            row = unseen.copy()
-            row[lang[first[k] : first[k + 1]]] = logs[first[k] : first[k + 1]]
-            out.append(row)
-        return out
+        self.known: _Rows | None = None  # words that a worker has met; it keeps them from task to task
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": None}
 
-    def of(self, word: str) -> np.ndarray:
-        """A learned word's own values, else the mean over its longest n-grams that were learned, else flat."""
+    def of(self, words: list[str]) -> np.ndarray:
+        """A row a word: a learned word's own values, else the mean over its longest n-grams that were learned, else zeros."""
+        out = np.zeros((len(words), self.langs))
+        left = range(len(words))
         for kind in (0, *LENGTHS):
-            if known := self.find(kind, grams_of(word, kind) if kind else [word]):
-                return np.mean(known, axis=0)
-        return np.zeros(self.langs)
+            hashes, first, lang, logs, unseen = self.kinds[kind]
+            if not len(hashes) or not len(left):
+                continue
+            pieces = [(k, g) for k in left for g in (grams_of(words[k], kind) if kind else [words[k]])]
+            wanted = np.fromiter((gram_hash(g) for _, g in pieces), np.int64, len(pieces))
+            at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+            hit = hashes[at] == wanted
+            owner = np.fromiter((k for k, _ in pieces), np.int64, len(pieces))[hit]
+            found, inverse = np.unique(at[hit], return_inverse=True)
+            sizes = first[found + 1] - first[found]
+            row = np.repeat(np.arange(len(found)), sizes)
+            place = np.arange(len(row)) + np.repeat(first[found] - np.cumsum(sizes) + sizes, sizes)
+            dense = np.tile(unseen, (len(found), 1))
+            dense[row, lang[place]] = logs[place]
+            np.add.at(out, owner, dense[inverse])
+            number = np.bincount(owner, minlength=len(words))
+            done = number > 0
+            out[done] /= number[done, None]
+            left = [k for k in left if not done[k]]
+        return out
 
 
 def gram_hash(gram: str) -> int:
@@ -89,20 +99,22 @@ class _Rows(dict):
         self.most = min(300_000, max(1000, 20_000_000 // max(1, tables.langs)))
         self.logs = np.zeros((self.most, tables.langs))
 
-    def __missing__(self, word: str) -> int:
-        self[word] = row = len(self)
-        self.logs[row] = self.tables.of(word)
-        return row
-
-    def rows(self, words: list[str]) -> np.ndarray:
-        if len(self) + len(words) > self.most:
+    def add(self, words: list[str]) -> None:
+        """Learn the rows of words, at most as many as the table holds."""
+        new = [w for w in dict.fromkeys(words) if w not in self]
+        if len(self) + len(new) > self.most:
             self.clear()
-        return self.logs[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+            new = list(dict.fromkeys(words))
+        if new:
+            self.logs[len(self) : len(self) + len(new)] = self.tables.of(new)
+            self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
 
     def parts(self, words: list[str]) -> Iterator[np.ndarray]:
         """Rows of all words, as many at a time as the table holds."""
         for at in range(0, len(words), self.most):
-            yield self.rows(words[at : at + self.most])
+            part = words[at : at + self.most]
+            self.add(part)
+            yield self.logs[np.fromiter(map(self.__getitem__, part), np.int64, len(part))]
 
 
 class Model:
@@ -110,17 +122,26 @@ class Model:
 
     def __init__(self, langs: list[str], tables: Tables):
         self.langs, self.tables = langs, tables
-        self.known: _Rows | None = None
+        if tables.known is None:
+            tables.known = _Rows(tables)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language (first by name of equals), and the mean posterior it has over the words."""
-        words = WORD.findall(text.lower()) if text else []
+        return self.judge(WORD.findall(text.lower()) if text else [])
+
+    def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        """``predict`` of many texts; the words that are new are looked up together."""
+        split = [WORD.findall(t.lower()) if t else [] for t in texts]
+        words = list({w for words in split for w in words})
+        if self.langs and len(words) <= self.tables.known.most:
+            self.tables.known.add(words)
+        return [self.judge(words) for words in split]
+
+    def judge(self, words: list[str]) -> tuple[str, float]:
         if not self.langs or not any(c.isalpha() for w in words for c in w):  # signs such as ² stand in words, but aren't letters
             return UNDETERMINED, 0.0
-        if self.known is None:
-            self.known = _Rows(self.tables)
         total, odds = np.zeros(len(self.langs)), np.zeros(len(self.langs))
-        for logs in self.known.parts(words):
+        for logs in self.tables.known.parts(words):
             total += logs.sum(0)
             p = np.exp(logs - logs.max(axis=1, keepdims=True))
             odds += (p / p.sum(axis=1, keepdims=True)).sum(0)
@@ -175,7 +196,7 @@ def predict(docs: DataFrame, model: Model, text: Column | str = "text", into: st
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         found = Model(*shared.value)
         for texts in batches:
-            yield pd.DataFrame([found.predict(t) for t in texts], columns=["lang", "score"])
+            yield pd.DataFrame(found.predict_all(texts), columns=["lang", "score"])
 
     return docs.withColumn(into, run(text))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import chat, decontaminate, embeddings, langid, mixing, oracles, quality, secrets, sharding, simhash, span_dedup
-from plumbline.llm.common import table
+from plumbline.llm.common import cut, table
 
 SHARDS = [1.0] * 24
 
@@ -90,7 +90,7 @@ def with_tool_calls(messages: DataFrame) -> DataFrame:
 
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table's conversations hold no calls, so each gets some, by hashes, before all are formatted."""
-    return chat.format_messages(with_tool_calls(table(spark, sf_dir, "conversations")))
+    return chat.format_messages(cut(with_tool_calls(table(spark, sf_dir, "conversations"))))
 
 
 def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
