@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import fresh
+from plumbline.llm.common import cut, fresh
 
 WORD = re.compile(r"[^\W\d_]+")
 LENGTHS = (5, 4, 3, 2, 1)
@@ -176,8 +176,11 @@ def fit(labelled: DataFrame, max_docs: int = 8000) -> Model:
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     number = sizes.agg(F.count(F.lit(1)).alias("langs"))  # one row
     share = F.least(F.lit(1.0), F.greatest(F.lit(1.0), F.lit(float(max_docs)) / F.col("langs")) / F.col("n"))
-    shares = sizes.crossJoin(F.broadcast(number)).select("lang", (share * float(1 << 30)).alias("below"))
-    part = labelled.join(shares, "lang").where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30)) < F.col("below"))
+    shares = cut(sizes.crossJoin(F.broadcast(number)).select("lang", (share * float(1 << 30)).alias("below")))
+    # chosen by id and language alone; what is chosen is as bounded as the sample, so texts aren't shuffled
+    mark = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30))
+    chosen = labelled.select("doc_id", "lang").join(shares, "lang").where(mark < F.col("below")).select(F.col("doc_id").alias("_doc"), F.col("lang").alias("_of")).distinct()
+    part = labelled.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("lang") == F.col("_of")))
     counts = part.select("lang", "text").mapInPandas(_count, "lang string, kind int, gram long, n long")
     counts = counts.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     often = F.sum("n").over(Window.partitionBy("kind", "gram"))
