@@ -11,7 +11,7 @@ from plumbline.functions.flags import FLAGS, with_flags
 from plumbline.functions.numeric import exact_sum, ratio, round_n, stable_mean
 from plumbline.functions.time import at, within
 from plumbline.operators.leaderboard import user_weight
-from plumbline.operators.metrics import first_contributions, own_posts, smart_reach
+from plumbline.operators.metrics import first_contributions, of_project, own_posts, smart_reach
 
 
 def _count(condition: Column) -> Column:
@@ -127,7 +127,7 @@ def project_user_posts(posts: DataFrame, users: DataFrame, engagement: DataFrame
     rows = engagement.where((F.col("project_keyword") == project) & (F.col("root_user_id") == user)).where("is_engaged_reply").where(within("engaged_tweet_created_at", start, end)).where(F.col("engaged_user_id") != user)
     pairs = rows.groupBy(F.col("root_post_id").alias("post_id"), "engaged_user_id").agg(F.max("engaged_user_score").alias("_s"), F.count(F.lit(1)).alias("_n"))
     per_post = pairs.groupBy("post_id").agg(F.count(F.lit(1)).alias("unique_engagers"), exact_sum("_s").alias("post_unique_reach"), F.sum("_n").alias("total_replies"))
-    smart = smart_reach(scores.where(F.col("original_author_x_id") == user), start, end)
+    smart = smart_reach(of_project(scores, project).where(F.col("original_author_x_id") == user), start, end)
     ec = features.where((F.col("project_keyword") == project) & (F.col("root_user_id") == user)).select(F.col("root_post_id").alias("post_id"), "burst_concentration", "duration_days_p90", "cross_post_overlap", "coordinated_burst")
     named = users.where(F.col("x_id") == user).select(F.col("x_id").alias("handle"), F.col("x_username").alias("username"), F.col("score").cast("double").alias("_author"))
     full = own.join(per_post, "post_id", "left").join(smart, "post_id", "left").join(ec, "post_id", "left").join(named, "handle", "left")
@@ -198,8 +198,8 @@ def user_posts_analytics(user_posts: DataFrame, users: DataFrame, user_features:
 
 
 def _incoming(user_posts: DataFrame, users: DataFrame, targets: DataFrame) -> DataFrame:
-    """Replies and quotes of ``targets`` (post_id, author_id), each once: by what it replies to if that is a target,
-    else by what it quotes. Two equi-joins in place of a join on either."""
+    """Replies and quotes of ``targets`` (post_id, author_id), a row for each target that one replies to or quotes: two rows
+    if these are two targets, one if they are the same. Two equi-joins in place of a join on either."""
     t = targets.select(F.col("post_id").alias("target_post_id"), "author_id")
     cols = ["post_id", "user_x_id", "replied_post_id", "quoted_post_id"]
     by_reply = user_posts.select(*cols).join(t, F.col("replied_post_id") == F.col("target_post_id"))
@@ -283,10 +283,10 @@ def user_analytics(user_posts: DataFrame, users: DataFrame, user_features: DataF
 
 def engagement_quality(nucleus_posts: DataFrame, users: DataFrame, ids: Sequence[str], latest: int = 50) -> DataFrame:
     """Flag counts over each listed user's latest posts; users without posts stay with zeros. Of several versions of
-    a post the latest update counts, one without a time being the latest."""
+    a post the latest update counts, one without a time being the latest; of equals the one seen and liked most."""
 
     def newest(rows: DataFrame, *keys: str) -> DataFrame:
-        order = Window.partitionBy(*keys).orderBy(F.desc_nulls_first("updated_at"), F.desc("created_at"))
+        order = Window.partitionBy(*keys).orderBy(F.desc_nulls_first("updated_at"), F.desc("created_at"), F.desc("view_count"), F.desc("favorite_count"))
         return rows.withColumn("_v", F.row_number().over(order)).where("_v = 1").drop("_v")
 
     ids = list(ids)

@@ -8,6 +8,7 @@ group a replier that has new replies, and holds that replier's last ``reset`` of
 
 from __future__ import annotations
 
+from collections import Counter, deque
 from datetime import timedelta
 
 import pandas as pd
@@ -22,20 +23,46 @@ def _half_up(value: float) -> float:
 
 
 def score_new(history: list[tuple[pd.Timestamp, str, float]], new: list[dict], number: int, reset: timedelta, other: float, far: str) -> list[dict]:
-    """Score one replier's ``new`` rows in order. history: (time, author, multiplier) of stored rows."""
+    """Score one replier's ``new`` rows in order of time. history: (time, author, multiplier) of stored rows. The entries that
+    are active at a row are kept in a queue with counts, so a row costs what enters and leaves it."""
     out = []
-    entries = list(history)
+    entries = deque(sorted(history, key=lambda e: e[0]))
+    same_time: list[tuple] = []  # entries of the current time, which don't count for one another
+    authors = Counter(e[1] for e in entries)
+    multipliers = Counter(e[2] for e in entries)
+    ahead = deque()  # stored entries that aren't earlier than the row
+
+    def leave(e: tuple) -> None:
+        authors[e[1]] -= 1
+        multipliers[e[2]] -= 1
+
+    def enter(e: tuple) -> None:
+        entries.append(e)
+        authors[e[1]] += 1
+        multipliers[e[2]] += 1
+
     for row in new:
         t, author, base = row["post_created_at"], row["original_author_x_id"], row["replier_base_score"]
+        if same_time and same_time[0][0] < t:
+            # what is still ahead of the row can't be older than what was just added
+            same_time, added = [], same_time
+            ahead = deque(sorted([*added, *ahead], key=lambda e: e[0]))
+        while ahead and ahead[0][0] < t:
+            enter(ahead.popleft())
+        while entries and entries[-1][0] >= t:
+            e = entries.pop()
+            leave(e)
+            ahead.appendleft(e)
+        while entries and entries[0][0] <= t - reset:
+            leave(entries.popleft())
         floor = _half_up(base * FLOOR)
-        active = [e for e in entries if t - reset < e[0] < t]
-        local = 1 + sum(e[1] == author for e in active)
-        halves, others = sum(e[2] == LOCAL for e in active), sum(e[2] == other for e in active)
+        local = 1 + authors[author]
+        halves, others = multipliers[LOCAL], multipliers[other]
         effective = max(_half_up(base * (LOCAL**halves * (other**others if other not in (1.0, LOCAL) else 1.0))), floor)
-        kind = "FIRST_REPLY" if not active else "LOCAL_DECAY" if local > 1 else far
+        kind = "FIRST_REPLY" if not entries else "LOCAL_DECAY" if local > 1 else far
         m = {"FIRST_REPLY": 1.0, "LOCAL_DECAY": LOCAL}.get(kind, other)
         number += 1
-        entries.append((t, author, m))
+        same_time.append((t, author, m))
         contribution = effective if m == 1.0 else max(_half_up(effective * m), floor)
         out.append(row | {"effective_score": effective, "contribution_score": contribution, "reply_number": number, "local_reply_count": local, "decay_type": kind})
     return out

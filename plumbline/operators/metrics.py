@@ -21,6 +21,12 @@ def own_posts(posts: DataFrame, start: int | None = None, end: int | None = None
     return posts.where("is_post or (is_quote and not is_reply)").where(within("post_created_at", start, end))
 
 
+def of_project(scores: DataFrame, project: str) -> DataFrame:
+    """The scores of one project. The project is a key of the decay windows, so the filter goes below them. A post
+    belongs to one project, so nothing that is joined by post is lost."""
+    return scores.where(F.col("project_keyword") == project) if "project_keyword" in scores.columns else scores
+
+
 def first_contributions(scores: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
     """(original_post_id, replier_x_id, contribution_score): each replier's earliest contribution to each post."""
     rows = scores.where(within("post_created_at", start, end)).where(F.col("replier_x_id") != F.col("original_author_x_id"))
@@ -82,7 +88,7 @@ def post_metrics(engagement: DataFrame, posts: DataFrame, users: DataFrame, scor
     if post_id is not None:
         rows, views, scores = rows.where(F.col("root_post_id") == post_id), views.where(F.col("post_id") == post_id), scores.where(F.col("original_post_id") == post_id)
     found = _with_ratios(_per_post(_engaged(rows, start, end), F.lit(True)).join(views, "post_id"))
-    return _flagged(found, users, smart_reach(scores, start, end)).select(*POST_COLUMNS).orderBy(F.desc_nulls_first("post_unique_reach"), "post_id")
+    return _flagged(found, users, smart_reach(of_project(scores, project), start, end)).select(*POST_COLUMNS).orderBy(F.desc_nulls_first("post_unique_reach"), "post_id")
 
 
 def single_post_smart_reach(engagement: DataFrame, posts: DataFrame, users: DataFrame, scores: DataFrame, project: str, post_id: str, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -130,7 +136,7 @@ def account_metrics(engagement: DataFrame, posts: DataFrame, user_posts: DataFra
     rows = _engaged(engagement.where(F.col("project_keyword") == project), start, end)
     known = posts.where(F.col("project_keyword") == project).select(F.col("post_id").alias("root_post_id"))
     valid = rows.select("root_post_id", "root_user_id").distinct().join(known, "root_post_id")
-    reach = smart_reach(scores, start, end).withColumnRenamed("post_id", "root_post_id")
+    reach = smart_reach(of_project(scores, project), start, end).withColumnRenamed("post_id", "root_post_id")
     counts = valid.join(reach, "root_post_id", "left").groupBy("root_user_id").agg(F.count(F.lit(1)).alias("post_count"), F.coalesce(exact_sum("smart_reach"), F.lit(0.0)).alias("smart_reach"))
     full = _keyword_reach(rows).join(account_reach(user_posts, users, start, end), "root_user_id", "left").join(counts, "root_user_id", "left")
     full = full.join(users.select(F.col("x_id").alias("root_user_id"), F.col("score").cast("double").alias("score")), "root_user_id", "left")

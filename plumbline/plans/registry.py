@@ -206,6 +206,7 @@ def decay_inspect(t: Lineage) -> DataFrame:
 
 
 SINCE = datetime(2000, 1, 1)
+NET_SINCE = datetime(2024, 1, 20)
 
 
 @query(lambda: f"{on('scores')} select * from scores")
@@ -215,6 +216,13 @@ def decay_incremental(t: Lineage) -> DataFrame:
     return refresh.refresh_scores(t.posts, t.users, decay.decay_scores(early, t.users), SINCE)
 
 
+@query(lambda: f"{on('gscores')} select * from gscores")
+def decay_incremental_global(t: Lineage) -> DataFrame:
+    """The same over the whole network, with late rows of the last days."""
+    early = t.user_posts.where(F.greatest("created_at", "updated_at") <= F.lit(NET_SINCE))
+    return refresh.refresh_scores(t.user_posts, t.users, decay.decay_scores(early, t.users, "global"), NET_SINCE, "global")
+
+
 @query()
 def decay_ledger(t: Lineage) -> DataFrame:
     from plumbline.operators import ledger
@@ -247,14 +255,17 @@ def features_hourly(t: Lineage) -> DataFrame:
     return rounded(t.hourly_features)
 
 
+@query(lambda: f"{on('engagement')} select project_keyword, {FEATURE_KEYS}, {FEATURES} from {features_sql('engagement', 'sliding', True, prev=True)}")
+def features_previous(t: Lineage) -> DataFrame:
+    """Sliding bursts with the overlap of each post's audience with that of the post right before."""
+    return rounded(features.features(t.engagement, prev_overlap=True))
+
+
 @query(lambda: f"{on('user_features')} select {FEATURE_KEYS}, {FEATURES} from user_features")
 def features_users(t: Lineage) -> DataFrame:
     return rounded(t.user_features)
 
 
-NET_SINCE = datetime(2024, 1, 20)
-
-
 @query(lambda: f"{on('user_features')} select {FEATURE_KEYS}, {FEATURES} from user_features")
 def features_incremental(t: Lineage) -> DataFrame:
     variant = {"burst": "59:59", "distinct_participants": True, "prev_overlap": True}
@@ -676,7 +687,7 @@ def user_analytics(t: Lineage) -> DataFrame:
 
 def quality_sql() -> str:
     ids = ", ".join(repr(u) for u in NET_USERS)
-    newest = "order by updated_at desc nulls first, created_at desc"
+    newest = "order by updated_at desc nulls first, created_at desc, view_count desc, favorite_count desc"
     own = f"""(select * from (select *, row_number() over (partition by user_x_id order by post_created_at desc, post_id) as rn from (
         select *, row_number() over (partition by post_id, user_x_id {newest}) as v from nucleus_posts where user_x_id in ({ids}) and {OWN} and is_reply_fetched) where v = 1) where rn <= 50)"""
     eng = f"""(select e.replied_post_id as post_id, e.user_x_id as engager, e.is_reply, cast(u.score as double) as s, p.user_x_id as handle from (
