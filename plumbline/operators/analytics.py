@@ -101,23 +101,31 @@ def project_totals(posts: DataFrame, users: DataFrame, project: str, start: int,
     return out.withColumn("total_view_count", F.col("total_post_view_count") + F.col("total_quote_post_view_count") + F.col("total_replies_view_count"))
 
 
+SORT_KEYS = ("MOST_POSTS", "MOST_VIEWS", "UNIQUE_ENGAGERS", "UNIQUE_REACH", "REACH", "ENGAGEMENTS", "INFLUENCE_SCORE", "SMART_REACH")
+
+
 def project_analytics(
-    posts: DataFrame, users: DataFrame, engagement: DataFrame, features: DataFrame, scores: DataFrame, project: str, start: int, end: int, sort_key: str = "MOST_POSTS",
+    posts: DataFrame, users: DataFrame, engagement: DataFrame, features: DataFrame, scores: DataFrame, project: str, start: int, end: int, sort_keys: str | Sequence[str] = "MOST_POSTS",
     only: Sequence[str] | None = None, rows: int = 1100,
 ) -> DataFrame:
-    """The totals with the first ``rows`` users as a JSON array, ordered by ``sort_key``."""
-    table = project_users(posts, users, engagement, features, scores, project, start, end, only).withColumn("_key", sort_value(sort_key))
+    """The totals with the first ``rows`` users as a JSON array, one row for each of ``sort_keys``; all come from one table."""
+    sort_keys = (sort_keys,) if isinstance(sort_keys, str) else sort_keys
+    table = project_users(posts, users, engagement, features, scores, project, start, end, only)
     c = F.col
     item = F.struct(
         "x_id", "x_username", "x_score", "engagements", "likes", "replies", "retweets", "like_to_reply_ratio", F.struct("post_count", "quote_post_count", "replies_count").alias("contributions"),
         F.struct(c("post_view_count"), c("quote_view_count").alias("quote_post_view_count"), c("replies_view_count")).alias("views"), c("unique_engager").alias("unique_engagers_count"),
         "median_unique_engagers_score", "average_unique_engagers_score", "average_content_score", "average_p90", "unique_reach", "reach", "smart_reach", "influence_score", "rank",
     )
-    top = table.orderBy(F.desc_nulls_last("_key"), "rank").limit(rows)  # a bounded list
-    place = F.row_number().over(Window.orderBy(F.desc_nulls_last("_key"), "rank"))
-    listed = top.select(place.alias("p"), item.alias("i")).agg(F.array_sort(F.collect_list(F.struct("p", "i"))).alias("l"))
-    listed = listed.select(F.to_json(F.transform("l", lambda x: x["i"]), {"ignoreNullFields": "false"}).alias("project_analytics"))
-    return project_totals(posts, users, project, start, end, only).crossJoin(F.broadcast(listed))  # one row each
+    by = F.array(*[F.struct(F.lit(k).alias("sort_key"), sort_value(k).cast("double").alias("value")) for k in sort_keys])
+    listed = table.select(item.alias("i"), c("rank").alias("r"), F.inline(by))
+    place = F.row_number().over(Window.partitionBy("sort_key").orderBy(F.desc_nulls_last("value"), "r"))
+    top = listed.withColumn("p", place).where(c("p") <= rows)  # each task keeps its first rows only, before they are put together
+    lists = top.groupBy("sort_key").agg(F.array_sort(F.collect_list(F.struct("p", "i"))).alias("l"))  # bounded lists
+    lists = lists.select("sort_key", F.to_json(F.transform("l", lambda x: x["i"]), {"ignoreNullFields": "false"}).alias("json"))
+    keys = posts.sparkSession.range(1).select(F.explode(F.array(*[F.lit(k) for k in sort_keys])).alias("sort_key"))
+    full = keys.join(lists, "sort_key", "left").select("sort_key", F.coalesce("json", F.lit("[]")).alias("project_analytics"))
+    return project_totals(posts, users, project, start, end, only).crossJoin(F.broadcast(full))  # one row, and one for each key
 
 
 def project_user_posts(posts: DataFrame, users: DataFrame, engagement: DataFrame, features: DataFrame, scores: DataFrame, user: str, project: str, start: int, end: int) -> DataFrame:

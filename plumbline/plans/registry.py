@@ -223,8 +223,40 @@ def decay_incremental_global(t: Lineage) -> DataFrame:
     return refresh.refresh_scores(t.user_posts, t.users, decay.decay_scores(early, t.users, "global"), NET_SINCE, "global")
 
 
-@query()
+def ledger_sql() -> str:
+    """Stored scores of the early posts, and the later replies one after the other: each step gives every replier's next reply."""
+    early = decay_sql("early", True)
+    base = "project_keyword, replier_x_id"
+    cols = "project_keyword, reply_post_id, replier_x_id, original_post_id, original_author_x_id, post_created_at, replier_base_score, effective_score, contribution_score, reply_number, local_reply_count, decay_type"
+    judged = f"""select *, case when m = 1 then effective_score else greatest({rn('effective_score * m', 2)}, {rn('replier_base_score * 0.01e0', 2)}) end as contribution_score from (
+          select *, case decay_type when 'FIRST_REPLY' then 1.0e0 when 'LOCAL_DECAY' then 0.5e0 else 0.9e0 end as m from (
+            select *, greatest({rn("replier_base_score * (pow(0.5e0, len(list_filter(active, lambda e: e.m = 0.5e0))) * pow(0.9e0, len(list_filter(active, lambda e: e.m = 0.9e0))))", 2)}, {rn('replier_base_score * 0.01e0', 2)}) as effective_score,
+                   cast(before + k as int) as reply_number, cast(1 + len(list_filter(active, lambda e: e.author = original_author_x_id)) as int) as local_reply_count,
+                   case when len(active) = 0 then 'FIRST_REPLY' when len(list_filter(active, lambda e: e.author = original_author_x_id)) > 0 then 'LOCAL_DECAY' else 'GLOBAL_DECAY' end as decay_type
+            from (select *, list_filter(entries, lambda e: e.t > post_created_at - interval '30' day and e.t < post_created_at) as active from ({{}}))))"""
+    carried = f"{base}, k, entries, before, {cols.removeprefix(base.split(',')[0] + ', ').replace('replier_x_id, ', '', 1)}"
+    kept = "list_append(list_filter(entries, lambda e: e.t > post_created_at - interval '30' day), {'t': post_created_at, 'author': original_author_x_id, 'm': m}) as entries"
+    taken = carried.replace("entries", kept, 1)
+    return f"""{on('users', 'posts').replace('with ', 'with recursive ', 1)},
+      early as (select * from posts where created_at <= timestamp '{SINCE}'),
+      stored as materialized ({early}),
+      fresh as materialized (
+        select *, row_number() over (partition by {base} order by post_created_at, reply_post_id) as k from (
+          select r.project_keyword, r.post_id as reply_post_id, r.user_x_id as replier_x_id, r.replied_post_id as original_post_id, p.user_x_id as original_author_x_id, r.post_created_at, cast(u.score as double) as replier_base_score
+          from posts r join posts p on p.post_id = r.replied_post_id and p.project_keyword = r.project_keyword join users u on u.x_id = r.user_x_id) s
+        where not exists (select 1 from stored o where o.project_keyword = s.project_keyword and o.reply_post_id = s.reply_post_id)),
+      past as materialized (
+        select {base}, max(reply_number) as before, list({{'t': post_created_at, 'author': original_author_x_id, 'm': case decay_type when 'FIRST_REPLY' then 1.0e0 when 'LOCAL_DECAY' then 0.5e0 else 0.9e0 end}}) as entries from stored group by 1, 2),
+      steps as (
+        select {taken} from ({judged.format(f"select f.*, coalesce(p.before, 0) as before, coalesce(p.entries, []) as entries from fresh f left join past p using ({base}) where k = 1")})
+        union all
+        select {taken} from ({judged.format(f"select f.*, s.before, s.entries from steps s join fresh f on f.project_keyword = s.project_keyword and f.replier_x_id = s.replier_x_id and f.k = s.k + 1")}))
+      select {cols} from stored union all select {cols} from steps"""
+
+
+@query(ledger_sql)
 def decay_ledger(t: Lineage) -> DataFrame:
+    """Scores of what was there by ``SINCE``, kept as they are, and of the rest, written once."""
     from plumbline.operators import ledger
 
     early = t.posts.where(F.col("created_at") <= F.lit(SINCE))
@@ -594,9 +626,34 @@ def project_totals(t: Lineage) -> DataFrame:
     return analytics.project_totals(t.posts, t.users, PROJECT, START, END)
 
 
-@query()
+#: What each sort key orders by.
+SORTED = {
+    "MOST_POSTS": "post_count + quote_post_count", "MOST_VIEWS": "post_view_count + quote_view_count", "UNIQUE_ENGAGERS": "unique_engager", "UNIQUE_REACH": "unique_reach", "REACH": "reach",
+    "ENGAGEMENTS": "engagements + replies", "INFLUENCE_SCORE": "influence_score", "SMART_REACH": "smart_reach",
+}
+
+
+def project_analytics_sql() -> str:
+    parts = " union all ".join(f"select *, '{k}' as sort_key, row_number() over (order by {v} desc nulls last, rank) as p from users_" for k, v in SORTED.items())
+    return f"""with users_ as materialized ({project_users_sql()}), totals as ({SQL['project_totals']})
+      select t.*, l.* from totals t cross join (
+        select sort_key, count(*) as n_users, string_agg(x_id, ',' order by p) as users, string_agg(cast(rank as varchar), ',' order by p) as ranks, string_agg(cast(post_view_count as varchar), ',' order by p) as views,
+               string_agg(cast(cast(smart_reach as decimal(18,2)) as varchar), ',' order by p) as reaches from ({parts}) where p <= 1100 group by 1) l"""
+
+
+@query(project_analytics_sql)
 def project_analytics(t: Lineage) -> DataFrame:
-    return analytics.project_analytics(t.posts, t.users, t.engagement, t.features, t.scores, PROJECT, START, END, "SMART_REACH")
+    """The JSON of every sort key, read back: who is in it, in which order, with rank, views and smart reach."""
+    found = analytics.project_analytics(t.posts, t.users, t.engagement, t.features, t.scores, PROJECT, START, END, analytics.SORT_KEYS)
+    items = F.from_json("project_analytics", "array<struct<x_id:string,rank:int,smart_reach:double,views:struct<post_view_count:long>>>")
+
+    def joined(of: Callable[[Column], Column]) -> Column:
+        return F.array_join(F.transform(items, lambda x: of(x).cast("string")), ",")
+
+    return found.select(
+        *[c for c in found.columns if c != "project_analytics"], F.size(items).cast("long").alias("n_users"), joined(lambda x: x["x_id"]).alias("users"), joined(lambda x: x["rank"]).alias("ranks"),
+        joined(lambda x: x["views"]["post_view_count"]).alias("views"), joined(lambda x: x["smart_reach"].cast("decimal(18,2)")).alias("reaches"),
+    )
 
 
 @query(lambda: f"""{on('features', 'scores')} select x.*, {flags_sql()} from (
