@@ -7,7 +7,7 @@ from plumbline import cli
 from plumbline.operators.decay import decay_scores, reply_source
 from plumbline.plans.refresh import difference
 from plumbline.plans.runner import ScoreRunner, run_all
-from plumbline.sources.store import SinkError, reconcile, write_parts
+from plumbline.sources.store import SinkError, VersionedTable, reconcile, write_parts
 from plumbline.streaming.scores import burst_stream, score_stream
 
 
@@ -132,6 +132,24 @@ def test_a_run_on_an_old_version_publishes_nothing(spark, tmp_path):
     assert runner.table.state() == now
 
 
+def test_of_two_runs_from_one_version_one_publishes(spark, tmp_path, monkeypatch):
+    posts, users = network(spark)
+    one, two = (VersionedTable(spark, str(tmp_path), "P") for _ in range(2))
+    scores = decay_scores(posts, users)
+    one.publish(scores, None, None, "first", None)
+    start = one.state()
+    assert one.publish(scores, None, None, "a", 1, after=start["version"]) == 90
+    monkeypatch.setattr(two, "state", lambda real=two.state, seen=[start]: seen.pop() if seen else real())  # it looked before the other one published
+    with pytest.raises(SinkError):
+        two.publish(scores, None, None, "b", 1, after=start["version"])
+    assert one.state()["version"] == "p-a" and one.state()["number"] == 1
+    (tmp_path / "state/p/00000002.json").write_text('{"scope": "P", "vers')  # a run ended while it was writing
+    assert one.state()["version"] == "p-a"
+    one.publish(scores, None, None, "c", 1, after="p-a")
+    assert (one.state()["version"], one.state()["number"]) == ("p-c", 3)
+    assert one.clear(keep=1) == ["p-a", "p-b", "p-first"] and one.read().count() == 90
+
+
 def test_a_job_over_its_time_is_cancelled(spark):
     slow = lambda: spark.range(0, 10**12, 1, 4).selectExpr("sum(id % 7)").collect()
     out = run_all({"slow": slow, "quick": lambda: spark.range(3).count()}, spark, timeout=3)
