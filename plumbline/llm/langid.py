@@ -166,21 +166,24 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(labelled: DataFrame, max_docs: int = 8000) -> Model:
-    """Learn from ``labelled`` (doc_id, text, lang). Rows with null text or lang teach nothing.
+    """Learn from ``labelled`` (doc_id, text, lang). Rows with null doc_id, text or lang teach nothing.
 
     Every language may give about ``max_docs`` over their number, one at least; of a language that has more, the rows
     with the smallest hashes of doc_id are read. A language of which no row is read is not learned. Words and n-grams
     that stand twice or more in what is read are learned. No rows: a model that answers ``und``.
     """
-    labelled = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
+    labelled = labelled.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null")
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     number = sizes.agg(F.count(F.lit(1)).alias("langs"))  # one row
     share = F.least(F.lit(1.0), F.greatest(F.lit(1.0), F.lit(float(max_docs)) / F.col("langs")) / F.col("n"))
-    shares = cut(sizes.crossJoin(F.broadcast(number)).select("lang", (share * float(1 << 30)).alias("below")))
+    # a language with most of the rows is met in 32 places
+    places = F.explode(F.sequence(F.lit(0), F.lit(31))).alias("_place")
+    shares = cut(sizes.crossJoin(F.broadcast(number)).select("lang", (share * float(1 << 30)).alias("below"), places))
     # chosen by id and language alone; what is chosen is as bounded as the sample, so texts aren't shuffled
     mark = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("langid")), F.lit(1 << 30))
-    chosen = labelled.select("doc_id", "lang").join(shares, "lang").where(mark < F.col("below")).select(F.col("doc_id").alias("_doc"), F.col("lang").alias("_of")).distinct()
-    part = labelled.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("lang") == F.col("_of")))
+    ids = labelled.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(32)).cast("int").alias("_place"))
+    chosen = ids.join(shares, ["lang", "_place"]).where(mark < F.col("below")).select(F.col("doc_id").alias("_doc"), F.col("lang").alias("_of")).distinct()
+    part = labelled.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_doc")) & (F.col("lang") == F.col("_of")))
     counts = part.select("lang", "text").mapInPandas(_count, "lang string, kind int, gram long, n long")
     counts = counts.groupBy("lang", "kind", "gram").agg(F.sum("n").alias("n"))
     often = F.sum("n").over(Window.partitionBy("kind", "gram"))
