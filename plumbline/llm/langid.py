@@ -56,8 +56,11 @@ class Tables:
 
         self.known: _Rows | None = None  # words that a worker has met; it keeps them from task to task
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"known": None}
+    @classmethod
+    def of_arrays(cls, langs: int, kinds: dict) -> Tables:
+        out = cls.__new__(cls)
+        out.langs, out.kinds, out.known = langs, kinds, None
+        return out
 
     def of(self, words: list[str]) -> np.ndarray:
         """A row a word: a learned word's own values, else the mean over its longest n-grams that were learned, else zeros."""
@@ -194,13 +197,24 @@ def fit(labelled: DataFrame, max_docs: int = 8000) -> Model:
     return Model(langs, Tables(rows, len(langs)))
 
 
+_last: list = []
+
+
+def _held(value: tuple[list[str], dict]) -> Model:
+    """A worker's model, kept as long as it gets the same broadcast."""
+    if not _last or _last[0] is not value:
+        _last[:] = [value, Model(value[0], Tables.of_arrays(len(value[0]), value[1]))]
+    return _last[1]
+
+
 def predict(docs: DataFrame, model: Model, text: Column | str = "text", into: str = "_lang") -> DataFrame:
     """``docs`` with a struct column ``into`` (lang, score). Null texts and texts without a letter: ``und``, 0."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables))  # bounded by the sample it was fitted on
+    # plain arrays, bounded by the sample that they were fitted on
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.tables.kinds))
 
     @F.pandas_udf("lang string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        found = Model(*shared.value)
+        found = _held(shared.value)
         for texts in batches:
             yield pd.DataFrame(found.predict_all(texts), columns=["lang", "score"])
 
