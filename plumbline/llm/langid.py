@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -26,11 +27,28 @@ from plumbline.llm.common import cut, fresh
 WORD = re.compile(r"[^\W\d_]+")
 LENGTHS = (5, 4, 3, 2, 1)
 UNDETERMINED = "und"
+GROUP_CHARS = 1_000_000  # texts whose words a worker holds at once
+GROUP_WORDS = 10_000  # words whose n-grams a worker holds at once
 
 
 def words_of(text: str | None) -> Counter:
-    """Lower-cased runs of letters, with counts."""
-    return Counter(WORD.findall(text.lower())) if text else Counter()
+    """Lower-cased runs of letters, with counts. The words of a long text are never a list."""
+    if not text:
+        return Counter()
+    text = text.lower()
+    return Counter(WORD.findall(text) if len(text) < GROUP_CHARS else (m.group() for m in WORD.finditer(text)))
+
+
+def groups_of(texts: Iterable[str | None]) -> Iterator[list[str | None]]:
+    """``texts`` in order, in groups of about ``GROUP_CHARS`` characters; a longer text ends its group."""
+    group, size = [], 0
+    for text in texts:
+        group.append(text)
+        size += len(text or "")
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    yield group
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -108,16 +126,18 @@ class _Rows(dict):
         if len(self) + len(new) > self.most:
             self.clear()
             new = list(dict.fromkeys(words))
-        if new:
-            self.logs[len(self) : len(self) + len(new)] = self.tables.of(new)
-            self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
-
-    def parts(self, words: list[str]) -> Iterator[np.ndarray]:
-        """Rows of all words, as many at a time as the table holds."""
-        for at in range(0, len(words), self.most):
-            part = words[at : at + self.most]
+        for at in range(0, len(new), GROUP_WORDS):
+            part, start = new[at : at + GROUP_WORDS], len(self)
+            self.logs[start : start + len(part)] = self.tables.of(part)
+            self.update(zip(part, range(start, start + len(part)), strict=True))
+
+    def parts(self, words: Counter) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Rows of all words and how often each stands, as many at a time as the table holds."""
+        names = iter(words)
+        while part := list(islice(names, self.most)):
             self.add(part)
-            yield self.logs[np.fromiter(map(self.__getitem__, part), np.int64, len(part))]
+            number = np.fromiter(map(words.__getitem__, part), float, len(part))
+            yield self.logs[np.fromiter(map(self.__getitem__, part), np.int64, len(part))], number
 
 
 class Model:
@@ -130,26 +150,29 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language (first by name of equals), and the mean posterior it has over the words."""
-        return self.judge(WORD.findall(text.lower()) if text else [])
+        return self.judge(words_of(text))
 
     def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
         """``predict`` of many texts; the words that are new are looked up together."""
-        split = [WORD.findall(t.lower()) if t else [] for t in texts]
-        words = list({w for words in split for w in words})
-        if self.langs and len(words) <= self.tables.known.most:
-            self.tables.known.add(words)
-        return [self.judge(words) for words in split]
-
-    def judge(self, words: list[str]) -> tuple[str, float]:
+        found = []
+        for group in groups_of(texts):
+            counted = [words_of(t) for t in group]
+            words = list(dict.fromkeys(chain.from_iterable(counted)))
+            if self.langs and len(words) <= self.tables.known.most:
+                self.tables.known.add(words)
+            found += map(self.judge, counted)
+        return found
+
+    def judge(self, words: Counter) -> tuple[str, float]:
         if not self.langs or not any(c.isalpha() for w in words for c in w):  # signs such as ² stand in words, but aren't letters
             return UNDETERMINED, 0.0
         total, odds = np.zeros(len(self.langs)), np.zeros(len(self.langs))
-        for logs in self.tables.known.parts(words):
-            total += logs.sum(0)
+        for logs, number in self.tables.known.parts(words):
+            total += number @ logs
             p = np.exp(logs - logs.max(axis=1, keepdims=True))
-            odds += (p / p.sum(axis=1, keepdims=True)).sum(0)
+            odds += number @ (p / p.sum(axis=1, keepdims=True))
         best = int(np.argmax(total))
-        return self.langs[best], float(min(1.0, odds[best] / len(words)))
+        return self.langs[best], float(min(1.0, odds[best] / words.total()))
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -82,6 +82,20 @@ def test_predictions_match_brute_force(spark):
         assert got[doc]["lang"] == lang and math.isclose(got[doc]["score"], score, rel_tol=1e-9)
 
 
+def test_groups_of_texts_and_words_change_nothing(monkeypatch):
+    rng = random.Random(3)
+    texts = [sentence(lang, rng) for lang in SOUNDS for _ in range(9)] + [None, "", "ka lo " * 50]
+    rows = [(n, langid.gram_hash(g), k, 3) for k, lang in enumerate(SOUNDS) for n in langid.LENGTHS for g in {g for w in SOUNDS[lang].split() for g in langid.grams_of(w, n)}]
+    model = langid.Model(sorted(SOUNDS), langid.Tables(rows, 3))
+    want = model.predict_all(texts)
+    monkeypatch.setattr(langid, "GROUP_CHARS", 70)
+    monkeypatch.setattr(langid, "GROUP_WORDS", 3)
+    assert [t for group in langid.groups_of(texts) for t in group] == texts
+    again = langid.Model(sorted(SOUNDS), langid.Tables(rows, 3)).predict_all(texts)
+    assert [lang for lang, _ in again] == [lang for lang, _ in want]
+    assert all(math.isclose(a, b, rel_tol=1e-12) for (_, a), (_, b) in zip(again, want, strict=True))
+
+
 def test_a_rare_language_keeps_its_share_of_the_sample(spark):
     rng = random.Random(4)
     rows = [(k, sentence("aa", rng), "aa") for k in range(900)] + [(2000 + k, sentence("cc", rng), "cc") for k in range(6)]
