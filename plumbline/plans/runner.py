@@ -7,15 +7,21 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import ledger
 from plumbline.operators.decay import THIRTY_DAYS, decay_scores, reply_source
-from plumbline.plans.refresh import dirty_repliers, refresh_scores
+from plumbline.plans.refresh import changed_parts, dirty_repliers, replier_keys, rescored
 from plumbline.sources.store import RunLog, VersionedTable
 
 
+def month_and_bucket(time: str, key: str, buckets: int) -> Column:
+    """The month of ``time`` and one of ``buckets`` by the hash of ``key``, as 202406-3."""
+    month = (F.year(time) * 100 + F.month(time)).cast("string")
+    return F.concat_ws("-", F.coalesce(month, F.lit("none")), F.pmod(F.xxhash64(key), F.lit(buckets)))
+
+
 def ingest_time(df: DataFrame) -> datetime | None:
     """The latest creation or update in a table."""
     times = [F.max(c).alias(c) for c in ("created_at", "updated_at") if c in df.columns]
@@ -23,12 +29,14 @@ def ingest_time(df: DataFrame) -> datetime | None:
 
 
 class ScoreRunner:
-    """Keeps the decay scores of one scope under ``root``."""
+    """Keeps the decay scores of one scope under ``root``, in parts by month and replier (``buckets`` a month)."""
 
-    def __init__(self, spark: SparkSession, root: str, scope: str = "project", reset: timedelta = THIRTY_DAYS, new_author: float | None = None, name: str | None = None):
+    def __init__(
+        self, spark: SparkSession, root: str, scope: str = "project", reset: timedelta = THIRTY_DAYS, new_author: float | None = None, name: str | None = None, buckets: int = 16
+    ):
         self.spark, self.scope = spark, scope
         self.rule = {"reset": reset, "new_author": new_author}
-        self.table = VersionedTable(spark, root, name or scope.upper())
+        self.table = VersionedTable(spark, root, name or scope.upper(), month_and_bucket("post_created_at", "replier_x_id", buckets))
         self.log = RunLog(spark, root)
 
     def _run(self, kind: str, work: Callable[[str], tuple[int, int | None]]) -> str:
@@ -58,12 +66,22 @@ class ScoreRunner:
             return self.full(posts, users)
 
         def work(run_id: str) -> tuple[int, int]:
-            since, users_since = state["since"], state["users_since"]
-            dirty = dirty_repliers(posts, users, since, self.scope, users_since).count()
-            if not dirty:
-                return state["rows"], 0
-            new = refresh_scores(posts, users, self.table.read(), since, self.scope, users_since, **self.rule)
-            return self.table.publish(new, ingest_time(posts), ingest_time(users), run_id, dirty, after=state["version"]), dirty
+            since, users_since, keys = state["since"], state["users_since"], replier_keys(self.scope)
+            # planned once: keys and new scores are kept for what follows (and made again if an executor is lost)
+            dirty = dirty_repliers(posts, users, since, self.scope, users_since).select(*keys).persist()
+            anew = rescored(posts, users, dirty, self.scope, **self.rule).persist()
+            try:
+                n = dirty.count()
+                if not n:
+                    return state["rows"], 0
+                old = self.table.read().join(dirty, keys, "left_semi").select(anew.columns)
+                parts = [r["part"] for r in changed_parts(old, anew, self.table.part).collect()]  # months times buckets at most
+                kept = self.table.read(parts).join(dirty, keys, "left_anti").select(anew.columns)
+                new = kept.unionByName(anew.where(self.table.part.isin(parts)))
+                return self.table.publish(new, ingest_time(posts), ingest_time(users), run_id, n, after=state["version"], parts=parts), n
+            finally:
+                anew.unpersist()
+                dirty.unpersist()
 
         return self._run("incremental", work)
 
@@ -77,7 +95,7 @@ class ScoreRunner:
             stored = self.table.read()
             other = self.rule["new_author"] if self.rule["new_author"] is not None else 0.9
             new = ledger.append_new(reply_source(posts, users, self.scope), stored, self.scope, self.rule["reset"], other)
-            return self.table.publish(stored.unionByName(new), ingest_time(posts), ingest_time(users), run_id, None, after=state["version"]), None
+            return self.table.publish(new, ingest_time(posts), ingest_time(users), run_id, None, after=state["version"], add=True), None
 
         return self._run("append", work)
 

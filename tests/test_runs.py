@@ -2,6 +2,7 @@ import json
 
 import pytest
 from helpers import DAY0, at, post, tables, user
+from pyspark.sql import functions as F
 
 from plumbline import cli
 from plumbline.operators.decay import decay_scores, reply_source
@@ -29,6 +30,42 @@ def test_incremental_runs_keep_state_and_equal_a_full_build(spark, tmp_path):
     assert runner.table.state()["run_id"] == second and runner.log.status(third)["message"] == "0 repliers"
 
 
+@pytest.mark.parametrize("scope", ["project", "global"])
+def test_a_refresh_writes_only_the_parts_that_change(spark, tmp_path, scope):
+    posts, users = network(spark)
+    late = post("late", "u0", 61.5, replied="root1", ingest=90)
+    earlier = post("early", "u1", 35.5, replied="root2", ingest=91)
+    runner = ScoreRunner(spark, str(tmp_path), scope)
+    runner.full(posts, users)
+    first = runner.table.state()
+    posts = posts.unionByName(tables(spark, [late], [])[0])
+    runner.incremental(posts, users)
+    second = runner.table.state()
+    new = [p for p, v in second["places"].items() if v != first["places"].get(p)]
+    assert len(new) == 1 and new[0].startswith("202408-") and second["rows"] == 91
+    assert difference(runner.table.read(), decay_scores(posts, users, scope)).isEmpty()
+    posts = posts.unionByName(tables(spark, [earlier], [])[0])
+    runner.incremental(posts, users)
+    third = runner.table.state()
+    assert all(v == second["places"][p] for p, v in third["places"].items() if p.startswith("202406-"))
+    assert difference(runner.table.read(), decay_scores(posts, users, scope)).isEmpty() and third["rows"] == 92
+    runner.table.clear(keep=1)  # versions that hold parts of the latest stay
+    assert runner.table.read().count() == 92
+    # seen again without a change: the watermark moves, nothing is written
+    again = posts.withColumn("updated_at", F.when(F.col("post_id") == "late", F.lit(at(95))).otherwise(F.col("updated_at")))
+    runner.incremental(again, users)
+    assert runner.table.state()["places"] == third["places"] and runner.table.state()["since"] == at(95)
+
+
+def test_tables_without_rows_are_published_and_read(spark, tmp_path):
+    posts, users = network(spark)
+    runner = ScoreRunner(spark, str(tmp_path))
+    runner.full(posts.where("false"), users)
+    assert runner.table.read().count() == 0 and runner.table.state()["rows"] == 0
+    with pytest.raises(SinkError):  # rows outside the parts that they are said to be
+        runner.table.publish(decay_scores(posts, users), None, None, "x", 1, after=runner.table.state()["version"], parts=["202406-0"])
+
+
 def test_a_failed_run_moves_no_watermark(spark, tmp_path):
     posts, users = network(spark)
     runner = ScoreRunner(spark, str(tmp_path), "global")
