@@ -79,7 +79,35 @@ def chat(arguments: dict[str, list[tuple[str, list[str]]]]) -> str:
       from results r left join judged j on j.conv_id = r.conv_id and j.id = r.id and j.nth = 1"""
 
 
+def audit() -> str:
+    """Every order and step of the five filters, each counted from the documents' sets of failures."""
+    texts = "select doc_id, coalesce(text, '') as text, coalesce(lang, '') as part from documents"
+    words = "list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
+    passes = " and ".join(f"(step <= {k} or not contains(fails, substr(filter_order, {k}, 1)))" for k in range(1, 5))
+    return f"""
+      with recursive texts as ({texts}),
+      firsts as (select text, min(doc_id) as least from texts group by 1),
+      known as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by 1),
+      judged as (
+        select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+               case when len(words) < 200 then 'A' else '' end || case when 100 * len(list_distinct(words)) < 50 * len(words) then 'B' else '' end
+               || case when 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) then 'C' else '' end
+               || case when regexp_matches(text, '[#$%&*|]') then 'D' else '' end || case when doc_id > least then 'E' else '' end as fails
+        from (select t.*, least, {words} as words from texts t join firsts f using (text)) left join known using (doc_id)),
+      cells as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from judged group by 1, 2),
+      orders(filter_order) as (select '' union all select filter_order || l from orders join (select unnest(['A', 'B', 'C', 'D', 'E']) as l) on not contains(filter_order, l)),
+      steps as (select filter_order, s as step, substr(filter_order, s, 1) as f from orders, range(1, 6) r(s) where length(filter_order) = 5),
+      removals as (
+        select part, filter_order, cast(step as int) as step, f, sum(n) as total, sum(case when contains(fails, f) then n else 0 end) as failing, sum(case when fails = f then n else 0 end) as alone,
+               sum(case when contains(fails, f) and {passes} then n else 0 end) as removed, sum(case when contains(fails, f) and {passes} then good else 0 end) as good_lost,
+               sum(case when contains(fails, f) and {passes} then toxic else 0 end) as toxic_lost from cells cross join steps group by 1, 2, 3, 4)
+      select part, filter_order, step, cast(total - sum(removed) over (partition by part, filter_order order by step) as bigint) as kept, cast(removed as bigint) as removed,
+             cast(failing - removed as bigint) as redundant, cast(alone as bigint) as unique_fails, cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+             cast(sum(removed) over (partition by part, f) as bigint) as shapley from removals"""
+
+
 SQL = {
+    "op12_filter_audit": audit(),
     "op5_epsilon_grid": """
       with recursive good as (
         select vec_id, label, cast(embedding as double[]) as e from embeddings

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import chat, decontaminate, embeddings, langid, mixing, oracles, quality, secrets, sharding, simhash, span_dedup
+from plumbline.llm import chat, decontaminate, embeddings, filter_audit, langid, mixing, neighbours, oracles, quality, secrets, sharding, simhash, span_dedup, whitening
 from plumbline.llm.common import cut, table
 
 SHARDS = [1.0] * 24
@@ -130,9 +130,22 @@ def op10_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", quality.held_out().alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_tiled_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_decontaminate, op2_span_dedup, op3_chat_format, op4_simhash_dedup, op5_epsilon_grid, op6_rendezvous_shards,
-    op7_secret_forest, op8_language_id, op9_poisson_mix, op10_rule_ensemble,
+    op7_secret_forest, op8_language_id, op9_poisson_mix, op10_rule_ensemble, op11_tiled_whitening, op12_filter_audit, op13_learned_partitions,
 ]
 
 
