@@ -49,6 +49,10 @@ def decay(
     project scope (type GLOBAL_DECAY), 1.0 in global scope (type NEW_AUTHOR); 0.9 in global scope is the
     stricter rule that incremental global runs may use. active_multipliers adds the multipliers that are
     active after the reply, its own last; it holds a replier's history per row, so it is off by default.
+
+    A tail is scored from what is stored before it: rows whose ``_stored`` column holds a decay type keep that type, count
+    for the others, and aren't returned; ``_older`` says how many replies of the replier come before the rows that are given.
+    A tail needs all rows of its replier from one window length before its first row on.
     """
     if scope not in ("project", "global"):
         raise ValueError(f"unknown scope: {scope}")
@@ -57,6 +61,7 @@ def decay(
     span = int(reset / timedelta(microseconds=1))
 
     rows = replies.withColumn("_t", micros("post_created_at"))
+    tail = "_stored" in rows.columns
     by_row = Window.partitionBy(*keys).orderBy("_t", "reply_post_id")
     expired = Window.partitionBy(*keys).orderBy("_t").rangeBetween(Window.unboundedPreceding, -span)
     author_row = Window.partitionBy(*keys, "original_author_x_id").orderBy("_t", "reply_post_id")
@@ -64,15 +69,16 @@ def decay(
     one = F.lit(1)
     rows = rows.withColumns(
         {
-            "reply_number": F.row_number().over(by_row),
+            "_row": F.row_number().over(by_row),
             "_gone": F.count(one).over(expired),
             "local_reply_count": (F.row_number().over(author_row) - F.count(one).over(author_expired)).cast("int"),
         }
     )
-    active = F.col("reply_number") - 1 - F.col("_gone")
+    active = F.col("_row") - 1 - F.col("_gone")
     far = "GLOBAL_DECAY" if other != 1.0 else "NEW_AUTHOR"
     kind = F.when(active == 0, "FIRST_REPLY").when(F.col("local_reply_count") > 1, "LOCAL_DECAY").otherwise(far)
-    rows = rows.withColumn("decay_type", kind)
+    rows = rows.withColumn("decay_type", F.coalesce("_stored", kind) if tail else kind)
+    rows = rows.withColumn("reply_number", (F.col("_row") + F.coalesce("_older", F.lit(0))).cast("int") if tail else F.col("_row"))
     rows = rows.withColumn("_m", F.when(F.col("decay_type") == "LOCAL_DECAY", LOCAL).when(F.col("decay_type") == far, other).otherwise(1.0))
 
     def active_count(multiplier: float) -> Column:
@@ -91,8 +97,10 @@ def decay(
     extra = []
     if active_multipliers:
         history = F.collect_list("_m").over(by_row.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("active_multipliers", F.slice(history, (F.col("_gone") + 1).cast("int"), (F.col("reply_number") - F.col("_gone")).cast("int")))
+        rows = rows.withColumn("active_multipliers", F.slice(history, (F.col("_gone") + 1).cast("int"), (F.col("_row") - F.col("_gone")).cast("int")))
         extra = ["active_multipliers"]
+    if tail:
+        rows = rows.where("_stored is null")
     return rows.select(*keys[:-1], *COLUMNS, *extra)
 
 
