@@ -1,10 +1,10 @@
-"""Base tables laid out by the day on which their rows came, so that what is new is found by reading its days only."""
+"""Base tables laid out by the day or month in which their rows came, so that what is new is found by reading only that."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,36 +24,47 @@ def came(df: DataFrame) -> Column:
 class IngestTable:
     """Rows of ``keys``, appended as they come under ``path``; a changed row comes again and its latest version counts
     (of versions of one time, any one of those that are equal in it; they should not differ). Rows without a time of
-    creation are kept with the first day and are never new."""
+    creation are kept with the first day and are never new. every: ``day``, or ``month`` for folders named by its first day."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str]):
-        self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, keys
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: list[str], every: str = "day"):
+        if every not in ("day", "month"):
+            raise ValueError(f"unknown period: {every}")
+        self.spark, self.path, self.schema, self.keys, self.every = spark, path.rstrip("/"), schema, keys, every
 
     def add(self, rows: DataFrame) -> None:
-        day = F.coalesce(came(rows).cast("date"), F.lit("0001-01-01").cast("date"))
+        day = came(rows).cast("date") if self.every == "day" else F.trunc(came(rows).cast("date"), "month")
+        day = F.coalesce(day, F.lit("0001-01-01").cast("date"))
         laid = rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema]).withColumn(DAY, day)
         laid.hint("rebalance", DAY).write.mode("append").partitionBy(DAY).parquet(self.path)
 
-    def _rows(self) -> DataFrame:
+    def _days(self) -> dict[date, str]:
+        """The days that there are, from one listing of the folder."""
         at = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+        return {date.fromisoformat(n.split("=", 1)[1]): f"{self.path}/{n}" for n in names if n.startswith(f"{DAY}=")}
+
+    def _rows(self, days: dict[date, str]) -> DataFrame:
         schema = StructType([*self.schema.fields]).add(DAY, "date")
-        if not at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at):
+        if not days:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path)
+        return self.spark.read.schema(schema).option("basePath", self.path).parquet(*[days[d] for d in sorted(days)])
 
     def latest(self) -> datetime | None:
-        """The time at which the last row came; only the last day's rows are read."""
-        rows = self._rows()
-        day = rows.agg(F.max(DAY)).first()[0]  # of the folders' names
-        return None if day is None else rows.where(F.col(DAY) == F.lit(day)).agg(F.max(came(rows))).first()[0]
+        """The time at which the last row came; only the rows of the last folder are read."""
+        days = self._days()
+        rows = self._rows({d: p for d, p in days.items() if d == max(days)})
+        return rows.agg(F.max(came(rows))).first()[0] if days else None
 
     def since(self, after: datetime | None, until: datetime | None) -> DataFrame:
-        """The latest versions of the rows that came after ``after`` and by ``until``. The days are a filter on folders."""
-        rows = self._rows()
+        """The latest versions of the rows that came after ``after`` and by ``until``. Folders of other days aren't opened."""
+        low, high = after.date() if after else date.min, until.date() if until else date.max
+        low = low.replace(day=1) if self.every == "month" else low
+        rows = self._rows({d: p for d, p in self._days().items() if low <= d <= high})
         if after is not None:
-            rows = rows.where((F.col(DAY) >= F.lit(after.date())) & (came(rows) > F.lit(after)))
+            rows = rows.where((F.col(DAY) >= F.lit(low)) & (came(rows) > F.lit(after)))
         if until is not None:
-            rows = rows.where((F.col(DAY) <= F.lit(until.date())) & F.coalesce(came(rows) <= F.lit(until), F.lit(True)))
+            rows = rows.where((F.col(DAY) <= F.lit(high)) & F.coalesce(came(rows) <= F.lit(until), F.lit(True)))
         return self._current(rows.drop(DAY))
 
     def _current(self, rows: DataFrame) -> DataFrame:
