@@ -12,6 +12,7 @@ from plumbline.functions.numeric import exact_sum, ratio, round_n, stable_mean
 from plumbline.functions.time import at, within
 from plumbline.operators.leaderboard import user_weight
 from plumbline.operators.metrics import first_contributions, of_project, own_posts, smart_reach
+from plumbline.operators.ranks import numbered
 
 
 def _count(condition: Column) -> Column:
@@ -73,7 +74,7 @@ def project_users(
         round_n("_mean", 2).alias("average_unique_engagers_score"), "unique_reach", "reach", F.coalesce("smart_reach", F.lit(0.0)).alias("smart_reach"),
         round_n("_content", 2).alias("average_content_score"), round_n("_p90", 2).alias("average_p90"), round_n(score, 3).alias("influence_score"),
     )
-    return full.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("influence_score"), "x_id")))
+    return numbered(full, [F.desc("influence_score"), F.col("x_id")])
 
 
 def sort_value(key: str) -> Column:

@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from plumbline.functions.numeric import round_n
 from plumbline.operators import analytics, decay, features, leaderboard, metrics
 from plumbline.plans import refresh
+from plumbline.plans.kept import KeptEngagement
 from plumbline.plans.lineage import Lineage
+from plumbline.plans.tail import TailScores
+from plumbline.sources.ingest import IngestTable, scratch
 from plumbline.sources.sample import portable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,6 +301,72 @@ def features_users(t: Lineage) -> DataFrame:
     return rounded(t.user_features)
 
 
+LATE, NET_LATE = datetime(2001, 10, 1), datetime(2024, 1, 25)
+
+
+def based(t: Lineage, layer: str, late: datetime, network: bool) -> tuple[str, IngestTable, IngestTable, DataFrame]:
+    """A new folder with base tables by ingest of what was there by ``late``, and the posts that came since. The last of the
+    users come with those."""
+    posts = getattr(t, layer)
+    spark = posts.sparkSession
+    root = scratch(spark)
+    base = IngestTable(spark, f"{root}/posts", posts.schema, ["post_id"] if network else ["project_keyword", "post_id"], every="day" if network else "month")
+    users = IngestTable(spark, f"{root}/users", t.users.schema, ["x_id"])
+    early = F.greatest("created_at", "updated_at") <= F.lit(late)
+    base.add(posts.where(early))
+    users.add(t.users)
+    return root, base, users, posts.where(~early)
+
+
+def tail_kept(t: Lineage, layer: str, scope: str, late: datetime) -> DataFrame:
+    """Scores of what was there by ``late``, written, then brought up to date from what came since."""
+    root, posts, users, rest = based(t, layer, late, scope == "global")
+    kept = TailScores(rest.sparkSession, root, scope, buckets=1, link_buckets=16)
+    kept.run(posts, users)
+    posts.add(rest)
+    kept.run(posts, users)
+    return kept.scores()
+
+
+@query(lambda: f"{on('scores')} select * from scores")
+def decay_tail(t: Lineage) -> DataFrame:
+    """Stored scores and a replay of the tails that the last month's posts touch: equal to a full build."""
+    return tail_kept(t, "posts", "project", LATE)
+
+
+@query(lambda: f"{on('gscores')} select * from gscores")
+def decay_tail_global(t: Lineage) -> DataFrame:
+    """The same over the whole network, with the posts of the last days."""
+    return tail_kept(t, "user_posts", "global", NET_LATE)
+
+
+def engagement_kept_of(t: Lineage, layer: str, scope: str, late: datetime) -> KeptEngagement:
+    root, posts, users, rest = based(t, layer, late, scope == "network")
+    kept = KeptEngagement(rest.sparkSession, root, scope, buckets=8)
+    kept.run(posts, users)
+    posts.add(rest)
+    kept.run(posts, users)
+    return kept
+
+
+@query(lambda: f"{on('engagement')} select * from engagement")
+def engagement_kept(t: Lineage) -> DataFrame:
+    """The engagement table of all projects, written and then refreshed with the last month's posts."""
+    return engagement_kept_of(t, "posts", "project", LATE).engagement()
+
+
+@query(lambda: f"{on('engagement')} select project_keyword, {FEATURE_KEYS}, {FEATURES} from {features_sql('engagement', 'hour', True)}")
+def features_kept(t: Lineage) -> DataFrame:
+    """The features that are kept with it."""
+    return rounded(engagement_kept_of(t, "posts", "project", LATE).features())
+
+
+@query(lambda: f"{on('user_features')} select {FEATURE_KEYS}, {FEATURES} from user_features")
+def features_kept_network(t: Lineage) -> DataFrame:
+    """The features of the whole network, written and then refreshed with the posts of the last days."""
+    return rounded(engagement_kept_of(t, "user_posts", "network", NET_LATE).features())
+
+
 @query(lambda: f"{on('user_features')} select {FEATURE_KEYS}, {FEATURES} from user_features")
 def features_incremental(t: Lineage) -> DataFrame:
     variant = {"burst": "59:59", "distinct_participants": True, "prev_overlap": True}

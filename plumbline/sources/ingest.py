@@ -75,13 +75,26 @@ class IngestTable:
         return kept.agg(F.max_by("row", F.coalesce("_t", F.lit(0))).alias("row")).select("row.*")
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder for tables on the way, below the session's ``spark.checkpoint.dir``. Without that setting one on this
-    machine is taken, if Spark runs on this machine alone; on a cluster that is an error."""
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``, which driver and executors share. Without that setting one on this machine is
+    taken, if Spark runs on this machine alone; on a cluster that is an error."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
-    return f"{folder}/tables-{uuid.uuid4().hex}"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def scratch(spark: SparkSession) -> str:
+    """The name of a new folder for tables on the way, in the shared folder."""
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` as written to the shared folder; its lineage ends there."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
