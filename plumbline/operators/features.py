@@ -7,10 +7,13 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.numeric import round_n
 from plumbline.functions.time import micros
+from plumbline.sources.ingest import cut
 
 HOUR_US = 3_600_000_000
 #: How far back, in an author's posts, an engager counts as one of the old audience.
 LOOK_BACK = 100
+#: The hour of rows without a time.
+UNTIMED = -(1 << 40)
 
 COLUMNS = [
     "root_post_id", "root_user_id", "root_username", "root_tweet_created_at", "total_engagements", "burst_concentration", "duration_days_p90",
@@ -18,19 +21,60 @@ COLUMNS = [
 ]
 
 
-def features(engaged: DataFrame, burst: str = "sliding", distinct_participants: bool = False, prev_overlap: bool = False, unknown_return: bool = True) -> DataFrame:
-    """One row a root post of ``engaged`` (an engagement table; of all its projects if it has project_keyword).
+def _hour_peaks(rows: DataFrame, hour: list[str], burst: str) -> DataFrame:
+    """By post and clock hour: rows, rows with a time, the first of these, and the fullest burst that starts in the hour, as
+    a struct that orders bursts: the number of rows, then the earlier start."""
+    if burst == "hour":
+        start = F.when(F.col("_hour") != UNTIMED, -F.col("_hour") * HOUR_US)
+        out = rows.groupBy(*hour).agg(F.count(F.lit(1)).alias("_all"), F.count("_t").alias("_timed"), F.min("_t").alias("_first"))
+        return out.withColumn("_peak", F.struct(F.col("_timed").alias("n"), start.alias("s")))
+    width = HOUR_US if burst == "sliding" else HOUR_US - 1_000_000
+    # a burst that starts in an hour ends in it or in the next one, whose rows stand in both
+    both = F.when(F.col("_hour") == UNTIMED, F.array("_hour")).otherwise(F.array(F.col("_hour"), F.col("_hour") - 1))
+    laid = rows.select(*hour[:-1], "_t", F.col("_hour").alias("_own"), F.explode(both).alias("_hour"))
+    n = F.count(F.lit(1)).over(Window.partitionBy(*hour).orderBy("_t").rangeBetween(Window.currentRow, width))
+    own = laid.withColumn("_n", n).where(F.col("_own") == F.col("_hour"))
+    return own.groupBy(*hour).agg(
+        F.count(F.lit(1)).alias("_all"), F.count("_t").alias("_timed"), F.min("_t").alias("_first"), F.max(F.struct(F.col("_n").alias("n"), (-F.col("_t")).alias("s"))).alias("_peak")
+    )
 
-    burst: ``sliding`` (the 3600 s from each engagement on), ``59:59`` (3599 s) or ``hour`` (clock hours; roots
-    without a time have none). distinct_participants: an engager counts once a burst. prev_overlap: also the
-    share that came from the post right before. unknown_return: posts without an engager count as each other's
-    audience; with False they don't, which is what a join of engagers would give.
-    """
-    if burst not in ("sliding", "59:59", "hour"):
-        raise ValueError(f"unknown burst: {burst}")
-    keys = ["project_keyword"] if "project_keyword" in engaged.columns else []
-    post, author = [*keys, "root_post_id"], [*keys, "root_user_id"]
-    root = [*post, "root_user_id", "root_username", "root_tweet_created_at"]
+
+def _by_post(rows: DataFrame, peaks: DataFrame, post: list[str]) -> DataFrame:
+    """One row a post: engagements, share of the fullest burst and its start, days to the 90th percentile. The percentile lies
+    between two rows; counts by hour tell which hours hold them, and only these are sorted."""
+    place = F.lit(0.9) * (F.col("_n") - 1)
+    low, high = F.floor(place), F.ceil(place)
+    by_post = Window.partitionBy(*post)
+    before = F.coalesce(F.sum("_timed").over(by_post.orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = peaks.select(*post, "_hour", "_timed").withColumns({"_before": before, "_n": F.sum("_timed").over(by_post)})
+    holds = lambda at: (at >= F.col("_before")) & (at < F.col("_before") + F.col("_timed"))
+    wanted = placed.where(holds(low) | holds(high)).select(*post, "_hour", "_before", low.alias("_low"), high.alias("_high"))
+    row = F.row_number().over(Window.partitionBy(*post, "_hour").orderBy("_t")) - 1 + F.col("_before")
+    found = rows.select(*post, "_hour", "_t").join(wanted, [*post, "_hour"]).withColumn("_row", row)
+    ends = found.groupBy(*post).agg(*[F.max(F.when(F.col("_row") == F.col(at), F.col("_t"))).alias(k) for k, at in (("_lo", "_low"), ("_hi", "_high"))])
+    whole = peaks.groupBy(*post).agg(F.sum("_all").alias("total_engagements"), F.sum("_timed").alias("_n"), F.min("_first").alias("_first"), F.max("_peak").alias("_peak"))
+    p90 = F.floor(F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (place - low) + 0.5)
+    return whole.join(ends, post, "left").select(
+        *post, "total_engagements", (F.coalesce("_peak.n", F.lit(0)).cast("double") / F.col("total_engagements")).alias("burst_concentration"),
+        ((p90 - F.col("_first")) / 1e6 / 86400.0).alias("duration_days_p90"), (-F.col("_peak.s")).alias("_peak_start"),
+    )
+
+
+def _pairs_by_hour(base: DataFrame, post: list[str], burst: str) -> tuple[DataFrame, DataFrame]:
+    """Who came how often in the fullest burst, by post and engager, and a table of what is known of the posts."""
+    rows = base.select(*post, "engaged_user_id", "_t", F.coalesce(F.floor(F.col("_t") / F.lit(float(HOUR_US))), F.lit(UNTIMED)).alias("_hour"))
+    hour = [*post, "_hour"]
+    posts = cut(_by_post(rows, _hour_peaks(rows, hour, burst), post))
+    # the hours that a burst meets
+    first = F.floor(F.col("_peak_start") / HOUR_US)
+    meets = posts.where("_peak_start is not null").select(*post, "_peak_start", F.explode(F.array(first, first + 1)).alias("_hour"))
+    in_burst = (F.col("_t") >= F.col("_peak_start")) & (F.col("_t") < F.col("_peak_start") + HOUR_US)
+    marked = rows.join(meets, hour, "left").withColumn("_in", F.coalesce(in_burst, F.lit(False)))
+    return marked.groupBy(*post, "engaged_user_id").agg(F.sum(F.col("_in").cast("long")).alias("_times")), posts
+
+
+def _pairs_by_post(engaged: DataFrame, post: list[str], root: list[str], burst: str) -> tuple[DataFrame, list[str]]:
+    """Who came how often in the fullest burst, by post and engager, with what is known of the post (the second value)."""
     base = engaged.select(*root, "engaged_user_id", micros("engaged_tweet_created_at").alias("_t"))
     per_post = Window.partitionBy(*post)
     in_time = per_post.orderBy("_t")
@@ -63,9 +107,34 @@ def features(engaged: DataFrame, burst: str = "sliding", distinct_participants:
     # who came how often, by post and engager, with what is known of the post
     known = [*root, "total_engagements", "burst_concentration", "duration_days_p90"]
     pairs = base.groupBy(*known, "engaged_user_id").agg(F.sum(F.col("_in").cast("long")).alias("_times"))
+    return pairs, known
+
+
+def features(engaged: DataFrame, burst: str = "sliding", distinct_participants: bool = False, prev_overlap: bool = False, unknown_return: bool = True, by_hour: bool = False) -> DataFrame:
+    """One row a root post of ``engaged`` (an engagement table; of all its projects if it has project_keyword).
+
+    burst: ``sliding`` (the 3600 s from each engagement on), ``59:59`` (3599 s) or ``hour`` (clock hours; roots
+    without a time have none). distinct_participants: an engager counts once a burst. prev_overlap: also the
+    share that came from the post right before. unknown_return: posts without an engager count as each other's
+    audience; with False they don't, which is what a join of engagers would give. by_hour: the same result by tasks that hold
+    clock hours of a post and not all of it, for tables in which one post may hold a large share of the rows; the
+    engagements are written on the way, and it takes about one and a half times as long where there are no such posts.
+    """
+    if burst not in ("sliding", "59:59", "hour"):
+        raise ValueError(f"unknown burst: {burst}")
+    keys = ["project_keyword"] if "project_keyword" in engaged.columns else []
+    post, author = [*keys, "root_post_id"], [*keys, "root_user_id"]
+    root = [*post, "root_user_id", "root_username", "root_tweet_created_at"]
     rank = F.row_number().over(Window.partitionBy(*author).orderBy("root_tweet_created_at", "root_post_id"))
-    ranks = engaged.select(*post, "root_user_id", "root_tweet_created_at").distinct().select(*post, rank.alias("_rank"))
-    seen = pairs.join(ranks, post)
+    if by_hour:
+        base = cut(engaged.select(*root, "engaged_user_id", micros("engaged_tweet_created_at").alias("_t")))
+        pairs, posts = _pairs_by_hour(base, post, burst)
+        roots = base.select(*root).distinct().withColumn("_rank", rank)
+        seen, known = pairs.join(roots.select(*post, "root_user_id", "_rank"), post), post
+    else:
+        pairs, known = _pairs_by_post(engaged, post, root, burst)
+        ranks = engaged.select(*post, "root_user_id", "root_tweet_created_at").distinct().select(*post, rank.alias("_rank"))
+        seen = pairs.join(ranks, post)
     # by author and engager, not by author: the audience of a large account is spread over tasks
     by_engager = Window.partitionBy(*author, "engaged_user_id")
     last = F.lag("_rank").over(by_engager.orderBy("_rank"))
@@ -81,6 +150,8 @@ def features(engaged: DataFrame, burst: str = "sliding", distinct_participants:
         (share(F.col("_last") == F.col("_rank") - 1) if prev_overlap else F.lit(0.0)).alias("prev_post_overlap"),
         (F.sum(F.col("_weight") * F.col("_again")) / F.sum("_weight")).alias("_recurrence"),
     )
+    if by_hour:  # names and what is known of the post come last
+        out = out.join(posts.drop("_peak_start"), post).join(roots.drop("_rank"), post)
     one = F.lit(1.0)
     coordinated = F.col("burst_concentration") * F.least(F.coalesce("_recurrence", F.lit(0.0)) / 3.0, one)
     out = out.withColumn("coordinated_burst", coordinated)

@@ -290,6 +290,12 @@ def features_hourly(t: Lineage) -> DataFrame:
     return rounded(t.hourly_features)
 
 
+@query(lambda: f"{on('features')} select project_keyword, {FEATURE_KEYS}, {FEATURES} from features")
+def features_by_hour(t: Lineage) -> DataFrame:
+    """Sliding bursts by tasks that hold hours of posts."""
+    return rounded(features.features(t.engagement, by_hour=True))
+
+
 @query(lambda: f"{on('engagement')} select project_keyword, {FEATURE_KEYS}, {FEATURES} from {features_sql('engagement', 'sliding', True, prev=True)}")
 def features_previous(t: Lineage) -> DataFrame:
     """Sliding bursts with the overlap of each post's audience with that of the post right before."""
