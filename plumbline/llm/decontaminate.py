@@ -4,11 +4,11 @@
    which has at least 16 bits for each of them, up to ``MAX_BITS``; what passes by chance falls out in the
    join. Seeds that lie close together in a text are one passage, cut out with as many words around it as
    the longest item has. Passages of the same words are one, however many documents hold them.
-2. The seeds are counted over distinct passages. Of neighbouring seeds of a passage (``window`` places to
-   either side) those are used that are at most ``common`` times as frequent as the rarest of them. So each
-   passage keeps its own rarest seeds, whatever other passages hold, and a common phrase beside rarer ones
-   seeds nothing.
-3. Passages meet items over rare seeds. Pairs that share too few words to reach the threshold go, the others
+2. The seeds are counted over distinct passages, and passages meet items over them. Of neighbouring seeds that a
+   passage shares with one item (``window`` places to either side) those are used that are at most ``common`` times
+   as frequent as the rarest of them. So each passage keeps the rarest seeds of each item, whatever other passages
+   hold and whatever other items it holds seeds of; a common phrase beside rarer ones of its item seeds nothing.
+3. What has a seed left is aligned. Pairs that share too few words to reach the threshold go, the others
    are aligned word by word (match +2, other word -1, gap -1). The score is the best local alignment over
    that of the whole item with itself.
 
@@ -203,7 +203,7 @@ def matches(docs: DataFrame, items: DataFrame, n: int = 3, window: int = 4, comm
 
     Words are runs of letters, digits and underscores in lower case, whatever stands between them. Items of
     equal text count as one, the smallest item_id. Items and documents without a word, and null texts, match
-    nothing. An item of ``n`` words or more is found where ``n`` of its words in a row are unchanged; one of
+    nothing; items without item_id are left out, unless one of the same text has one. An item of ``n`` words or more is found where ``n`` of its words in a row are unchanged; one of
     fewer words, where all of them stand in a row. Rows without doc_id are left out; repeated rows give one
     result. Other columns are not read. Empty tables give an empty result.
     """
@@ -222,10 +222,10 @@ def matches(docs: DataFrame, items: DataFrame, n: int = 3, window: int = 4, comm
     # written before they are joined: two plain shuffles are what adaptive execution can split at a frequent seed
     hits = cut(passages.select("passage", F.inline("hits")).join(cut(grams.select("seed").distinct()), "seed", "left_semi"))
     seen = cut(hits.select("passage", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("seen")))
-    near = Window.partitionBy("passage").orderBy("at").rangeBetween(1 - window, window - 1)  # as many rows as a passage has words
-    rare = hits.join(seen, "seed").withColumn("_least", F.min("seen").over(near)).where(F.col("seen") <= common * F.col("_least"))
-    rare = cut(rare.select("passage", "seed").distinct())
-    met = rare.join(grams.select("item", "seed"), "seed").select("passage", "item").distinct()
+    # rarity is by passage and item: seeds of one item never hide those of another
+    near = Window.partitionBy("passage", "item").orderBy("at").rangeBetween(1 - window, window - 1)  # as many rows as a passage has words
+    shares = cut(hits.join(seen, "seed")).join(grams.select("item", "seed"), "seed")
+    met = cut(shares.withColumn("_least", F.min("seen").over(near)).where(F.col("seen") <= common * F.col("_least")).select("passage", "item").distinct())
     pairs = met.join(items.select("item", "text"), "item").join(passages.select("passage", "words"), "passage")
     scored = pairs.select("passage", "words", "item", "text").mapInPandas(_aligned(threshold), "passage string, item_id long, score double, start long, end long")
     scored = scored.where(F.col("score") >= threshold)

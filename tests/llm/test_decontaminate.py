@@ -141,3 +141,35 @@ def test_a_lone_edited_copy_among_exact_ones_keeps_its_seeds(spark):
     docs = [(k, make(20, 50 + k) + " " + item) for k in range(40)] + [(99, make(40, 7) + " " + " ".join(edited))]
     found = {r["doc_id"] for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame([(1, item)], ITEM)).collect()}
     assert found == {*range(40), 99}
+
+
+def test_rarer_seeds_of_another_item_hide_no_leak(spark):
+    items = spark.createDataFrame([(1, "a b c d"), (2, "c d e f g h")], ITEM)
+    docs = [(k, f"x{k} a b c d y{k}") for k in range(12)] + [(50, "a b c d e f g h")]
+    found = {(r["doc_id"], r["item_id"]): r["score"] for r in d.matches(spark.createDataFrame(docs, DOC), items).collect()}
+    assert found[50, 1] == 1.0 and found[50, 2] == 1.0 and {(k, 1) for k in range(12)} <= set(found)
+    first = "solve the following equation for the unknown value now"
+    items = spark.createDataFrame([(1, first), (2, "unknown value now equals seven times pi over two plus one")], ITEM)
+    edit = "solve the zed equation for foo unknown value now"
+    docs = [(k, f"p{k} q{k} {edit} r{k}") for k in range(12)] + [(50, edit + " equals seven")]
+    kept = d.remove(spark.createDataFrame(docs, DOC), items)
+    assert kept.isEmpty()
+
+
+def test_items_that_overlap_equal_brute_force_over_any_three_words(spark):
+    rng = random.Random(12)
+    items = [(k, " ".join(f"w{rng.randrange(12)}" for _ in range(rng.randint(3, 9)))) for k in range(15)]
+    docs = []
+    for k in range(60):
+        parts = []
+        for _ in range(3):
+            words = rng.choice(items)[1].split()
+            parts += [w if rng.random() > 0.2 else f"w{rng.randrange(12)}" for w in words] + [f"n{k}"] * rng.randrange(3)
+        docs.append((k, " ".join(parts)))
+    grams = lambda t: {tuple(t[i : i + 3]) for i in range(len(t) - 2)}
+    by_text = {t: i for i, t in sorted(items, reverse=True)}
+    want = {(i, j) for i, t in docs for u, j in by_text.items() if grams(t.split()) & grams(u.split()) and smith_waterman(t.split(), u.split()) >= len(u.split())}
+    got = {(r["doc_id"], r["item_id"]) for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM), common=1e12).collect()}
+    assert got == want
+    rare = {(r["doc_id"], r["item_id"]) for r in d.matches(spark.createDataFrame(docs, DOC), spark.createDataFrame(items, ITEM)).collect()}
+    assert rare <= want and len(rare) > 0.95 * len(want)
