@@ -32,6 +32,8 @@ from plumbline.llm.common import cut
 
 WORD = re.compile(r"\w+")
 MATCH, OTHER, GAP = 2, -1, -1
+PASSAGE = ["doc_id", "first_word", "passage", "words", "hits"]
+CHARACTERS = 2_000_000  # of passages that a worker holds before it hands them on
 MAX_BITS = 30  # a filter of 128 MB at most; a larger benchmark lets more pass by chance, and loses nothing
 
 
@@ -115,8 +117,11 @@ def _passages(shared, sizes: list[int], bits: int, around: int):
         flat, hasher = shared.value, Hasher()
         mask = np.uint64((1 << bits) - 1)
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+                if held > CHARACTERS:
+                    yield pd.DataFrame(rows, columns=PASSAGE)
+                    rows, held = [], 0
                 words = words_of(text)
                 hashes = hasher.words(words)
                 found = []
@@ -136,8 +141,9 @@ def _passages(shared, sizes: list[int], bits: int, around: int):
                 for a, b in zip(edges, edges[1:], strict=False):
                     first = max(0, int(at[a]) - around)
                     part = " ".join(words[first : int(at[b - 1]) + max(sizes) + around])
+                    held += len(part)
                     rows.append((doc, first, xxhash.xxh3_128_hexdigest(part.encode("utf-8", "surrogatepass")), part, [{"at": p - first, "seed": s} for p, s in found[a:b]]))
-            yield pd.DataFrame(rows, columns=["doc_id", "first_word", "passage", "words", "hits"])
+            yield pd.DataFrame(rows, columns=PASSAGE)
 
     return run
 
@@ -224,7 +230,7 @@ def matches(docs: DataFrame, items: DataFrame, n: int = 3, window: int = 4, comm
     seen = cut(hits.select("passage", "seed").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("seen")))
     # rarity is by passage and item: seeds of one item never hide those of another
     near = Window.partitionBy("passage", "item").orderBy("at").rangeBetween(1 - window, window - 1)  # as many rows as a passage has words
-    shares = cut(hits.join(seen, "seed")).join(grams.select("item", "seed"), "seed")
+    shares = hits.join(seen, "seed").join(grams.select("item", "seed"), "seed")
     met = cut(shares.withColumn("_least", F.min("seen").over(near)).where(F.col("seen") <= common * F.col("_least")).select("passage", "item").distinct())
     pairs = met.join(items.select("item", "text"), "item").join(passages.select("passage", "words"), "passage")
     scored = pairs.select("passage", "words", "item", "text").mapInPandas(_aligned(threshold), "passage string, item_id long, score double, start long, end long")
