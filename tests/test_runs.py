@@ -140,6 +140,34 @@ def test_a_stream_in_time_order_scores_like_a_batch(spark, tmp_path):
     assert got == want
 
 
+def test_entries_of_a_silent_replier_go_and_its_number_stays(spark, tmp_path):
+    roots = [post(f"root{k}", f"a{k}", -1) for k in range(3)]
+    rows = [post("s1", "silent", 1, replied="root0"), post("s2", "silent", 2, replied="root0"), post("l1", "loud", 2, replied="root1")]
+    rows += [post("l2", "loud", 40, replied="root2"), post("l3", "loud", 41, replied="root1"), post("s3", "silent", 60, replied="root0")]
+    posts, users = tables(spark, roots + rows, [user("silent", 50), user("loud", 70)])
+    source = reply_source(posts, users)
+    t = source.post_created_at
+    early = stream_of(spark, source, str(tmp_path), [t <= at(3), (t > at(3)) & (t < at(40.5)), (t > at(40.5)) & (t < at(50))])
+
+    def run(stream):
+        out = stream.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True)
+        out.start().awaitTermination()
+
+    run(score_stream(early))
+
+    def held(name):
+        found = spark.read.format("statestore").option("path", f"{tmp_path}/state").option("stateVarName", name).load()
+        return sorted({r["key"]["replier_x_id"] for r in found.collect()})
+
+    assert held("entries") == ["loud"] and held("number") == ["loud", "silent"]
+    source.where(t > at(50)).coalesce(1).write.parquet(f"{tmp_path}/in/9")
+    last = spark.readStream.schema(source.schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    run(score_stream(last))
+    got = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    want = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in decay_scores(posts, users).collect()}
+    assert got == want and want["s3"][1:] == ("FIRST_REPLY", 3)
+
+
 def test_bursts_are_sent_when_the_hour_is_over(spark, tmp_path):
     rows = [("x", at(0)), ("x", at(0.01)), ("x", at(0.5)), ("y", at(3))]
     df = spark.createDataFrame(rows, "root_post_id string, engaged_tweet_created_at timestamp_ntz")
