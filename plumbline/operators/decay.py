@@ -48,7 +48,7 @@ def decay(
     new_author: the multiplier of a non-first reply to an author without active entries. Default: 0.9 in
     project scope (type GLOBAL_DECAY), 1.0 in global scope (type NEW_AUTHOR); 0.9 in global scope is the
     stricter rule that incremental global runs may use. active_multipliers adds the multipliers that are
-    active after the reply, its own last; it holds a replier's history per row, so it is off by default.
+    active after the reply, its own last, in order of (time, id); a row holds one window length of its replier, so it is off by default.
 
     A tail is scored from what is stored before it: rows whose ``_stored`` column holds a decay type keep that type, count
     for the others, and aren't returned; ``_older`` says how many replies of the replier come before the rows that are given.
@@ -96,8 +96,10 @@ def decay(
     rows = rows.withColumn("contribution_score", F.when(F.col("_m") == 1.0, F.col("effective_score")).otherwise(decayed))
     extra = []
     if active_multipliers:
-        history = F.collect_list("_m").over(by_row.rowsBetween(Window.unboundedPreceding, 0))
-        rows = rows.withColumn("active_multipliers", F.slice(history, (F.col("_gone") + 1).cast("int"), (F.col("_row") - F.col("_gone")).cast("int")))
+        # one window length, strictly bounded; its rows of the same time with a later id are behind the reply's own place
+        frame = Window.partitionBy(*keys).orderBy("_t").rangeBetween(1 - span, 0)
+        entries = F.array_sort(F.collect_list(F.struct("_t", "reply_post_id", "_m")).over(frame))
+        rows = rows.withColumn("active_multipliers", F.slice(F.transform(entries, lambda e: e["_m"]), 1, (F.col("_row") - F.col("_gone")).cast("int")))
         extra = ["active_multipliers"]
     if tail:
         rows = rows.where("_stored is null")
