@@ -129,14 +129,15 @@ def finish(df, path, name):
     return df.sparkSession.table(name)
 
 
-def test_a_stream_in_time_order_scores_like_a_batch(spark, tmp_path):
+@pytest.mark.parametrize("scope", ["project", "global"])
+def test_a_stream_in_time_order_scores_like_a_batch(spark, tmp_path, scope):
     rows = [post(f"root{k}", f"a{k}", -1) for k in range(4)] + [post(f"q{k:03}", f"u{k % 3}", k * 0.7, replied=f"root{k * 5 % 4}") for k in range(90)]
     posts, users = tables(spark, rows, [user(f"u{k}", 20 + k) for k in range(3)])
-    source = reply_source(posts, users)
+    source = reply_source(posts, users, scope)
     cut = at(25)
     stream = stream_of(spark, source, str(tmp_path), [source.post_created_at <= cut, source.post_created_at > cut])
-    got = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in finish(score_stream(stream), str(tmp_path), "scores").collect()}
-    want = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in decay_scores(posts, users).collect()}
+    got = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in finish(score_stream(stream, scope), str(tmp_path), f"scores_{scope}").collect()}
+    want = {r["reply_post_id"]: (r["contribution_score"], r["decay_type"], r["reply_number"]) for r in decay_scores(posts, users, scope).collect()}
     assert got == want
 
 
