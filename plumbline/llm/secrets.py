@@ -23,15 +23,17 @@ from pyspark.sql import functions as F
 from plumbline.llm.common import cut
 
 #: Words before a candidate that speak for a secret, and such that speak against one.
-FOR = "password|passwd|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|auth|bearer"
+FOR = "password|passwd|passphrase|(?<![A-Za-z])pass(?![A-Za-z])|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|auth|bearer"
 AGAINST = "commit|sha|md5|checksum|digest|uuid|guid|version|build|order|invoice|isbn|phone|tel|call|mail|contact|http|www|example|ref|id|iban|date"
 
 _WIDE = r"\p{Cs}\x{10000}-\x{10FFFF}"  # end a candidate; so all of its characters have one width, and matching needs no stack
 _RUN = rf"""[^\s"'`()\[\]{{}}<>,;|=:{_WIDE}]"""
-#: A value after a word of FOR and = or :, quoted or not.
+#: A value after a word of FOR and = or :, quoted or not. A quoted one goes to its closing quote, whatever signs it holds; one with
+#: a blank in it, or without a closing quote, is read like one without quotes.
 ASSIGNED = (
     rf"""(?<=[:=]["' \t]{{0,4}})(?<=(?i:{FOR})[A-Za-z0-9_-]{{0,20}}["']?[ \t]{{0,3}}[:=]{{1,2}}[ \t]{{0,3}}["']?)"""
-    rf"""[^\s"'`=:{_WIDE}][^\s"'`{_WIDE}]{{4,}}[^\s"'`.,;:)\]}}>{_WIDE}]"""
+    rf"""(?:(?<=")[^\s"{_WIDE}]{{6,}}+(?=")|(?<=')[^\s'{_WIDE}]{{6,}}+(?=')|"""
+    rf"""[^\s"'`=:{_WIDE}][^\s"'`{_WIDE}]{{4,}}[^\s"'`.,;:)\]}}>{_WIDE}])"""
 )
 #: A maximal run of eight and more with a digit or a change of case in it; a stop at its end isn't part of it.
 RUN = (

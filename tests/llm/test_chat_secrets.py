@@ -171,6 +171,12 @@ def brute_candidates(text):
     separator = lambda c: c.isspace() or c in "\"'`()[]{}<>,;|=:" or ord(c) > 0xFFFF
     while at < len(text):
         m = re.search(rf"(?i)(?:{secrets.FOR})[A-Za-z0-9_-]{{0,20}}[\"']?[ \t]{{0,3}}[:=]{{1,2}}[ \t]{{0,3}}[\"']?$", text[max(0, at - 80) : at])
+        if m and text[at - 1] in "\"'":
+            closed = re.match(rf"[^\s{text[at - 1]}]{{6,}}(?={text[at - 1]})", text[at:])
+            if closed:
+                out.append((at, closed[0]))
+                at += len(closed[0])
+                continue
         if m and text[at - 1] in ":=\"' \t" and not (text[at].isspace() or text[at] in "\"'`=:"):
             end = at
             while end < len(text) and not text[end].isspace() and text[end] not in "\"'`":
@@ -207,6 +213,18 @@ def test_candidates_match_brute_force(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: brute_candidates(t) for k, t in rows}
 
 
+def test_quoted_values_are_whole_and_pass_is_a_keyword(spark):
+    cases = {
+        'token = "p,w;x|1)2]" end': ["p,w;x|1)2]"], "secret: 'a\"b=c:d;e.'.": ['a"b=c:d;e.'], "DB_PASS=hunter2!": ["hunter2!"], "db-pass: \"=:abc.)\"": ["=:abc.)"], 'pwd="open,ended;value) ': ["open,ended;value"],
+        'token="two words,here" x': [], "bypass=northern compass: westward passenger=somebody": [], 'pass = "short"': [], "The pass: northern": ["northern"],
+    }
+    rows = list(enumerate(cases))
+    got = {k: [] for k, _ in rows}
+    for r in secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["doc_id"]].append(r["found"])
+    assert {text: got[k] for k, text in rows} == cases
+
+
 def test_the_forest_generalises_to_formats_it_has_not_seen(spark, known):
     findings = secrets.labelled_findings(spark, known, 4000)
     model = secrets.fit(findings.where(~findings.format.isin(*secrets.HELD_OUT)), known)
