@@ -54,3 +54,25 @@ def test_latest_rows_are_left_out(spark):
     posts = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", 0)], "post_id string, t int").selectExpr("post_id", "timestamp_seconds(t) as post_created_at")
     assert {r["post_id"] for r in not_in(posts, latest(posts, 2), ["post_created_at", "post_id"]).collect()} == {"a", "d"}
     assert not_in(posts, latest(posts, 9), ["post_created_at", "post_id"]).count() == 0
+
+
+@pytest.mark.parametrize("others", [[(None, None, "z")], [("p1", 1, "z"), (None, 2, "z")]])
+def test_no_key_holds_most_copies(spark, others, monkeypatch):
+    """Copies of rows for null patterns that the other side lacks, or that leave nothing to compare, would meet at a few keys."""
+    sizes = []
+    join = type(spark.range(1)).join
+
+    def seen(self, other, on=None, how=None):
+        if how == "left_semi" and "_v0" in self.columns:
+            keys = [c for c in self.columns if not c.startswith("_v")]
+            counts = [r["count"] for r in self.groupBy(*keys).count().collect()]
+            sizes.append((sum(counts), max(counts)))
+        return join(self, other, on, how)
+
+    monkeypatch.setattr(type(spark.range(1)), "join", seen)
+    n = 3000
+    rows = spark.range(n).selectExpr("concat('p', id) as a", "cast(id as int) as b", "'x' as extra")
+    got = not_in(rows, spark.createDataFrame(others, SCHEMA), ["a", "b"]).count()
+    assert got == (0 if others[0][0] is None else n - 2)
+    [(copies, largest)] = sizes
+    assert copies <= n * len(others) and largest <= n / 20
