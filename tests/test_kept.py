@@ -76,3 +76,11 @@ def test_random_streams_equal_a_rebuild(spark, tmp_path, scope):
         arrive(spark, b, list(rows.values()), [user(f"u{k}", rng.randrange(9), name=rng.choice("xyz")) for k in range(3) if turn == 0 or rng.random() < 0.3], day=100 + 10 * turn)
         kept.run(*b)
         check(kept, b, scope)
+
+
+def test_only_the_columns_that_are_asked_for_are_read(spark, tmp_path):
+    b = base(spark, tmp_path / "base", ["project_keyword", "post_id"])
+    arrive(spark, b, [post("r0", "a0", 0, likes=1, ingest=1), post("r0", "a1", 0, likes=2, ingest=2)], [user("a0", 1)])
+    rows = b[0].since(None, None, ["post_id", "user_x_id"])
+    assert [tuple(r) for r in rows.collect()] == [("r0", "a1")]
+    assert "full_text" not in rows._jdf.queryExecution().executedPlan().toString()
