@@ -35,6 +35,16 @@ def test_same_author_down_to_the_floor(spark):
     assert contributions(found, "sam") == [10, 5, 2.5, 1.25, 0.63, 0.32, 0.16, 0.1, 0.1]
 
 
+@pytest.mark.parametrize("base", [950, 6350])
+def test_powers_are_those_of_c(spark, base):
+    """950.00 * 0.9^4 lies between two cents, where the last bit of the power decides."""
+    plan = [(k, a) for k, a in enumerate("ABCXYA")]
+    posts, people = tables(spark, [*ROOTS, *replies("pow", plan)], [user("pow", base)])
+    found = decay_scores(posts, people)
+    want = sequential([r.asDict() for r in reply_source(posts, people).collect()])
+    assert {r["reply_post_id"]: r["effective_score"] for r in found.collect()} == {k: v[3] for k, v in want.items()}
+
+
 def test_an_entry_expires_exactly_at_the_end(spark):
     found = scored(spark, replies("eve", [(0, "A"), (30, "A")]), [user("eve", 50)])
     assert [found[k]["decay_type"] for k in ("eve0", "eve1")] == ["FIRST_REPLY", "FIRST_REPLY"]
