@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from helpers import post, tables, user
 from pyspark.sql import functions as F
@@ -25,3 +27,23 @@ def test_an_authors_features_are_made_alone(spark):
     t = lineage(spark)
     own = t.features.where((F.col("project_keyword") == "p") & (F.col("root_user_id") == "a0"))
     assert own.count() == 2 and difference(t.features_of("p", "a0"), own).isEmpty()
+
+
+def test_an_authors_engagement_is_made_alone(spark):
+    """Replies by nobody known, by the author and to other projects' posts too; features of the same rows."""
+    t = lineage(spark)
+    for project, author in (("p", "a0"), ("q", "a1"), ("q", "u3"), ("p", "gone")):
+        ours = (F.col("project_keyword") == project) & (F.col("root_user_id") == author)
+        assert difference(t.engagement_of(project, author), t.engagement.where(ours)).isEmpty()
+        assert difference(t.features_of(project, author), t.features.where(ours)).isEmpty()
+
+
+def test_others_rows_are_left_out_where_they_are_read(spark):
+    """Below the grouping of the sample's replies, so they aren't shuffled first."""
+    small = "/root/testdata/sf0.001"
+    if not os.path.isdir(small):
+        pytest.skip("no test tables")
+    plan = Lineage.of_sample(spark, small).engagement_of("BUILDING", "u1")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    grouped = [k for k, line in enumerate(plan) if "Aggregate" in line]
+    assert any("LeftSemi" in line and any(g < k and all(d > depth[g] for d in depth[g + 1 : k + 1]) for g in grouped) for k, line in enumerate(plan))
