@@ -14,8 +14,9 @@ message; sorting by (conv_id, order_turn, order_level, turn) gives the conversat
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut
@@ -82,40 +83,56 @@ def _levels(calls: DataFrame) -> DataFrame:
 
     Chains of calls with one dependency each are followed by pointer doubling, so they cost the logarithm of their
     length; what is left are calls with several dependencies, which are peeled off round by round. Calls on a cycle,
-    or behind one, are left out. Ids that no call has don't count.
+    or behind one, are left out. Ids that no call has don't count. A round is one table that is written, and whether another
+    one is needed is counted meanwhile, so the driver plans and runs few jobs.
     """
     key = ["conv_id", "id"]
+    each = Window.partitionBy(*key)  # dependencies of one call
     ids = calls.select(*key)
     needs = calls.select(*key, F.explode("depends_on").alias("dep")).distinct()
-    needs = cut(needs.join(ids.withColumnRenamed("id", "dep"), ["conv_id", "dep"]))
-    number = needs.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("dep").alias("to"))
-    single = cut(number.where("n = 1").select(*key, "to"))
-    roots = ids.join(number, key, "left_anti").withColumn("level", F.lit(0))
+    needs = needs.join(ids.withColumnRenamed("id", "dep"), ["conv_id", "dep"])
+    needs = cut(needs.withColumn("n", F.count(F.lit(1)).over(each)))
+    single = needs.where("n = 1").select(*key, F.col("dep").alias("to"))
+    roots = cut(ids.join(needs, key, "left_anti").withColumn("level", F.lit(0)))
 
     # every single call: the nearest call on its way that isn't single, and how far it is
     ends = single.select("conv_id", F.col("id").alias("to"), F.lit(True).alias("open"))
-    way = cut(single.join(ends, ["conv_id", "to"], "left").select(*key, "to", F.lit(1).alias("far"), F.coalesce("open", F.lit(False)).alias("open")))
-    for _ in range(way.count().bit_length() + 1):
-        if way.where("open").isEmpty():
-            break
+    way = single.join(ends, ["conv_id", "to"], "left").select(*key, "to", F.lit(1).alias("far"), F.coalesce("open", F.lit(False)).alias("open"))
+    way, seen = _counted(way, open=F.col("open"))
+    while seen["open"]:
         onward = way.select("conv_id", F.col("id").alias("to"), F.col("to").alias("_to"), F.col("far").alias("_far"), F.col("open").alias("_open"))
-        moved = way.where("open").join(onward, ["conv_id", "to"]).select(*key, F.col("_to").alias("to"), (F.col("far") + F.col("_far")).alias("far"), F.col("_open").alias("open"))
-        way = cut(way.where("not open").union(moved))
-    way = way.where("not open")  # what is still open runs in a circle
+        moved = way.where("open").join(onward, ["conv_id", "to"]).select(*key, F.col("_to").alias("to"), (F.col("far") + F.col("_far")).alias("far"), F.col("_open").alias("open"), F.lit(True).alias("moved"))
+        way, seen = _counted(way.where("not open").withColumn("moved", F.lit(False)).union(moved), open=F.col("open"), ended=F.col("moved") & ~F.col("open"))
+        way = way.drop("moved")
+        if not seen["ended"]:
+            break  # the next call before an end would have met it: what is still open runs in a circle
+    way = way.where("not open")
 
-    several = needs.join(number.where("n > 1").select(*key, "n"), key)
     passed = way.select("conv_id", F.col("id").alias("dep"), "to", "far")
-    left = several.join(passed, ["conv_id", "dep"], "left").select(*key, "n", F.coalesce("to", "dep").alias("to"), F.coalesce("far", F.lit(0)).alias("far"))
-    left, done = cut(left), cut(roots)
-    while not left.isEmpty():
-        reached = left.join(done.select("conv_id", F.col("id").alias("to"), "level"), ["conv_id", "to"])
-        ready = reached.groupBy(*key, "n").agg(F.count(F.lit(1)).alias("met"), (F.max(F.col("level") + F.col("far")) + 1).alias("level")).where("met = n").select(*key, "level")
-        ready = cut(ready)
-        if ready.isEmpty():
+    left = needs.where("n > 1").join(passed, ["conv_id", "dep"], "left").select(
+        *key, "n", F.coalesce("to", "dep").alias("to"), F.coalesce("far", F.lit(0)).alias("far"), F.lit(None).cast("int").alias("at")
+    )
+    done, ready = [roots], roots
+    while True:
+        met = left.join(ready.select("conv_id", F.col("id").alias("to"), F.col("level").alias("_level")), ["conv_id", "to"], "left")
+        met = met.select(*key, "n", "to", "far", F.coalesce("at", F.col("_level") + F.col("far")).alias("at"))
+        met = met.withColumn("level", F.when(F.count("at").over(each) == F.col("n"), F.max("at").over(each) + 1))
+        met, seen = _counted(met, ready=F.col("level").isNotNull())
+        if not seen["ready"]:
             break
-        done, left = cut(done.union(ready)), cut(left.join(ready, key, "left_anti"))
-    behind = way.join(done.select("conv_id", F.col("id").alias("to"), "level"), ["conv_id", "to"]).select(*key, (F.col("level") + F.col("far")).alias("level"))
-    return done.union(behind)
+        ready, left = met.where("level is not null").select(*key, "level").distinct(), met.where("level is null").drop("level")
+        done.append(ready)
+    known = reduce(DataFrame.union, done)
+    behind = way.join(known.select("conv_id", F.col("id").alias("to"), "level"), ["conv_id", "to"]).select(*key, (F.col("level") + F.col("far")).alias("level"))
+    return known.union(behind)
+
+
+def _counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` as ``cut`` gives it, and in how many rows each condition holds, counted while they are written (rows of a task
+    that ran again may count twice)."""
+    seen = Observation()
+    out = cut(df.observe(seen, *[F.count_if(c).alias(n) for n, c in conditions.items()]))
+    return out, seen.get
 
 
 def _listed(spark, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:
