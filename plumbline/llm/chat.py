@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import cut
@@ -83,8 +83,8 @@ def _levels(calls: DataFrame) -> DataFrame:
 
     Chains of calls with one dependency each are followed by pointer doubling, so they cost the logarithm of their
     length; what is left are calls with several dependencies, which are peeled off round by round. Calls on a cycle,
-    or behind one, are left out. Ids that no call has don't count. A round is one table that is written, and whether another
-    one is needed is counted meanwhile, so the driver plans and runs few jobs.
+    or behind one, are left out. Ids that no call has don't count. A round is one table that is written and one count of
+    whether another round is needed, so the driver plans and runs few jobs.
     """
     key = ["conv_id", "id"]
     each = Window.partitionBy(*key)  # dependencies of one call
@@ -128,11 +128,10 @@ def _levels(calls: DataFrame) -> DataFrame:
 
 
 def _counted(df: DataFrame, **conditions: Column) -> tuple[DataFrame, dict[str, int]]:
-    """``df`` as ``cut`` gives it, and in how many rows each condition holds, counted while they are written (rows of a task
-    that ran again may count twice)."""
-    seen = Observation()
-    out = cut(df.observe(seen, *[F.count_if(c).alias(n) for n, c in conditions.items()]))
-    return out, seen.get
+    """``df`` as ``cut`` gives it, and in how many rows each condition holds. (An Observation would save the query, but a session
+    that has made one can't be sent to tasks, and Spark's forests do that.)"""
+    out = cut(df)
+    return out, out.agg(*[F.count_if(c).alias(n) for n, c in conditions.items()]).first().asDict()
 
 
 def _listed(spark, rows: list[tuple], names: tuple[str, ...]) -> DataFrame:

@@ -26,3 +26,17 @@ def test_a_circle_ends_the_rounds_of_chains(spark, written):
     found = {(r["id"], r["level"]) for r in chat._levels(spark.createDataFrame(calls, CALL)).collect()}
     assert found == {("a", 0), ("b", 1)}
     assert len(written) <= 6
+
+
+def test_the_session_can_still_be_sent_to_tasks(spark):
+    """Spark's forests do that; a session that has made an Observation can't be."""
+    from pyspark.sql import SparkSession
+
+    own = spark.newSession()
+    SparkSession._instantiatedSession, before = own, SparkSession._instantiatedSession
+    try:
+        chat._levels(own.createDataFrame([(1, "a", []), (1, "b", ["a"])], CALL)).collect()
+        bytes_ = spark._jvm.org.apache.spark.util.Utils.serialize(own._jsparkSession)
+    finally:
+        SparkSession._instantiatedSession = before
+    assert len(bytes_) > 0
