@@ -4,14 +4,60 @@ import time
 from pathlib import Path
 
 import pytest
+from helpers import post, tables, user
 from pyspark.sql import functions as F
 
+from plumbline.operators import engagement, features
 from plumbline.plans import registry
+from plumbline.plans.lineage import Lineage
+from plumbline.plans.refresh import difference
 
 SMALL = "/root/testdata/sf0.001"
 sample = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they are of tables that are too large to be sent to all tasks."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def odd(spark):
+    """Ids of two roots, rows without project, author, id or time, reposts that quote, replies to nobody."""
+    rows = [post("r", "a", 0), post("r", "b", 0.5), post("s", "a", 1), post("n", None, 1), post(None, "a", 2), post("x", "c", 1, project=None), post("y", "c", 2, replied="x", project=None)]
+    rows += [post(f"e{k}", f"u{k % 4}", 2 + k / 48, replied="rsnq"[k % 4]) for k in range(9)] + [post("rt", "a", 1, retweeted="s"), post("rq", "b", 3, retweeted="s", quoted="s"), post("q", "u1", 3, quoted="e0")]
+    return tables(spark, rows, [user("a", 1), user("b", 2), user("u1", 3)])
+
+
+def test_one_pass_gives_the_rows_of_the_table(spark):
+    posts, users = odd(spark)
+    found = engagement.crowd(posts)
+    assert difference(found, engagement.engagement(posts, users).select(found.columns)).isEmpty()
+    same = features.features(engagement.audience(posts, users), prev_overlap=True)
+    assert difference(features.features(found, prev_overlap=True, names=users).select(same.columns), same).isEmpty()
+
+
+@sample
+def test_features_read_lines_once_and_move_rows_twice(spark, no_broadcast):
+    """Lines meet their orders, rows go to a post, pairs to an author, where users come to them."""
+    plan = physical(Lineage.of_sample(spark, SMALL).features)
+    assert plan.count("/lineitem.parquet") == 1
+    assert plan.count("hashpartitioning(project_keyword") == 1 and plan.count("hashpartitioning(root_user_id") == 2
+
+
+@sample
+def test_lines_travel_once_to_their_orders(spark, no_broadcast):
+    posts = Lineage.of_sample(spark, SMALL).posts
+    moves = [line for line in physical(posts.select("post_id")).splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("l_orderkey" in line for line in moves) == 1 and not any("l_partkey" in line for line in moves)
+
+
 @sample
 def test_the_ledger_cut_is_not_moved_by_the_zone_of_the_process(spark, monkeypatch):
     def scores():
