@@ -43,6 +43,17 @@ def test_one_pass_gives_the_rows_of_the_table(spark):
     assert difference(features.features(found, prev_overlap=True, names=users).select(same.columns), same).isEmpty()
 
 
+def test_the_whole_table_is_the_join(spark):
+    posts, users = odd(spark)
+    assert difference(engagement.engagement_table(posts, users), engagement.engagement(posts, users)).isEmpty()
+
+
+@sample
+def test_the_whole_table_reads_lines_and_users_once(spark, no_broadcast):
+    plan = physical(registry.QUERIES["engagement_project"](spark, SMALL))
+    assert plan.count("/lineitem.parquet") == 1 and plan.count("hashpartitioning(user_x_id") == 2  # posts and users
+
+
 @sample
 def test_features_read_lines_once_and_move_rows_twice(spark, no_broadcast):
     """Lines meet their orders, rows go to a post, pairs to an author, where users come to them."""
