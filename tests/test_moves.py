@@ -69,6 +69,13 @@ def test_lines_travel_once_to_their_orders(spark, no_broadcast):
     assert sum("l_orderkey" in line for line in moves) == 1 and not any("l_partkey" in line for line in moves)
 
 
+@sample
+@pytest.mark.parametrize("name", ["project_users", "project_analytics"])
+def test_a_projects_posts_are_made_once(spark, name):
+    """What is used several times lies in the shared folder."""
+    assert "/lineitem.parquet" not in physical(registry.QUERIES[name](spark, SMALL))
+
+
 @sample
 def test_the_ledger_cut_is_not_moved_by_the_zone_of_the_process(spark, monkeypatch):
     def scores():
