@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import engagement, features
 from plumbline.plans import registry
+from plumbline.plans.kept import KeptEngagement
 from plumbline.plans.lineage import Lineage
 from plumbline.plans.refresh import difference
+from plumbline.sources.ingest import IngestTable
+from plumbline.sources.versioned import Change, VersionedStore
 
 SMALL = "/root/testdata/sf0.001"
 sample = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
@@ -69,6 +72,26 @@ def test_lines_travel_once_to_their_orders(spark, no_broadcast):
     assert sum("l_orderkey" in line for line in moves) == 1 and not any("l_partkey" in line for line in moves)
 
 
+def test_rows_of_few_parts_are_written_where_they_lie(spark, tmp_path):
+    rows = spark.range(0, 90, 1, 3)
+    for name, few, files in (("near", ["t"], 3), ("far", [], 1)):
+        store = VersionedStore(spark, str(tmp_path), name, {"t": F.lit("all")}, few)
+        state = store.publish({"t": Change(rows, None)}, {}, "run", store.state())
+        assert store.read("t", state).count() == 90 and len(list((tmp_path / name).rglob("*.zstd.parquet"))) == files
+    assert KeptEngagement(spark, str(tmp_path), buckets=8).store.few and not KeptEngagement(spark, str(tmp_path)).store.few
+
+
+def test_keys_of_versions_travel_once(spark, tmp_path):
+    posts, _ = tables(spark, [post("r", "a", 0, ingest=1), post("r", "b", 0, ingest=2), post("s", "a", 1)], [])
+    base = IngestTable(spark, str(tmp_path / "posts"), posts.schema, ["project_keyword", "post_id"])
+    base.add(posts)
+    found = base.since(None, None, ["user_x_id", "post_id"])
+    assert sorted(map(tuple, found.collect())) == [("a", "s"), ("b", "r")]
+    moves = [line for line in physical(found).splitlines() if "max_by" in line and "partial" in line]
+    assert moves and all("post_id, post_id" not in line and "_k0" not in line for line in moves)
+    assert base.since(None, None, ["post_id"]).count() == 2
+
+
 @sample
 @pytest.mark.parametrize("name", ["project_users", "project_analytics"])
 def test_a_projects_posts_are_made_once(spark, name):
